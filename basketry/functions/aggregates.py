@@ -26,7 +26,8 @@ def float_mean(column: str) -> Column:
 
 def joined_values(column: str) -> Column:
     """Distinct values in order, separated by commas; NULL when there is none."""
-    return F.nullif(F.array_join(F.array_sort(F.collect_set(column)), ","), F.lit(""))
+    values = F.array_join(F.array_sort(F.collect_set(column)), ",")
+    return F.when(F.count(column) > 0, values)
 
 
 def percent(part: Column, whole: Column) -> Column:
