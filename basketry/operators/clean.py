@@ -53,8 +53,8 @@ def train_clean(
 ) -> DataFrame:
     """Sales rows with flags for stores and items that do not exist."""
     sales = sales_rows(train, test)
-    flagged = _flag_orphans(sales, stores, "store_nbr", "is_orphan_store")
-    flagged = _flag_orphans(flagged, items, "item_nbr", "is_orphan_item")
+    flagged = _flag_orphans(sales, stores, "store_nbr", "is_orphan_store", sales)
+    flagged = _flag_orphans(flagged, items, "item_nbr", "is_orphan_item", sales)
     return flagged.select(
         *sales.columns,
         "is_orphan_store",
@@ -64,11 +64,11 @@ def train_clean(
 
 
 def _flag_orphans(
-    sales: DataFrame, parents: Lookup | DataFrame, key: str, flag: str
+    frame: DataFrame, parents: Lookup | DataFrame, key: str, flag: str, sales: DataFrame
 ) -> DataFrame:
     parents = parents if isinstance(parents, Lookup) else Lookup.of(parents.select(key))
     known = parents.derive(parents.frame.select(key, F.lit(True).alias("_known")))
-    joined = lookup_join(sales, known, [key])
+    joined = lookup_join(frame, known, [key], keys_from=sales)
     return joined.withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 

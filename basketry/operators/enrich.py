@@ -10,7 +10,9 @@ from basketry.functions.calendar import add_calendar
 from basketry.operators.lookup import Lookup, lookup_join
 
 
-def join_stores(sales: DataFrame, stores: Lookup) -> DataFrame:
+def join_stores(
+    sales: DataFrame, stores: Lookup, keys_from: DataFrame | None = None
+) -> DataFrame:
     columns = stores.frame.select(
         "store_nbr",
         "city",
@@ -18,24 +20,28 @@ def join_stores(sales: DataFrame, stores: Lookup) -> DataFrame:
         F.col("type").alias("store_type"),
         F.col("cluster").alias("store_cluster"),
     )
-    return lookup_join(sales, stores.derive(columns), ["store_nbr"])
+    return lookup_join(sales, stores.derive(columns), ["store_nbr"], keys_from=keys_from)
 
 
-def join_items(sales: DataFrame, items: Lookup) -> DataFrame:
+def join_items(
+    sales: DataFrame, items: Lookup, keys_from: DataFrame | None = None
+) -> DataFrame:
     columns = items.frame.select(
         "item_nbr",
         F.col("family").alias("item_family"),
         F.col("class").alias("item_class"),
         "perishable",
     )
-    return lookup_join(sales, items.derive(columns), ["item_nbr"])
+    return lookup_join(sales, items.derive(columns), ["item_nbr"], keys_from=keys_from)
 
 
-def join_oil(sales: DataFrame, oil_clean: Lookup) -> DataFrame:
+def join_oil(
+    sales: DataFrame, oil_clean: Lookup, keys_from: DataFrame | None = None
+) -> DataFrame:
     columns = oil_clean.frame.select(
         "date", "oil_price", F.col("is_imputed").alias("oil_is_imputed")
     )
-    return lookup_join(sales, oil_clean.derive(columns), ["date"])
+    return lookup_join(sales, oil_clean.derive(columns), ["date"], keys_from=keys_from)
 
 
 def join_holidays(sales: DataFrame, holidays_clean: Lookup) -> DataFrame:
@@ -56,7 +62,8 @@ def join_holidays(sales: DataFrame, holidays_clean: Lookup) -> DataFrame:
         keys = ["date", *place]
         lookup = holidays_clean.derive(_events(holidays_clean.frame, locale, place, events))
         joined = lookup_join(joined, lookup, keys)
-    matched = F.concat(*[_or_empty(events) for events in kinds])
+    some = F.coalesce(*kinds).isNotNull()
+    matched = F.when(some, F.concat(*[_or_empty(events) for events in kinds]))
     return joined.select(*sales.columns, F.inline_outer(matched)).withColumn(
         "is_holiday", F.coalesce("is_holiday", F.lit(False))
     )
@@ -98,7 +105,7 @@ def master(
         for each in (stores, items, oil_clean, holidays_clean)
     ]
     wide = join_stores(sales, lookups[0])
-    wide = join_items(wide, lookups[1])
-    wide = join_oil(wide, lookups[2])
+    wide = join_items(wide, lookups[1], keys_from=sales)
+    wide = join_oil(wide, lookups[2], keys_from=sales)
     wide = join_holidays(wide, lookups[3])
     return add_calendar(wide).select(*schemas.MASTER.names)

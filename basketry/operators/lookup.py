@@ -39,17 +39,22 @@ class Lookup:
 
 
 def lookup_join(
-    facts: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str], how: str = "left"
+    facts: DataFrame,
+    lookup: Lookup | DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``facts`` (left or inner) to a lookup.
 
     A small lookup is broadcast: the facts stay where they are, whatever the skew.
-    A larger one is joined by shuffle with the hot keys salted.
+    A larger one is joined by shuffle with the hot keys salted. ``keys_from`` is an
+    earlier form of ``facts``, cheaper to compute, in which to count the hot keys.
     """
     lookup = lookup if isinstance(lookup, Lookup) else Lookup.of(lookup)
     if lookup.small:
         return facts.join(F.broadcast(lookup.frame), list(on), how)
-    return salted_join(facts, lookup.frame, list(on), how)
+    return salted_join(facts, lookup.frame, list(on), how, keys_from)
 
 
 def salted_join(
@@ -57,6 +62,7 @@ def salted_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "left",
+    keys_from: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -66,7 +72,7 @@ def salted_join(
     meets each of its matches exactly once. Rows without a key match nothing and are
     spread as well.
     """
-    hot = _hot_keys(facts, on, hot_keys, salts)
+    hot = _hot_keys(facts if keys_from is None else keys_from, on, hot_keys, salts)
     missing_key = _any_null(on)
     spread = F.when(missing_key, salts).otherwise(F.coalesce("_spread", F.lit(1)))
     row_hash = F.xxhash64(*facts.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Ranges of ``key`` counted within the last day needed.
@@ -22,27 +22,32 @@ def latest_rows(
     order = [F.desc_nulls_last(date), F.desc_nulls_last(key)]
     order += [F.desc_nulls_last(name) for name in frame.columns if name not in (date, key)]
 
-    first_day = _first_day(frame, n, date).scalar()
-    later = frame.where(F.col(date) > first_day).agg(F.count("*")).scalar()
-    last_needed = frame.where(F.col(date) == first_day)
-    lowest_key = _lowest_key(last_needed, F.lit(n) - later, key).scalar()
+    last_day = _last_day_needed(frame, n, date)
+    first_day = last_day.select("day").scalar()
+    wanted = last_day.select("wanted").scalar()
+    lowest_key = _lowest_key(frame.where(F.col(date) == first_day), wanted, key).scalar()
 
     in_part = lowest_key.isNull() | (F.col(key) >= lowest_key)
     needed = (F.col(date) > first_day) | ((F.col(date) == first_day) & in_part)
     return frame.where(F.col(date) >= first_day).where(needed).orderBy(*order).limit(n)
 
 
-def _first_day(frame: DataFrame, n: int, date: str) -> DataFrame:
-    """Latest day from which on there are at least ``n`` rows, else the first day."""
+def _last_day_needed(frame: DataFrame, n: int, date: str) -> DataFrame:
+    """The latest day from which on there are at least ``n`` rows, else the first day,
+    and how many of its rows are wanted."""
     days = frame.where(F.col(date).isNotNull()).groupBy(date).agg(F.count("*").alias("rows"))
-    reached = F.sum("rows").over(_descending(date)) >= n
-    return days.select(date, reached.alias("reached")).agg(
-        F.coalesce(F.max(F.when(F.col("reached"), F.col(date))), F.min(date)).alias("first_day")
+    seen = F.sum("rows").over(_descending(date))
+    counted = days.select(F.col(date).alias("day"), "rows", seen.alias("seen"))
+    reached = F.col("seen") >= n
+    wanted = n - (F.col("seen") - F.col("rows"))
+    return counted.agg(
+        F.coalesce(F.max(F.when(reached, F.col("day"))), F.min("day")).alias("day"),
+        F.max_by(wanted, F.when(reached, F.col("day"))).alias("wanted"),
     )
 
 
-def _lowest_key(day: DataFrame, n, key: str) -> DataFrame:
-    """A key from which on the day has at least ``n`` rows; NULL if it has fewer."""
+def _lowest_key(day: DataFrame, wanted: Column, key: str) -> DataFrame:
+    """A key from which on the day has at least ``wanted`` rows; NULL if it has fewer."""
     low = day.agg(F.min(key)).scalar()
     width = F.greatest((day.agg(F.max(key)).scalar() - low) / RANGES, F.lit(1))
     ranges = (
@@ -50,11 +55,11 @@ def _lowest_key(day: DataFrame, n, key: str) -> DataFrame:
         .groupBy(F.floor((F.col(key) - low) / width).alias("range"))
         .agg(F.count("*").alias("rows"), F.min(key).alias("lowest"))
     )
-    reached = F.sum("rows").over(_descending("range")) >= n
+    reached = F.sum("rows").over(_descending("range")) >= wanted
     return ranges.select("lowest", reached.alias("reached")).agg(
         F.max(F.when(F.col("reached"), F.col("lowest"))).alias("lowest_key")
     )
 
 
-def _descending(column: str):
+def _descending(column: str) -> WindowSpec:
     return Window.orderBy(F.desc(column)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
