@@ -32,15 +32,15 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
 
 def daily(w: Warehouse) -> DataFrame:
-    return explore.daily_sales(w.raw.train)
+    return explore.daily_sales(w.train)
 
 
 def performance(w: Warehouse) -> DataFrame:
-    return explore.store_performance(w.raw.train, w.stores.frame)
+    return explore.store_performance(w.train, w.stores.frame)
 
 
 def families(w: Warehouse) -> DataFrame:
-    return explore.family_performance(w.raw.train, w.items.frame)
+    return explore.family_performance(w.train, w.items.frame)
 
 
 # --- sources, sinks and streams ------------------------------------------------------
@@ -55,7 +55,7 @@ def _table_counts(w: Warehouse) -> DataFrame:
 
 def _csv_roundtrip(w: Warehouse) -> DataFrame:
     path = fresh_path(w.spark, "train-csv")
-    write_csv(w.raw.train, path)
+    write_csv(w.train, path)
     loaded = read_fact(w.spark, path)
     return loaded.agg(
         data_lines(w.spark, path).scalar().alias("data_lines"),
@@ -72,7 +72,7 @@ def _incremental_load(w: Warehouse) -> DataFrame:
     source, target, progress = (
         fresh_path(w.spark, name) for name in ("arriving", "loaded", "progress")
     )
-    write_csv(w.raw.train, source)
+    write_csv(w.train, source)
     for _ in range(2):  # the second run finds nothing new
         load_new_files(w.spark, source, target, progress)
     loaded = w.spark.read.parquet(target)
@@ -90,12 +90,11 @@ def _surrogate_key(w: Warehouse) -> DataFrame:
 
 
 def _calendar_features(w: Warehouse) -> DataFrame:
-    return add_calendar(w.raw.train.select("date").distinct())
+    return add_calendar(w.train.select("date").distinct())
 
 
 def _holiday_matches(w: Warehouse) -> DataFrame:
-    sales = clean.sales_rows(w.raw.train, w.raw.test)
-    placed = enrich.join_stores(sales, w.stores)
+    placed = enrich.join_stores(w.sales(), w.stores)
     return enrich.join_holidays(placed, w.holidays_clean).select(
         "id", "date", "store_nbr", "is_holiday", "holiday_type", "holiday_description"
     )
@@ -105,7 +104,7 @@ def _holiday_matches(w: Warehouse) -> DataFrame:
 
 
 def _holidays_by_year(w: Warehouse) -> DataFrame:
-    return explore.value_counts(stored.read_with_year(w.raw.holidays_events), "year")
+    return explore.value_counts(stored.read_with_year(w.holidays_events), "year")
 
 
 def _distinct_counts(w: Warehouse) -> DataFrame:
@@ -145,7 +144,7 @@ def _describe_daily(w: Warehouse) -> DataFrame:
 
 
 def _describe_latest(w: Warehouse) -> DataFrame:
-    return _rounded_std(explore.describe(topk.latest_rows(w.raw.train), ["unit_sales"]))
+    return _rounded_std(explore.describe(topk.latest_rows(w.train), ["unit_sales"]))
 
 
 # --- quality -------------------------------------------------------------------------
@@ -166,7 +165,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "oil_calendar": lambda w: clean.oil_calendar(w.oil),
     "oil_clean": lambda w: clean.oil_clean(w.oil),
     "train_clean": lambda w: w.train_clean(),
-    "holidays_clean": lambda w: clean.holidays_clean(w.raw.holidays_events),
+    "holidays_clean": lambda w: clean.holidays_clean(w.holidays_events),
     "calendar_features": _calendar_features,
     "master": lambda w: w.master_rows(),
     "master_holiday_join": _holiday_matches,
@@ -196,16 +195,16 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "vc_store_city": lambda w: explore.value_counts(w.stores.frame, "city"),
     "vc_item_family": lambda w: explore.value_counts(w.items.frame, "family", 10),
     "vc_perishable": lambda w: explore.value_counts(w.items.frame, "perishable"),
-    "vc_holiday_type": lambda w: explore.value_counts(w.raw.holidays_events, "type"),
-    "vc_holiday_locale": lambda w: explore.value_counts(w.raw.holidays_events, "locale"),
+    "vc_holiday_type": lambda w: explore.value_counts(w.holidays_events, "type"),
+    "vc_holiday_locale": lambda w: explore.value_counts(w.holidays_events, "locale"),
     "vc_holiday_year": _holidays_by_year,
     "stores_type_cluster": lambda w: explore.pair_counts(w.stores.frame, "type", "cluster"),
     "distinct_counts": _distinct_counts,
     "missing_values": _missing_values,
-    "tx_per_year": lambda w: explore.transactions_per_year(w.raw.transactions),
-    "date_span": lambda w: explore.date_span(w.raw.train),
-    "invalid_values": lambda w: explore.invalid_values(w.raw.train),
-    "latest_rows": lambda w: topk.latest_rows(w.raw.train),
+    "tx_per_year": lambda w: explore.transactions_per_year(w.transactions),
+    "date_span": lambda w: explore.date_span(w.train),
+    "invalid_values": lambda w: explore.invalid_values(w.train),
+    "latest_rows": lambda w: topk.latest_rows(w.train),
     "describe_latest": _describe_latest,
     # daily series
     "daily_sales": daily,
@@ -215,9 +214,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "month_pattern": lambda w: explore.month_pattern(daily(w)),
     "best_worst_month": lambda w: explore.best_and_worst_month(explore.month_pattern(daily(w))),
     "dow_vs_avg": lambda w: explore.weekday_pattern(daily(w)),
-    "holiday_vs_regular": lambda w: explore.holiday_comparison(daily(w), w.raw.holidays_events),
+    "holiday_vs_regular": lambda w: explore.holiday_comparison(daily(w), w.holidays_events),
     "holiday_lift": lambda w: explore.holiday_lift(
-        explore.holiday_comparison(daily(w), w.raw.holidays_events)
+        explore.holiday_comparison(daily(w), w.holidays_events)
     ),
     "december_stats": lambda w: explore.december_stats(daily(w)),
     "december_daily": lambda w: explore.december_days(daily(w)),
@@ -232,16 +231,16 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "concentration_stores": lambda w: explore.store_concentration(performance(w), w.stores.frame),
     "family_perf": families,
     "concentration_families": lambda w: explore.family_concentration(families(w)),
-    "perishable_split": lambda w: explore.perishable_split(w.raw.train, w.items.frame),
-    "promo_by_flag": lambda w: explore.promotion_by_flag(w.raw.train),
-    "promo_lift": lambda w: explore.promotion_lift(explore.promotion_by_flag(w.raw.train)),
+    "perishable_split": lambda w: explore.perishable_split(w.train, w.items.frame),
+    "promo_by_flag": lambda w: explore.promotion_by_flag(w.train),
+    "promo_lift": lambda w: explore.promotion_lift(explore.promotion_by_flag(w.train)),
     # constraints
     "q_pk_duplicates": lambda w: quality.primary_key_report(w.tables),
     "q_fk_orphans": lambda w: quality.foreign_key_report(w.tables),
     "q_nulls": lambda w: quality.not_null_report(w.tables),
     "q_domain": lambda w: _count_rows(quality.outside_domain(w.items.frame)),
     "q_date_range": lambda w: _count_rows(
-        quality.outside_range(w.raw.train, _FIRST_DAY, _END_DAY)
+        quality.outside_range(w.train, _FIRST_DAY, _END_DAY)
     ),
 }
 

@@ -11,17 +11,17 @@ from basketry.operators import clean, enrich
 from basketry.operators.lookup import Lookup
 from basketry.session import fresh_path
 from basketry.sinks.stored import write_by_year
-from basketry.sources.stored import read_master
+from basketry.sources.stored import read_by_year
 from basketry.tables import RetailTables
 
 
 class Warehouse:
-    """Input tables and the views built on them.
+    """Input tables, loaded once, and the views built on them.
 
-    The dimension tables, the clean oil and holiday views and the wide sales table
-    are written once to the shared folder and read from there afterwards: reports
-    scan the columns and years they need of the stored table and repeat no join. A
-    new ``Warehouse`` builds all of them anew.
+    Every table is written to the shared folder when first asked for and read from
+    there afterwards. The sales are laid out by year and day, so that reports scan
+    the columns and days they need; the wide sales table is stored as well, so that
+    no report repeats its joins. A new ``Warehouse`` loads and builds all anew.
     """
 
     def __init__(self, spark: SparkSession, tables: RetailTables):
@@ -33,6 +33,23 @@ class Warehouse:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def _stored_by_year(self, name: str, frame: DataFrame) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        write_by_year(frame, path)
+        return read_by_year(self.spark, path, frame.schema)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self._stored_by_year("train", self.raw.train)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._stored_by_year("transactions", self.raw.transactions)
+
+    @cached_property
+    def holidays_events(self) -> DataFrame:
+        return self._stored("holidays_events", self.raw.holidays_events)
+
     @cached_property
     def stores(self) -> Lookup:
         return Lookup.of(self._stored("stores", self.raw.stores))
@@ -51,35 +68,37 @@ class Warehouse:
 
     @cached_property
     def holidays_clean(self) -> Lookup:
-        merged = clean.holidays_clean(self.raw.holidays_events)
+        merged = clean.holidays_clean(self.holidays_events)
         return Lookup.of(self._stored("holidays_clean", merged))
 
     @cached_property
     def tables(self) -> RetailTables:
-        """The input tables with stored dimensions."""
+        """The input tables as stored; ``test`` is read once per view and stays a source."""
         return RetailTables(
             stores=self.stores.frame,
             items=self.items.frame,
-            transactions=self.raw.transactions,
+            transactions=self.transactions,
             oil=self.oil,
-            holidays_events=self.raw.holidays_events,
-            train=self.raw.train,
+            holidays_events=self.holidays_events,
+            train=self.train,
             test=self.raw.test,
         )
 
     def train_clean(self) -> DataFrame:
-        return clean.train_clean(self.raw.train, self.stores, self.items, self.raw.test)
+        return clean.train_clean(self.train, self.stores, self.items, self.raw.test)
+
+    def sales(self) -> DataFrame:
+        return clean.sales_rows(self.train, self.raw.test)
 
     def master_rows(self) -> DataFrame:
         """The wide sales table as a plan, not stored."""
-        sales = clean.sales_rows(self.raw.train, self.raw.test)
-        return enrich.master(sales, self.stores, self.items, self.oil_clean, self.holidays_clean)
+        return enrich.master(
+            self.sales(), self.stores, self.items, self.oil_clean, self.holidays_clean
+        )
 
     @cached_property
     def master(self) -> DataFrame:
-        path = fresh_path(self.spark, "master")
-        write_by_year(self.master_rows(), path)
-        return read_master(self.spark, path)
+        return self._stored_by_year("master", self.master_rows())
 
 
 _open: dict[tuple[str, str], Warehouse] = {}

@@ -29,18 +29,22 @@ def write_by_year(
 ) -> None:
     """Parquet in one folder per year, each file holding few days in order.
 
+    Years written replace the stored ones; other stored years stay as they are.
+
     Rows are brought together by day, so that file statistics prune on the date. The
     rebalancing shuffle merges small days and splits days larger than the advisory
     size into several files, however the rows are spread over the days.
     """
     dated = frame.withColumn("year", F.year("date"))
+    order = [name for name in cluster_by if name in frame.columns]
     if years is not None:
         dated = dated.where(F.col("year").isin(*years))
     (
         dated.hint("rebalance", F.col("year"), F.col("date"))
-        .sortWithinPartitions("year", *cluster_by)
+        .sortWithinPartitions("year", *order)
         .write.mode("overwrite")
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
         .parquet(path)
     )

@@ -7,15 +7,23 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.tables import RetailTables
 
 
+def read_by_year(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by ``sinks.write_by_year``, in the column order of ``schema``."""
+    fields = list(schema.fields)
+    if "year" not in schema.names:
+        fields.append(T.StructField("year", schemas.INT))
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*schema.names)
+
+
 def read_master(spark: SparkSession, path: str) -> DataFrame:
-    """The wide sales table written by ``sinks.write_by_year``; ``year`` prunes folders."""
-    stored = spark.read.schema(schemas.MASTER).parquet(path)
-    return stored.select(*schemas.MASTER.names)
+    """The exported wide sales table; a filter on ``year`` reads only its folders."""
+    return read_by_year(spark, path, schemas.MASTER)
 
 
 def read_with_year(frame: DataFrame, column: str = "date") -> DataFrame:

@@ -163,6 +163,17 @@ def test_only_the_years_asked_for(spark, hot_day, tmp_path):
     assert stored.slice_years(hot_day, [2013]).where("date >= DATE '2014-01-01'").count() == 0
 
 
+def test_exporting_a_year_again_leaves_the_others(spark, hot_day, tmp_path):
+    path = f"{tmp_path}/export"
+    write_by_year(hot_day, path)
+    first = dict(rows(rows_per_year(spark.read.parquet(path))))
+    write_by_year(hot_day.where("id < 10000"), path, years=[2014])
+    second = dict(rows(rows_per_year(spark.read.parquet(path))))
+    assert second[2013] == first[2013] and second[2014] < first[2014]
+    sales = stored.read_by_year(spark, path, hot_day.schema)
+    assert sales.schema.names == hot_day.columns
+
+
 # --- incremental load ----------------------------------------------------------------
 
 
