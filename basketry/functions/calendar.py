@@ -51,9 +51,8 @@ def add_day_names(frame: DataFrame, column: str = "date") -> DataFrame:
 
 
 def year_month(year: Column, month: Column) -> Column:
-    return F.concat(
-        year.cast("int").cast("string"), F.lit("-"), F.lpad(month.cast("int").cast("string"), 2, "0")
-    )
+    months = F.lpad(month.cast("int").cast("string"), 2, "0")
+    return F.concat(year.cast("int").cast("string"), F.lit("-"), months)
 
 
 def daily_calendar(frame: DataFrame, column: str = "date") -> DataFrame:

@@ -270,10 +270,14 @@ def store_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
+def top_by_sales(performance: DataFrame, key: str, n: int) -> DataFrame:
+    return performance.orderBy(F.desc_nulls_first("total_sales"), F.asc_nulls_first(key)).limit(n)
+
+
 def top_and_bottom_stores(performance: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` stores that sell most and the ``n`` that sell least."""
     ranked = performance.select("store_nbr", "total_sales")
-    top = ranked.orderBy(F.desc_nulls_first("total_sales"), "store_nbr").limit(n)
+    top = top_by_sales(ranked, "store_nbr", n)
     bottom = ranked.orderBy(F.asc_nulls_last("total_sales"), F.desc("store_nbr")).limit(n)
     return top.select(F.lit("top").alias("position"), "*").unionByName(
         bottom.select(F.lit("bottom").alias("position"), "*")
@@ -323,13 +327,11 @@ def store_concentration(performance: DataFrame, stores: DataFrame) -> DataFrame:
 
 def _top_shares(performance: DataFrame, key: str) -> DataFrame:
     """Totals of all rows and of the 5 and 10 with the highest sales."""
-    ordered = performance.select(key, "total_sales").orderBy(
-        F.desc_nulls_first("total_sales"), F.asc_nulls_first(key)
-    )
+    sales = performance.select(key, "total_sales")
     everything = performance.agg(F.sum("total_sales").alias("total_sales"))
     shares = {
         f"top{n}_sales_pct": percent(
-            ordered.limit(n).agg(F.sum("total_sales")).scalar(), F.col("total_sales")
+            top_by_sales(sales, key, n).agg(F.sum("total_sales")).scalar(), F.col("total_sales")
         )
         for n in (5, 10)
     }

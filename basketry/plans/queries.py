@@ -230,6 +230,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "city_perf": lambda w: explore.city_performance(performance(w)),
     "concentration_stores": lambda w: explore.store_concentration(performance(w), w.stores.frame),
     "family_perf": families,
+    "family_top15": lambda w: explore.top_by_sales(families(w), "family", 15),
     "concentration_families": lambda w: explore.family_concentration(families(w)),
     "perishable_split": lambda w: explore.perishable_split(w.train, w.items.frame),
     "promo_by_flag": lambda w: explore.promotion_by_flag(w.train),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-#: Adaptive execution resizes shuffles and splits skewed ones at run time, so the
-#: partition count below is only the upper bound it starts from.
+#: Adaptive execution merges small shuffle partitions and splits skewed ones.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,11 +21,30 @@ SETTINGS = {
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(app_name: str = "basketry", master: str | None = None, **extra: str) -> SparkSession:
+#: Shuffle data one task should handle; fits in the memory of any usual executor core.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions for the largest shuffle expected. Adaptive execution merges them for
+    smaller ones but does not split evenly filled ones, so this must not be too low."""
+    return max(200, math.ceil(shuffled_bytes / TASK_BYTES))
+
+
+def build_session(
+    app_name: str = "basketry",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {}
+    if shuffled_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
+        sized["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(TASK_BYTES)
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -51,4 +70,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has written to."""
-    return f"{shared_dir(spark)}/basketry/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/basketry/{app}/{name}-{uuid.uuid4().hex}"

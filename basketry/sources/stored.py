@@ -36,16 +36,22 @@ def slice_years(frame: DataFrame, years: Sequence[int]) -> DataFrame:
     return frame.where(year.isin(*years))
 
 
-def year_predicates(years: Iterable[int], column: str = "date") -> list[str]:
-    """One range predicate per year, each read by its own task from a database."""
-    return [f"{column} >= '{year}-01-01' AND {column} <= '{year}-12-31'" for year in years]
+def month_predicates(years: Iterable[int], column: str = "date") -> list[str]:
+    """Range predicates that cover each year once, month by month."""
+    starts = [(year, month) for year in years for month in range(1, 13)]
+    return [
+        f"{column} >= '{year}-{month:02}-01' AND "
+        f"{column} < '{year + month // 12}-{month % 12 + 1:02}-01'"
+        for year, month in starts
+    ]
 
 
 def read_database_by_year(
     spark: SparkSession, url: str, table: str, years: Iterable[int], properties: Mapping[str, str]
 ) -> DataFrame:
+    """The given years of a database table, each month fetched by its own task."""
     return spark.read.jdbc(
-        url, table, predicates=year_predicates(years), properties=dict(properties)
+        url, table, predicates=month_predicates(years), properties=dict(properties)
     )
 
 

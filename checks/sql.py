@@ -600,6 +600,9 @@ ORDER BY total_sales DESC, city LIMIT 10""",
 FROM performance""",
     ),
     "family_perf": _query("families", "SELECT * FROM families"),
+    "family_top15": _query(
+        "families", "SELECT * FROM families ORDER BY total_sales DESC, family LIMIT 15"
+    ),
     "concentration_families": _query(
         "families", f"SELECT {_share('families', 'family')} FROM families"
     ),

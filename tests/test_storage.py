@@ -12,7 +12,13 @@ from basketry import schemas
 from basketry.plans import build
 from basketry.plans.warehouse import Warehouse
 from basketry.session import fresh_path, shared_dir
-from basketry.sinks.stored import append_table, rebuild_view, rows_per_year, write_by_year, write_csv
+from basketry.sinks.stored import (
+    append_table,
+    rebuild_view,
+    rows_per_year,
+    write_by_year,
+    write_csv,
+)
 from basketry.sources import stored
 from basketry.sources.csv_files import data_lines, read_fact, read_predictions, read_table
 from basketry.streaming.incremental import load_new_files
@@ -83,17 +89,24 @@ def test_predictions(spark, tmp_path):
     assert rows(read_predictions(spark, path, schema)) == [("1", 2.5)]
 
 
-def test_database_predicates_cover_each_year_once():
-    assert stored.year_predicates([2013, 2014]) == [
-        "date >= '2013-01-01' AND date <= '2013-12-31'",
-        "date >= '2014-01-01' AND date <= '2014-12-31'",
-    ]
+def test_database_predicates_cover_each_day_once(spark):
+    predicates = stored.month_predicates([2013, 2015])
+    assert len(predicates) == 24
+    assert predicates[0] == "date >= '2013-01-01' AND date < '2013-02-01'"
+    assert predicates[11] == "date >= '2013-12-01' AND date < '2014-01-01'"
+    days = spark.sql(
+        "SELECT explode(sequence(DATE '2012-12-01', DATE '2016-02-01', INTERVAL 1 DAY)) AS date"
+    )
+    hits = sum((F.expr(p).cast("int") for p in predicates), F.lit(0))
+    in_years = F.year("date").isin(2013, 2015).cast("int")
+    assert days.where(hits != in_years).count() == 0
 
 
 def test_counts_go_on_after_a_table_that_is_not_there(spark):
     spark.range(3).createOrReplaceTempView("counted")
     assert "counted" in stored.available_tables(spark)
-    report = {row["table_name"]: row for row in stored.table_counts(spark, ["counted", "gone"]).collect()}
+    counts = stored.table_counts(spark, ["counted", "gone"])
+    report = {row["table_name"]: row for row in counts.collect()}
     assert (report["counted"]["row_count"], report["counted"]["error"]) == (3, None)
     assert report["gone"]["row_count"] is None
     assert report["gone"]["error"] == "TABLE_OR_VIEW_NOT_FOUND"
@@ -142,7 +155,7 @@ def test_rows_are_in_order_within_each_file(spark, hot_day, tmp_path):
     path = f"{tmp_path}/export"
     write_by_year(hot_day, path)
     for file in spark.read.parquet(path).inputFiles():
-        found = [tuple(r) for r in spark.read.parquet(file).select("date", "store_nbr", "item_nbr").collect()]
+        found = rows(spark.read.parquet(file).select("date", "store_nbr", "item_nbr"))
         assert found == sorted(found)
 
 
@@ -158,8 +171,9 @@ def test_a_hot_day_is_split_over_files(spark, hot_day, tmp_path):
 
 
 def test_only_the_years_asked_for(spark, hot_day, tmp_path):
-    write_by_year(hot_day, f"{tmp_path}/export", years=[2014])
-    assert [row[0] for row in rows(rows_per_year(spark.read.parquet(f"{tmp_path}/export")))] == [2014]
+    path = f"{tmp_path}/export"
+    write_by_year(hot_day, path, years=[2014])
+    assert [row[0] for row in rows(rows_per_year(spark.read.parquet(path)))] == [2014]
     assert stored.slice_years(hot_day, [2013]).where("date >= DATE '2014-01-01'").count() == 0
 
 
@@ -181,7 +195,8 @@ def test_files_are_loaded_once(spark, tmp_path):
     source, target, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
     Path(source).mkdir()
     for n in range(3):
-        write(source, f"{n}.csv", TRAIN_HEAD, *[f"{n * 5 + i},201{n}-01-01,1,1,1.0," for i in range(5)])
+        lines = [f"{n * 5 + i},201{n}-01-01,1,1,1.0," for i in range(5)]
+        write(source, f"{n}.csv", TRAIN_HEAD, *lines)
 
     def loaded():
         load_new_files(spark, source, target, progress, files_per_batch=2)
