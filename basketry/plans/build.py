@@ -12,6 +12,7 @@ from basketry.operators import reports
 from basketry.plans.warehouse import Warehouse
 from basketry.sinks.stored import rows_per_year, write_by_year
 from basketry.sources.csv_files import read_fact, read_table
+from basketry.sources.stored import read_master
 from basketry.tables import RetailTables
 
 log = logging.getLogger(__name__)
@@ -59,15 +60,15 @@ def log_reports(named: dict[str, DataFrame]) -> None:
 def export(
     warehouse: Warehouse, path: str, years: Sequence[int] | None = None
 ) -> DataFrame:
-    """Write the wide sales table by year; returns the rows written per year."""
+    """Write a copy of the wide sales table, or of some of its years; returns the rows
+    per year at ``path``."""
     write_by_year(warehouse.master, path, years)
-    written = warehouse.spark.read.parquet(path)
-    return rows_per_year(written)
+    return rows_per_year(read_master(warehouse.spark, path))
 
 
 def run(spark: SparkSession, folder: str, output: str, cutoff: str) -> DataFrame:
-    """CSV files to clean views, wide table, reports and yearly export."""
-    warehouse = Warehouse(spark, load_tables(spark, folder))
+    """CSV files to clean views, reports and the wide table, stored by year in ``output``."""
+    warehouse = Warehouse(spark, load_tables(spark, folder), master_path=output)
     log_reports(clean_all(warehouse, cutoff))
     log_reports(master_reports(warehouse.master, cutoff))
-    return export(warehouse, output)
+    return rows_per_year(warehouse.master)

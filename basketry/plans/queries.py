@@ -31,18 +31,6 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return open_warehouse(spark, folder, adapt)
 
 
-def daily(w: Warehouse) -> DataFrame:
-    return explore.daily_sales(w.train)
-
-
-def performance(w: Warehouse) -> DataFrame:
-    return explore.store_performance(w.train, w.stores.frame)
-
-
-def families(w: Warehouse) -> DataFrame:
-    return explore.family_performance(w.train, w.items.frame)
-
-
 # --- sources, sinks and streams ------------------------------------------------------
 
 
@@ -140,7 +128,7 @@ def _rounded_std(summary: DataFrame) -> DataFrame:
 
 def _describe_daily(w: Warehouse) -> DataFrame:
     columns = ["total_sales", "num_transactions", "avg_sales"]
-    return _rounded_std(explore.describe(daily(w), columns))
+    return _rounded_std(explore.describe(w.daily, columns))
 
 
 def _describe_latest(w: Warehouse) -> DataFrame:
@@ -207,31 +195,31 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "latest_rows": lambda w: topk.latest_rows(w.train),
     "describe_latest": _describe_latest,
     # daily series
-    "daily_sales": daily,
+    "daily_sales": lambda w: explore.daily_sales(w.train),
     "describe_daily": _describe_daily,
-    "year_ranges": lambda w: explore.year_ranges(daily(w)),
-    "yearly_sales": lambda w: explore.yearly_sales(daily(w)),
-    "month_pattern": lambda w: explore.month_pattern(daily(w)),
-    "best_worst_month": lambda w: explore.best_and_worst_month(explore.month_pattern(daily(w))),
-    "dow_vs_avg": lambda w: explore.weekday_pattern(daily(w)),
-    "holiday_vs_regular": lambda w: explore.holiday_comparison(daily(w), w.holidays_events),
+    "year_ranges": lambda w: explore.year_ranges(w.daily),
+    "yearly_sales": lambda w: explore.yearly_sales(w.daily),
+    "month_pattern": lambda w: explore.month_pattern(w.daily),
+    "best_worst_month": lambda w: explore.best_and_worst_month(explore.month_pattern(w.daily)),
+    "dow_vs_avg": lambda w: explore.weekday_pattern(w.daily),
+    "holiday_vs_regular": lambda w: explore.holiday_comparison(w.daily, w.holidays_events),
     "holiday_lift": lambda w: explore.holiday_lift(
-        explore.holiday_comparison(daily(w), w.holidays_events)
+        explore.holiday_comparison(w.daily, w.holidays_events)
     ),
-    "december_stats": lambda w: explore.december_stats(daily(w)),
-    "december_daily": lambda w: explore.december_days(daily(w)),
-    "december_years": lambda w: explore.december_years(daily(w)),
-    "moving_avg_30": lambda w: explore.moving_average(daily(w)),
-    "sales_vs_oil": lambda w: explore.sales_and_oil(daily(w), w.oil),
+    "december_stats": lambda w: explore.december_stats(w.daily),
+    "december_daily": lambda w: explore.december_days(w.daily),
+    "december_years": lambda w: explore.december_years(w.daily),
+    "moving_avg_30": lambda w: explore.moving_average(w.daily),
+    "sales_vs_oil": lambda w: explore.sales_and_oil(w.daily, w.oil),
     # stores, items and promotions
-    "store_perf": performance,
-    "store_top_bottom": lambda w: explore.top_and_bottom_stores(performance(w)),
-    "type_perf": lambda w: explore.type_performance(performance(w)),
-    "city_perf": lambda w: explore.city_performance(performance(w)),
-    "concentration_stores": lambda w: explore.store_concentration(performance(w), w.stores.frame),
-    "family_perf": families,
-    "family_top15": lambda w: explore.top_by_sales(families(w), "family", 15),
-    "concentration_families": lambda w: explore.family_concentration(families(w)),
+    "store_perf": lambda w: explore.store_performance(w.train, w.stores.frame),
+    "store_top_bottom": lambda w: explore.top_and_bottom_stores(w.store_performance),
+    "type_perf": lambda w: explore.type_performance(w.store_performance),
+    "city_perf": lambda w: explore.city_performance(w.store_performance),
+    "concentration_stores": lambda w: explore.store_concentration(w.store_performance, w.stores.frame),
+    "family_perf": lambda w: explore.family_performance(w.train, w.items.frame),
+    "family_top15": lambda w: explore.top_by_sales(w.family_performance, "family", 15),
+    "concentration_families": lambda w: explore.family_concentration(w.family_performance),
     "perishable_split": lambda w: explore.perishable_split(w.train, w.items.frame),
     "promo_by_flag": lambda w: explore.promotion_by_flag(w.train),
     "promo_lift": lambda w: explore.promotion_lift(explore.promotion_by_flag(w.train)),

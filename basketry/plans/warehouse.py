@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.operators import clean, enrich
+from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
 from basketry.session import fresh_path
 from basketry.sinks.stored import write_by_year
@@ -21,20 +21,27 @@ class Warehouse:
     Every table is written to the shared folder when first asked for and read from
     there afterwards. The sales are laid out by year and day, so that reports scan
     the columns and days they need; the wide sales table is stored as well, so that
-    no report repeats its joins. A new ``Warehouse`` loads and builds all anew.
+    no report repeats its joins, at ``master_path`` if given, and so are the sales per
+    day, store and family that many reports start from. A new ``Warehouse`` loads and
+    builds all anew.
     """
 
-    def __init__(self, spark: SparkSession, tables: RetailTables):
+    def __init__(
+        self, spark: SparkSession, tables: RetailTables, master_path: str | None = None
+    ):
         self.spark = spark
         self.raw = tables
+        self.master_path = master_path
 
     def _stored(self, name: str, frame: DataFrame) -> DataFrame:
         path = fresh_path(self.spark, name)
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
-    def _stored_by_year(self, name: str, frame: DataFrame) -> DataFrame:
-        path = fresh_path(self.spark, name)
+    def _stored_by_year(
+        self, name: str, frame: DataFrame, path: str | None = None
+    ) -> DataFrame:
+        path = path or fresh_path(self.spark, name)
         write_by_year(frame, path)
         return read_by_year(self.spark, path, frame.schema)
 
@@ -84,6 +91,21 @@ class Warehouse:
             test=self.raw.test,
         )
 
+    @cached_property
+    def daily(self) -> DataFrame:
+        """One row per day, the base of all series over time."""
+        return self._stored("daily", explore.daily_sales(self.train))
+
+    @cached_property
+    def store_performance(self) -> DataFrame:
+        found = explore.store_performance(self.train, self.stores.frame)
+        return self._stored("store_performance", found)
+
+    @cached_property
+    def family_performance(self) -> DataFrame:
+        found = explore.family_performance(self.train, self.items.frame)
+        return self._stored("family_performance", found)
+
     def train_clean(self) -> DataFrame:
         return clean.train_clean(self.train, self.stores, self.items, self.raw.test)
 
@@ -98,7 +120,7 @@ class Warehouse:
 
     @cached_property
     def master(self) -> DataFrame:
-        return self._stored_by_year("master", self.master_rows())
+        return self._stored_by_year("master", self.master_rows(), self.master_path)
 
 
 _open: dict[tuple[str, str], Warehouse] = {}

@@ -29,7 +29,7 @@ def write_by_year(
 ) -> None:
     """Parquet in one folder per year, each file holding few days in order.
 
-    Years written replace the stored ones; other stored years stay as they are.
+    Without ``years`` the whole stored table is replaced; with them only those years.
 
     Rows are brought together by day, so that file statistics prune on the date. The
     rebalancing shuffle merges small days and splits days larger than the advisory
@@ -44,7 +44,7 @@ def write_by_year(
         .sortWithinPartitions("year", *order)
         .write.mode("overwrite")
         .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if years is None else "dynamic")
         .partitionBy("year")
         .parquet(path)
     )

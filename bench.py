@@ -45,6 +45,7 @@ def main() -> None:
         "load_tables": lambda: w.tables,
         "build_clean_views": lambda: (w.oil_clean, w.holidays_clean),
         "build_master": lambda: w.master,
+        "build_summaries": lambda: (w.daily, w.store_performance, w.family_performance),
     }
     _timed(lambda: spark.read.parquet(f"{folder}/region.parquet").count())  # start the JVM
     times = {name: _timed(load) for name, load in loads.items()}

@@ -186,6 +186,8 @@ def test_exporting_a_year_again_leaves_the_others(spark, hot_day, tmp_path):
     assert second[2013] == first[2013] and second[2014] < first[2014]
     sales = stored.read_by_year(spark, path, hot_day.schema)
     assert sales.schema.names == hot_day.columns
+    write_by_year(hot_day.where("date < DATE '2014-01-01'"), path)
+    assert [row[0] for row in rows(rows_per_year(spark.read.parquet(path)))] == [2013]
 
 
 # --- incremental load ----------------------------------------------------------------
@@ -245,6 +247,11 @@ def test_whole_run_from_csv(spark, csv_folder, tmp_path, caplog):
     ]
 
 
+def test_copy_of_some_years(spark, csv_folder, tmp_path):
+    warehouse = Warehouse(spark, build.load_tables(spark, csv_folder))
+    assert rows(build.export(warehouse, f"{tmp_path}/copy", [2012, 2013])) == [(2013, 2)]
+
+
 def test_input_table_that_is_needed(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="stores"):
         build.load_tables(spark, str(tmp_path))
