@@ -22,6 +22,7 @@ from basketry.functions.labels import (
     WEEKDAYS,
     label,
 )
+from basketry.operators.lookup import Lookup, lookup_join
 
 # --- counts and summaries of a table -------------------------------------------------
 
@@ -341,24 +342,21 @@ def _top_shares(performance: DataFrame, key: str) -> DataFrame:
 # --- items and promotions ------------------------------------------------------------
 
 
-def _sales_per_item_and_store(sales: DataFrame) -> DataFrame:
-    """Partial sums that leave each item at most one row per store."""
-    return sales.groupBy("item_nbr", "store_nbr").agg(
-        F.count("*").alias("rows"),
-        F.count("unit_sales").alias("known"),
-        F.sum("unit_sales").alias("units"),
-    )
-
-
-def family_performance(sales: DataFrame, items: DataFrame) -> DataFrame:
-    """Sales per family of existing items, from sales summed per item and store."""
-    joined = _sales_per_item_and_store(sales).join(items.select("item_nbr", "family"), "item_nbr")
-    return joined.groupBy("family").agg(
-        F.sum("rows").alias("num_transactions"),
-        F.round(F.sum("units"), 0).alias("total_sales"),
-        F.round(F.try_divide(F.sum("units"), F.sum("known")), 2).alias("avg_sales"),
-        F.count_distinct("item_nbr").alias("unique_items"),
-        F.count_distinct("store_nbr").alias("stores_selling"),
+def family_performance(sales: DataFrame, items: Lookup | DataFrame) -> DataFrame:
+    """Sales per family of existing items."""
+    items = items if isinstance(items, Lookup) else Lookup.of(items)
+    families = items.derive(items.frame.select("item_nbr", "family"))
+    known = sales.select("item_nbr", "store_nbr", "unit_sales")
+    return (
+        lookup_join(known, families, ["item_nbr"], "inner")
+        .groupBy("family")
+        .agg(
+            F.count("*").alias("num_transactions"),
+            F.round(F.sum("unit_sales"), 0).alias("total_sales"),
+            rounded_mean("unit_sales").alias("avg_sales"),
+            F.count_distinct("item_nbr").alias("unique_items"),
+            F.count_distinct("store_nbr").alias("stores_selling"),
+        )
     )
 
 

@@ -217,7 +217,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "type_perf": lambda w: explore.type_performance(w.store_performance),
     "city_perf": lambda w: explore.city_performance(w.store_performance),
     "concentration_stores": lambda w: explore.store_concentration(w.store_performance, w.stores.frame),
-    "family_perf": lambda w: explore.family_performance(w.train, w.items.frame),
+    "family_perf": lambda w: explore.family_performance(w.train, w.items),
     "family_top15": lambda w: explore.top_by_sales(w.family_performance, "family", 15),
     "concentration_families": lambda w: explore.family_concentration(w.family_performance),
     "perishable_split": lambda w: explore.perishable_split(w.train, w.items.frame),

@@ -103,7 +103,7 @@ class Warehouse:
 
     @cached_property
     def family_performance(self) -> DataFrame:
-        found = explore.family_performance(self.train, self.items.frame)
+        found = explore.family_performance(self.train, self.items)
         return self._stored("family_performance", found)
 
     def train_clean(self) -> DataFrame:

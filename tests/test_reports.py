@@ -181,6 +181,8 @@ def test_sales_of_unknown_stores_and_items_are_left_out(make):
         1, "Q", "P", "A", 1, 2, Decimal(4), 1, 2,
     )
     assert rows(explore.type_performance(performance)) == [("A", 1, 4.0, 4.0)]
+    families = explore.family_performance(train, items)
+    assert rows(families) == [("F", 3, Decimal(5), Decimal("1.67"), 1, 2)]
     split = explore.perishable_split(train, items).select("is_perishable", "perishability")
     assert rows(split) == [(2, None)]
     assert rows(explore.promotion_lift(explore.promotion_by_flag(train))) == [

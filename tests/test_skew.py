@@ -46,11 +46,15 @@ def test_query_on_skewed_tables(spark, folder, name):
     assert differences(result, connect(folder), entry_points.oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", ["train_clean", "master"])
+@pytest.mark.parametrize("name", ["train_clean", "master", "family_perf"])
 def test_salted_joins_on_skewed_tables(spark, folder, name, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
     fresh = Warehouse(spark, adapt(spark, folder))
-    result = fresh.train_clean() if name == "train_clean" else fresh.master_rows()
+    result = {
+        "train_clean": fresh.train_clean,
+        "master": fresh.master_rows,
+        "family_perf": lambda: fresh.family_performance,
+    }[name]()
     expected = entry_points.queries()[name](spark, folder)
     doubled = result.select(
         *[result[f.name].cast(f.dataType).alias(f.name) for f in expected.schema]
