@@ -280,9 +280,10 @@ def top_and_bottom_stores(performance: DataFrame, n: int = 10) -> DataFrame:
     ranked = performance.select("store_nbr", "total_sales")
     top = top_by_sales(ranked, "store_nbr", n)
     bottom = ranked.orderBy(F.asc_nulls_last("total_sales"), F.desc("store_nbr")).limit(n)
-    return top.select(F.lit("top").alias("position"), "*").unionByName(
+    both = top.select(F.lit("top").alias("position"), "*").unionByName(
         bottom.select(F.lit("bottom").alias("position"), "*")
     )
+    return both.orderBy(F.desc("position"), F.desc_nulls_first("total_sales"), "store_nbr")
 
 
 def type_performance(performance: DataFrame) -> DataFrame:

@@ -13,10 +13,15 @@ from basketry.session import shared_dir
 #: Largest lookup sent to every executor, measured as the bytes of its JSON text.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: In the shuffled join the most frequent keys are spread over ``SALTS`` tasks each.
-#: A key outside the ``HOT_KEYS`` most frequent holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 256
-SALTS = 64
+#: In the shuffled join a key with more rows than this is spread over several tasks,
+#: about one for each so many rows.
+ROWS_PER_TASK = 5_000_000
+
+#: Most keys treated that way. Any other key then holds less than 1/HOT_KEYS of the rows.
+HOT_KEYS = 100_000
+
+#: Salts for rows without a key, which meet no lookup row.
+MISSING_SPREAD = 65_536
 
 
 @dataclass(frozen=True)
@@ -63,27 +68,29 @@ def salted_join(
     on: list[str],
     how: str = "left",
     keys_from: DataFrame | None = None,
+    rows_per_task: int | None = None,
     hot_keys: int = HOT_KEYS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Shuffle join in which each hot key is split over ``salts`` partitions.
+    """Shuffle join in which each hot key is split by a salt, the more the more rows it has.
 
     The lookup rows of a hot key are repeated once per salt, so that every fact row
-    meets each of its matches exactly once. Rows without a key match nothing and are
-    spread as well.
+    meets each of its matches exactly once. The salt comes from the row itself: a task
+    that is run again gives each row the same one.
     """
-    hot = _hot_keys(facts if keys_from is None else keys_from, on, hot_keys, salts)
-    missing_key = _any_null(on)
-    spread = F.when(missing_key, salts).otherwise(F.coalesce("_spread", F.lit(1)))
+    counted = facts if keys_from is None else keys_from
+    hot = _hot_keys(counted, on, rows_per_task or ROWS_PER_TASK, hot_keys)
+    spread = F.coalesce("_spread", F.lit(1))
     row_hash = F.xxhash64(*facts.columns)
     salted_facts = (
         facts.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.pmod(row_hash, spread).cast("int"))
+        .withColumn("_spread", F.when(_any_null(on), MISSING_SPREAD).otherwise(spread))
+        .withColumn("_salt", F.pmod(row_hash, "_spread").cast("int"))
         .drop("_spread")
     )
-    repeats = F.explode(F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1))
     salted_lookup = (
-        lookup.join(F.broadcast(hot), on, "left").withColumn("_salt", repeats).drop("_spread")
+        lookup.join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+        .drop("_spread")
     )
     return salted_facts.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
 
@@ -95,9 +102,13 @@ def _any_null(columns: Sequence[str]) -> Column:
     return test
 
 
-def _hot_keys(facts: DataFrame, on: list[str], limit: int, salts: int) -> DataFrame:
-    """The most frequent keys, written once so that both join sides see the same ones."""
+def _hot_keys(facts: DataFrame, on: list[str], rows_per_task: int, limit: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows and the number of tasks for each,
+    written once so that both join sides see the same."""
     shared_dir(facts.sparkSession)
     counted = facts.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("_rows"))
-    ranked = counted.orderBy(F.desc("_rows"), *on).limit(limit)
-    return ranked.select(*on, F.lit(salts).alias("_spread")).checkpoint()
+    ranked = (
+        counted.where(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *on).limit(limit)
+    )
+    tasks = F.ceil(F.col("_rows") / rows_per_task).cast("int")
+    return ranked.select(*on, tasks.alias("_spread")).checkpoint()

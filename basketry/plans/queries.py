@@ -119,6 +119,10 @@ def _for_tables(w: Warehouse, columns: dict[str, tuple[str, ...]], count: Callab
     return first
 
 
+def _by_sales(performance: DataFrame, key: str) -> DataFrame:
+    return performance.orderBy(F.desc_nulls_first("total_sales"), F.asc_nulls_first(key))
+
+
 def _rounded_std(summary: DataFrame) -> DataFrame:
     """Means and deviations as they are printed, to six places."""
     return summary.withColumns(
@@ -195,7 +199,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "latest_rows": lambda w: topk.latest_rows(w.train),
     "describe_latest": _describe_latest,
     # daily series
-    "daily_sales": lambda w: explore.daily_sales(w.train),
+    "daily_sales": lambda w: explore.daily_sales(w.train).orderBy("date"),
     "describe_daily": _describe_daily,
     "year_ranges": lambda w: explore.year_ranges(w.daily),
     "yearly_sales": lambda w: explore.yearly_sales(w.daily),
@@ -212,12 +216,16 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "moving_avg_30": lambda w: explore.moving_average(w.daily),
     "sales_vs_oil": lambda w: explore.sales_and_oil(w.daily, w.oil),
     # stores, items and promotions
-    "store_perf": lambda w: explore.store_performance(w.train, w.stores.frame),
+    "store_perf": lambda w: _by_sales(
+        explore.store_performance(w.train, w.stores.frame), "store_nbr"
+    ),
     "store_top_bottom": lambda w: explore.top_and_bottom_stores(w.store_performance),
     "type_perf": lambda w: explore.type_performance(w.store_performance),
     "city_perf": lambda w: explore.city_performance(w.store_performance),
-    "concentration_stores": lambda w: explore.store_concentration(w.store_performance, w.stores.frame),
-    "family_perf": lambda w: explore.family_performance(w.train, w.items),
+    "concentration_stores": lambda w: explore.store_concentration(
+        w.store_performance, w.stores.frame
+    ),
+    "family_perf": lambda w: _by_sales(explore.family_performance(w.train, w.items), "family"),
     "family_top15": lambda w: explore.top_by_sales(w.family_performance, "family", 15),
     "concentration_families": lambda w: explore.family_concentration(w.family_performance),
     "perishable_split": lambda w: explore.perishable_split(w.train, w.items.frame),

@@ -72,6 +72,7 @@ def test_a_sale_appears_once_per_holiday_at_its_place(tables):
 def test_master_is_the_same_with_lookups_too_big_to_broadcast(tables, monkeypatch):
     small = rows(build_master(tables), *schemas.MASTER.names)
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(lookup, "ROWS_PER_TASK", 1)
     big = build_master(tables)
     assert rows(big, *schemas.MASTER.names) == small
 
@@ -164,16 +165,22 @@ def keyed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot_keys", [1, 7, 256])
-def test_salted_join_gives_the_plain_join(skewed, keyed, how, hot_keys):
+@pytest.mark.parametrize(("rows_per_task", "hot_keys"), [(7, 100), (7, 1), (500, 100), (None, 9)])
+def test_salted_join_gives_the_plain_join(skewed, keyed, how, rows_per_task, hot_keys):
     plain = skewed.join(keyed, "k", how)
-    salted = salted_join(skewed, keyed, ["k"], how, hot_keys=hot_keys, salts=8)
+    salted = salted_join(
+        skewed, keyed, ["k"], how, rows_per_task=rows_per_task, hot_keys=hot_keys
+    )
     assert rows(salted, "id", "v") == rows(plain.select(*salted.columns), "id", "v")
 
 
-def test_salts_spread_the_hot_key_and_the_missing_key(skewed):
-    hot = lookup._hot_keys(skewed, ["k"], 1, 8)
-    assert rows(hot) == [(1, 8)]
+def test_a_hot_key_is_spread_by_its_rows(skewed):
+    frequent = skewed.where("k = 1").count()
+    assert rows(lookup._hot_keys(skewed, ["k"], 500, 10)) == [(1, -(-frequent // 500))]
+    assert rows(lookup._hot_keys(skewed, ["k"], 5_000, 10)) == []
+    many = lookup._hot_keys(skewed, ["k"], 10, 3)
+    assert many.count() == 3
+    assert many.where("k = 1").first()["_spread"] == -(-frequent // 10)
 
 
 def test_lookup_size_decides_the_join(skewed, keyed):

@@ -49,6 +49,7 @@ def test_query_on_skewed_tables(spark, folder, name):
 @pytest.mark.parametrize("name", ["train_clean", "master", "family_perf"])
 def test_salted_joins_on_skewed_tables(spark, folder, name, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(lookup, "ROWS_PER_TASK", 100)
     fresh = Warehouse(spark, adapt(spark, folder))
     result = {
         "train_clean": fresh.train_clean,
