@@ -130,8 +130,8 @@ FROM placed LEFT JOIN holidays_clean ON placed.date = holidays_clean.date
     ),
     "master": (
         ("matched", "items", "oil_clean"),
-        """SELECT id, matched.date, store_nbr, matched.item_nbr, unit_sales, onpromotion, city, state,
-    store_type, store_cluster, family AS item_family, class AS item_class, perishable,
+        """SELECT id, matched.date, store_nbr, matched.item_nbr, unit_sales, onpromotion,
+    city, state, store_type, store_cluster, family AS item_family, class AS item_class, perishable,
     oil_price, is_imputed AS oil_is_imputed, is_holiday, holiday_type, holiday_description,
     CAST(extract(year FROM matched.date) AS INT) AS year,
     CAST(extract(month FROM matched.date) AS INT) AS month,
@@ -173,7 +173,8 @@ FROM daily WINDOW last_30 AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURREN
 )
 _TABLES["months"] = (
     ("daily",),
-    """SELECT CAST(extract(month FROM date) AS INT) AS month, strftime(min(date), '%b') AS month_name,
+    """SELECT CAST(extract(month FROM date) AS INT) AS month,
+    strftime(min(date), '%b') AS month_name,
     round_even(sum(total_sales) / count(*), 0) AS total_sales,
     round_even(CAST(sum(num_transactions) AS DOUBLE) / count(*), 0) AS num_transactions
 FROM daily GROUP BY extract(month FROM date)""",
@@ -209,7 +210,8 @@ FROM train JOIN items ON train.item_nbr = items.item_nbr GROUP BY family""",
 _TABLES["promotions"] = (
     ("train",),
     f"""SELECT coalesce(onpromotion, FALSE) AS on_promotion,
-    CASE WHEN coalesce(onpromotion, FALSE) THEN 'With Promotion' ELSE 'No Promotion' END AS promotion,
+    CASE WHEN coalesce(onpromotion, FALSE) THEN 'With Promotion' ELSE 'No Promotion' END
+        AS promotion,
     CAST(round(sum(unit_sales), 0) AS DOUBLE) AS total_sales,
     {_mean("unit_sales")} AS avg_sales_per_transaction, count(*) AS num_transactions
 FROM train GROUP BY ALL""",
@@ -353,7 +355,8 @@ _SQL: dict[str, str] = {
         "master", "SELECT year, count(*) AS rows FROM master GROUP BY year"
     ),
     "oil_calendar": _query(
-        "oil_calendar", "SELECT date, CAST(oil_price_raw AS DOUBLE) AS oil_price_raw FROM oil_calendar"
+        "oil_calendar",
+        "SELECT date, CAST(oil_price_raw AS DOUBLE) AS oil_price_raw FROM oil_calendar",
     ),
     "oil_clean": _query(
         "oil_clean",
@@ -513,7 +516,8 @@ FROM holidays_events GROUP BY ALL""",
     ),
     "invalid_values": _query(
         "train",
-        f"""SELECT {_flag("unit_sales IS NULL")} AS null_values, {_flag("unit_sales < 1")} AS refunds,
+        f"""SELECT {_flag("unit_sales IS NULL")} AS null_values,
+    {_flag("unit_sales < 1")} AS refunds,
     {_flag("store_nbr IS NULL")} AS null_stores, {_flag("item_nbr IS NULL")} AS null_items
 FROM train""",
     ),
@@ -538,12 +542,14 @@ FROM daily GROUP BY extract(year FROM date)""",
     "month_pattern": _query("months", "SELECT * FROM months"),
     "best_worst_month": _query(
         "months",
-        """SELECT (SELECT month_name FROM months ORDER BY total_sales DESC, month LIMIT 1) AS best_month,
+        """SELECT
+    (SELECT month_name FROM months ORDER BY total_sales DESC, month LIMIT 1) AS best_month,
     (SELECT month_name FROM months ORDER BY total_sales, month LIMIT 1) AS worst_month""",
     ),
     "dow_vs_avg": _query(
         "weekdays",
-        """SELECT *, round_even((total_sales / (SELECT avg(total_sales) FROM weekdays) - 1) * 100, 1)
+        """SELECT *,
+    round_even((total_sales / (SELECT avg(total_sales) FROM weekdays) - 1) * 100, 1)
     AS pct_vs_average FROM weekdays""",
     ),
     "holiday_vs_regular": _query("day_kinds", "SELECT * FROM day_kinds"),
