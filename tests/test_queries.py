@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from basketry.plans import queries as registry
+from checks import sql
 from checks.compare import connect, differences
 
 SMALL = "/root/testdata/sf0.001"
@@ -15,11 +17,11 @@ def duck():
 
 
 def test_every_query_has_expected_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert registry.queries().keys() == sql.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("folder", [SMALL, MIDDLE])
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query(spark, duck, name, folder):
     result = entry_points.queries()[name](spark, folder)
     assert differences(result, duck[folder], entry_points.oracle_sql()[name]) == []
