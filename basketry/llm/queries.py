@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import binary, packing
+from basketry.llm import ann, binary, mixing, packing
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +18,21 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return importable(spark).read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = importable(spark).read.parquet(f"{folder}/embeddings.parquet")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, dim=64, tables=8, probes=24)
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(_documents(spark, folder), tokenizer, capacity=4096, end_id=1)
 
 
+def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
+    planned = mixing.plan(_documents(spark, folder), (5, 2, 1), share=1.5, max_epochs=2.0)
+    return planned.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return binary.token_files(_documents(spark, folder), tokenizer, end_id=0)
@@ -29,7 +40,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_cross_polytope": op1_cross_polytope,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op8_water_filling": op8_water_filling,
         "op10_token_files": op10_token_files,
     }
 
