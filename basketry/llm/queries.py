@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, mixing, packing
+from basketry.llm import ann, binary, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, dim=64, tables=8, probes=24)
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = rules.verdicts(_documents(spark, folder))
+    return rows.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(_documents(spark, folder), tokenizer, capacity=4096, end_id=1)
@@ -41,6 +46,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_cross_polytope": op1_cross_polytope,
+        "op4_quality_rules": op4_quality_rules,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_water_filling": op8_water_filling,
         "op10_token_files": op10_token_files,
