@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, mixing, packing, rules
+from basketry.llm import ann, binary, jaccard, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder), tokenizer, capacity=4096, end_id=1)
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_documents(spark, folder), width=3, threshold="0.9")
+
+
 def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(_documents(spark, folder), (5, 2, 1), share=1.5, max_epochs=2.0)
     return planned.select("doc_id", "size", "source_size", "target", "taken")
@@ -48,6 +52,7 @@ def queries() -> dict[str, Query]:
         "op1_cross_polytope": op1_cross_polytope,
         "op4_quality_rules": op4_quality_rules,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_water_filling": op8_water_filling,
         "op10_token_files": op10_token_files,
     }
