@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, jaccard, mixing, packing, rules
+from basketry.llm import ann, binary, jaccard, langid, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,18 @@ def op1_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, dim=64, tables=8, probes=24)
 
 
+def _remainder(divisor: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    model = langid.train(langid.labelled_rows(docs, _remainder(3) != 1), per_language=500)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(rows, model, "doc_id", "held_out")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = rules.verdicts(_documents(spark, folder))
     return rows.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -50,6 +62,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_cross_polytope": op1_cross_polytope,
+        "op2_language_id": op2_language_id,
         "op4_quality_rules": op4_quality_rules,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_jaccard_join": op7_jaccard_join,
