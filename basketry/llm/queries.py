@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, jaccard, langid, mixing, packing, rules
+from basketry.llm import ann, binary, jaccard, langid, licenses, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(rows, model, "doc_id", "held_out")
 
 
+def op3_license_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summarised(licenses.scan(_documents(spark, folder), "doc_id"), "doc_id")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = rules.verdicts(_documents(spark, folder))
     return rows.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_cross_polytope": op1_cross_polytope,
         "op2_language_id": op2_language_id,
+        "op3_license_templates": op3_license_templates,
         "op4_quality_rules": op4_quality_rules,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_jaccard_join": op7_jaccard_join,
