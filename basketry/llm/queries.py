@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, jaccard, langid, licenses, mixing, packing, rules
+from basketry.llm import ann, binary, crf, jaccard, langid, licenses, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,16 @@ def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    field = crf.train(docs, labels, _remainder(5) != 0, per_label=1500)
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    scored = crf.predict(rows, field, "doc_id", "held_out")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return binary.token_files(_documents(spark, folder), tokenizer, end_id=0)
@@ -72,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_water_filling": op8_water_filling,
+        "op9_line_crf": op9_line_crf,
         "op10_token_files": op10_token_files,
     }
 
