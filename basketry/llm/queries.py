@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, crf, jaccard, langid, licenses, mixing, packing, rules
+from basketry.llm import ann, binary, crf, hmm, jaccard, langid, licenses, mixing, packing, rules
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op5_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    remainder = _remainder(5)
+    return hmm.scored(_documents(spark, folder), remainder != 1, remainder == 1, states=4, rounds=4)
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(_documents(spark, folder), tokenizer, capacity=4096, end_id=1)
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op2_language_id": op2_language_id,
         "op3_license_templates": op3_license_templates,
         "op4_quality_rules": op4_quality_rules,
+        "op5_hidden_markov": op5_hidden_markov,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_water_filling": op8_water_filling,
