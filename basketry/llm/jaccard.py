@@ -17,10 +17,12 @@ class from the start. Between classes the candidates come from prefixes:
   else. m grows with the set's size in steps (``_level``), and a set uses its own step and
   the one below, as any partner has the same step as it or the next to it.
 
-Classes that share a key are compared exactly, on their whole sets. To avoid all pairs of a
-large group, first each class is compared with the smallest of its key. What is not yet
-connected after that is compared pair by pair, within keys that still hold several
-components. Components of the confirmed links come from repeated joins to the smallest id.
+Classes that share a key are compared first by bitmaps of about a bit per shingle, whose
+distance never exceeds that of the sets, so only pairs that are too far apart are dropped,
+and then exactly, on their whole sets. To avoid all pairs of a large group, first each class
+is compared with the smallest of its key. What is not yet connected after that is compared
+pair by pair, within keys that still hold several components. Components of the confirmed
+links come from repeated joins to the smallest id.
 
 Cases: a null text, or one without words, is empty, links with nothing and is its own
 component; with fewer than ``width`` words the whole sequence is the one shingle; repeated
@@ -99,8 +101,25 @@ def _set_key(raw: memoryview | bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
 
+def _bitmap(value: np.ndarray) -> bytes:
+    """For each residue of the shingles by a power of two, whether it occurs an odd number of
+    times; at least as many bits as shingles."""
+    bits = max(64, 1 << (len(value) - 1).bit_length())
+    odd = np.bincount((value & _U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _distance(x: bytes, y: bytes) -> int:
+    """Differing bits once the longer bitmap is folded to the length of the shorter."""
+    a, b = np.frombuffer(x, dtype=_U64), np.frombuffer(y, dtype=_U64)
+    if len(a) < len(b):
+        a, b = b, a
+    a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles and a 128-bit key of the set of every document."""
+    """doc_id, n_shingles, a 128-bit key and a bitmap of the set of every document."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches):
@@ -109,16 +128,23 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
             keys = [
                 _set_key(raw[a:b]) if b > a else None for a, b in zip(ends, ends[1:], strict=False)
             ]
+            bitmaps = [
+                _bitmap(value[a // 8 : b // 8]) if b > a else None
+                for a, b in zip(ends, ends[1:], strict=False)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(np.diff(places), pa.int64()),
                     pa.array(keys, pa.binary()),
+                    pa.array(bitmaps, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_key"],
+                ["doc_id", "n_shingles", "set_key", "bitmap"],
             )
 
-    return docs.mapInArrow(digest, "doc_id long, n_shingles long, set_key binary")
+    return docs.mapInArrow(
+        digest, "doc_id long, n_shingles long, set_key binary, bitmap binary"
+    )
 
 
 def frequent_shingles(docs: DataFrame, width: int, total: int, ranges: int) -> np.ndarray:
@@ -186,16 +212,18 @@ def _classes_of_step(step: int, t: Fraction) -> int:
     return max(1, math.ceil((largest - math.ceil(t * largest) + 1) / 3))
 
 
-def keys_of(value: np.ndarray, is_frequent: np.ndarray, t: Fraction) -> np.ndarray:
-    """The keys of one set of shingles (in ascending order)."""
+def keys_of(
+    value: np.ndarray, is_frequent: np.ndarray, t: Fraction
+) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of one set of shingles (ascending): rare shingles, and pairs of frequent ones."""
     n = len(value)
     slack = n - -(-t.numerator * n // t.denominator)
     rare = value[~is_frequent]
     base = rare[: slack + 1]
     if len(rare) > slack:
-        return base
+        return base, base[:0]
     often = value[is_frequent]
-    out = [base]
+    out = [base[:0]]
     step = bisect_right(_steps(t), n) - 1
     for level in {step, max(step - 1, 0)}:
         m = _classes_of_step(level, t)
@@ -209,12 +237,12 @@ def keys_of(value: np.ndarray, is_frequent: np.ndarray, t: Fraction) -> np.ndarr
                 break
             one, two = extended[same], extended[same + distance]
             out.append(words.mix(words.mix(one + _U64(level + 1)) + two))
-    return np.unique(np.concatenate(out))
+    return base, np.unique(np.concatenate(out))
 
 
 def postings(docs: DataFrame, width: int, t: Fraction, frequent: np.ndarray) -> DataFrame:
-    """key, doc_id, set and size for every key of every document; of documents of one block
-    with equal sets the one with the smallest id speaks for all."""
+    """key, doc_id and whether the key is a pair (``often``) for every key of every document;
+    of documents of one block with equal sets the smallest id speaks for all."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     shift = _U64(64 - _COUNT_BITS)
 
@@ -235,21 +263,86 @@ def postings(docs: DataFrame, width: int, t: Fraction, frequent: np.ndarray) ->
                         first[key] = i
             rows = list(first.values())
             found = [keys_of(value[ends[i] : ends[i + 1]], flags[ends[i] : ends[i + 1]], t) for i in rows]
-            sizes = [len(x) for x in found]
-            sums = np.array([int.from_bytes(k[:8], "little", signed=True) for k in first], dtype=np.int64)
-            doc = np.repeat(np.array(rows, dtype=np.int64), sizes)
-            keys = np.concatenate(found) if found else value[:0]
+            doc = ids[np.array(rows, dtype=np.int64)].astype(np.int64)
+            for often_too in (False, True):
+                keys = [x[often_too] for x in found]
+                flat = np.concatenate(keys) if keys else value[:0]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(flat.view(np.int64)),
+                        pa.array(np.repeat(doc, [len(x) for x in keys])),
+                        pa.array(np.full(len(flat), often_too)),
+                    ],
+                    ["key", "doc_id", "often"],
+                )
+
+    return docs.mapInArrow(send, "key long, doc_id long, often boolean")
+
+
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """key, doc_id and hub (the key's smallest doc_id) for keys of several documents.
+
+    A rare shingle has few documents, so its rows are sorted into one task and streamed. A
+    pair can have any number: its hub is found by a partial aggregate and joined back.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, doc = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+        def several(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+            new = np.append(True, key[1:] != key[:-1])[: len(key)]
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(key)))
+            kept = np.repeat(size > 1, size)
+            hub = np.repeat(doc[first], size)
+            columns = [pa.array(x[kept]) for x in (key, doc, hub)]
+            return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "hub"])
+
+        for batch in batches:
+            key = np.concatenate([key, batch.column(0).to_numpy()])
+            doc = np.concatenate([doc, batch.column(1).to_numpy()])
+            if not len(key):
+                continue
+            done = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            if done:
+                yield several(key[:done], doc[:done])
+                key, doc = key[done:], doc[done:]
+        yield several(key, doc)
+
+    rare = keyed.where(~F.col("often")).select("key", "doc_id")
+    rare = rare.repartition("key").sortWithinPartitions("key", "doc_id")
+    rare = rare.mapInArrow(runs, "key long, doc_id long, hub long")
+    often = keyed.where("often").select("key", "doc_id")
+    hubs = often.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("high"))
+    hubs = hubs.where(F.col("hub") < F.col("high")).drop("high")
+    return rare.unionByName(often.join(hubs, "key").select("key", "doc_id", "hub"))
+
+
+def close_enough(pairs: DataFrame, bitmaps: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs whose sizes and bitmaps allow a similarity of ``t``; none that has it goes."""
+    up, down = t.numerator, t.denominator
+    sides = [
+        bitmaps.select(
+            F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("bitmap").alias(f"of_{x}")
+        )
+        for x in ("a", "b")
+    ]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            good = np.zeros(batch.num_rows, dtype=bool)
+            # Similar sets differ in at most (1 - t) / (1 + t) of their sizes together.
+            most = (down - up) * sizes // (down + up)
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+                good[i] = _distance(x.as_buffer(), y.as_buffer()) <= most[i]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys.view(np.int64)),
-                    pa.array(ids[doc].astype(np.int64)),
-                    pa.array(np.repeat(sums, sizes)),
-                    pa.array(np.diff(places)[doc].astype(np.int32)),
-                ],
-                ["key", "doc_id", "set", "n"],
+                [c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"]
             )
 
-    return docs.mapInArrow(send, "key long, doc_id long, set long, n int")
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    both = both.where(down * F.least("n_a", "n_b") >= up * F.greatest("n_a", "n_b"))
+    return both.select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(near, "a long, b long")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, t: Fraction) -> DataFrame:
@@ -287,7 +380,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, t: Fraction) -> Dat
                 [c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"]
             )
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    # The smaller id is often a hub of many pairs: its set comes last and moves no further.
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
     return both.mapInArrow(similar, "a long, b long")
 
 
@@ -322,44 +416,47 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") ->
     t = Fraction(threshold)
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    all_sets = stored(sets(texts, width), "set-keys")
+    all_sets = stored(sets(texts, width), "sets")
     classes = all_sets.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = classes.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "classes")
-    known = texts.where(F.col("doc_id").isNotNull())
     total = all_sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     frequent = frequent_shingles(texts, width, total, ranges)
-    keyed = stored(postings(known, width, t, frequent), "postings")
-    # Keys of several sets, with the smallest document of each. Documents with equal sets
-    # have equal keys, so the smallest with a key and a set is that of the set's class.
-    hubs = keyed.groupBy("key").agg(
-        F.min("doc_id").alias("hub"), F.min("set").alias("low"), F.max("set").alias("high")
-    )
-    hubs = hubs.where(F.col("low") < F.col("high")).select("key", "hub")
-    shared = keyed.join(hubs, "key").groupBy("key", "hub", "set")
-    shared = shared.agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    shared = stored(shared.drop("set"), "shared-keys")
-    first = shared.where(F.col("hub") < F.col("doc_id"))
-    first = first.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    known = texts.where(F.col("doc_id").isNotNull())
+    shared = shared_keys(stored(postings(known, width, t, frequent), "postings"))
+    # Documents with equal sets have equal keys, so a key's smallest document is a class id.
+    members = all_sets.select("doc_id", "set_key").join(classes, "set_key").drop("set_key")
+    shared = shared.join(members.distinct(), "doc_id").select("key", "hub", "class_id")
+    shared = stored(shared.distinct(), "shared-keys")
+    bitmaps = all_sets.select("doc_id", "n_shingles", "bitmap").dropna().dropDuplicates(["doc_id"])
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        near = stored(close_enough(pairs, bitmaps, t), "near")
+        return stored(confirmed(texts, near, width, t), "confirmed")
+
+    first = shared.where(F.col("hub") < F.col("class_id"))
+    first = first.select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
     first = stored(first, "pairs")
-    links = stored(confirmed(texts, first, width, t), "confirmed")
+    links = links_of(first)
     found = components(links)
     # Members of keys whose classes are not all connected by now.
-    placed = shared.join(found, "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
+    placed = shared.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "class_id"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = split.where(F.col("low") < F.col("high")).select("key")
-    placed = stored(placed.join(split, "key").select("key", "doc_id", "n", "component"), "placed")
-    other = placed.select("key", *(F.col(c).alias(f"o_{c}") for c in ("doc_id", "n", "component")))
+    sizes = bitmaps.select(F.col("doc_id").alias("class_id"), F.col("n_shingles").alias("n"))
+    placed = placed.join(split, "key").join(sizes, "class_id")
+    placed = stored(placed.select("key", "class_id", "n", "component"), "placed")
+    other = placed.select("key", *(F.col(c).alias(f"o_{c}") for c in ("class_id", "n", "component")))
     fits = t.denominator * F.least("n", "o_n") >= t.numerator * F.greatest("n", "o_n")
     second = placed.join(other, "key").where(
-        (F.col("doc_id") < F.col("o_doc_id")) & (F.col("component") != F.col("o_component")) & fits
+        (F.col("class_id") < F.col("o_class_id")) & (F.col("component") != F.col("o_component")) & fits
     )
-    second = second.select(F.col("doc_id").alias("a"), F.col("o_doc_id").alias("b")).distinct()
+    second = second.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b")).distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
-        links = links.unionByName(stored(confirmed(texts, second, width, t), "confirmed"))
+        links = links.unionByName(links_of(second))
         found = components(links)
     named = classes.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
     named = named.select("set_key", F.coalesce("component", "class_id").alias("component_id"))
