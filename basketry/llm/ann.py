@@ -110,9 +110,9 @@ def hashed(classes: DataFrame, dim: int, tables: int, probes: int, longest: floa
             bucket = (axis * 2 + sign).T.astype(np.int32)
             ask = np.flatnonzero(batch.column("asked").to_numpy(zero_copy_only=False))
             q = rotated(np.hstack([x, 0 * rest])[ask] / norm[ask], tables, seed)
-            near = np.stack([q, -q], axis=3).reshape(tables, len(ask), -1)
+            near = np.stack([q, -q], axis=3).reshape(tables, len(ask), 2 * q.shape[2])
             probed = np.argsort(-near, axis=2, kind="stable")[:, :, :probes]
-            probed = probed.transpose(1, 0, 2).reshape(len(ask), -1).astype(np.int32)
+            probed = probed.transpose(1, 0, 2).reshape(len(ask), tables * probes).astype(np.int32)
             sizes = np.zeros(len(x), dtype=np.int64)
             sizes[ask] = probed.shape[1]
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -235,6 +235,7 @@ def nearest(
 
     ``is_query`` is a condition on the column ``vec_id``.
     """
+    probes = min(probes, 2 << dim.bit_length())
     rows = usable(vectors, vec_id, vector, dim)
     classes = classes_of(rows, k, is_query)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, c: s + c * c))
