@@ -464,3 +464,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") ->
     return labelled.select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
+    """The rows of ``docs`` that stand for their group, one for each; all columns as they were.
+
+    Of a group the smallest doc_id stays, and of rows with that id the one whose text has
+    the smallest hash. Rows without words or without an id have no group and stay.
+    """
+    found = stored(near_duplicates(docs, width, threshold), "components")
+    others = found.where(F.col("component_id").isNotNull() & (F.col("component_id") != F.col("doc_id")))
+    others = others.select(F.col("doc_id").alias("__id")).distinct()
+    # Rows that share an id: only ids found more than once are ordered.
+    again = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
+    again = stored(again.select(F.col("doc_id").alias("__id")), "repeated-ids")
+    kept = docs.join(others, docs["doc_id"] == F.col("__id"), "left_anti")
+    if again.isEmpty():
+        return kept
+    kept = kept.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id"))
+    repeated = kept.join(again, "__id", "left_semi")
+    single = kept.join(again, "__id", "left_anti")
+    first = repeated.groupBy("__id").agg(
+        F.min_by("__row", F.xxhash64(F.col("__row.text"))).alias("__row")
+    )
+    return single.select("__row.*").unionByName(first.select("__row.*"))
