@@ -23,10 +23,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import words
+from basketry.llm.sampling import bounded_sample
 from basketry.llm.scratch import stored
 
 #: Hashed n-grams; one more place is the constant.
@@ -200,10 +201,8 @@ def _document_frequencies(labelled: DataFrame) -> tuple[np.ndarray, int]:
 
 def _sample(labelled: DataFrame, per_language: int) -> pd.DataFrame:
     """Label, features and counts of the documents to learn from."""
-    light = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("order")).distinct()
-    turn = Window.partitionBy("lang").orderBy("order", "doc_id")
-    chosen = light.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_language)
-    chosen = stored(chosen.select("doc_id", "lang", "turn"), "sample")
+    light = labelled.select("doc_id", "lang").distinct()
+    chosen = stored(bounded_sample(light, "lang", per_language, "doc_id"), "sample")
     # At most ``per_language`` rows for each language.
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("turn", "lang", "text")
 
