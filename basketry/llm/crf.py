@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import words
+from basketry.llm.sampling import bounded_sample
 from basketry.llm.scratch import stored
 
 _SHARES = [0.0, 0.01, 0.03, 0.08, 0.15, 0.3, 0.6]
@@ -218,10 +219,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 15
     known = labels.where(learn & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     known = known.where(F.col("quality") == F.col("most")).drop("most")
-    turn = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = known.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_label)
     # At most 2 x per_label rows.
-    chosen = stored(known.select("doc_id", "quality"), "sample")
+    chosen = bounded_sample(known, "quality", per_label, "doc_id")
+    chosen = stored(chosen.select("doc_id", "quality"), "sample")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
