@@ -5,7 +5,8 @@ after it (length, words, shares of kinds of characters, words repeated at once,
 line stands elsewhere in the text, its place) are cut into ranges and each range has a
 weight; one more weight rewards neighbouring lines of the same label. The forward-backward
 recursion gives the probability that a line is good, and a document's quality is the mean
-of these over its lines, weighted by length. With two labels a message is one number, the
+of these over its lines, weighted by length, and brought to the scale of a probability by a
+logistic curve fitted to the labels. With two labels a message is one number, the
 log odds, and all documents of a block advance together, line by line.
 
 The field is trained on at most ``per_label`` documents of each label, taken whole by a hash
@@ -19,7 +20,7 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -162,14 +163,44 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p) - np.log1p(-p)
+
+
+def fit_curve(odds: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope (not negative) and height of a logistic curve, by Newton's method.
+
+    Targets are drawn in by one row of each label, so that labels which the odds separate
+    completely do not make the curve a step.
+    """
+    good = label.sum()
+    target = np.where(label == 1, (good + 1) / (good + 2), 1 / (len(label) - good + 2))
+    x = np.stack([odds, np.ones_like(odds)], axis=1)
+    theta = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = _sigmoid(x @ theta)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (target - p) - 1e-3 * theta)
+        theta = theta + step / max(1.0, np.abs(step).max())
+    return max(float(theta[0]), 0.0), float(theta[1])
+
+
 @dataclass(frozen=True)
 class Field:
     weights: np.ndarray
     bias: float
     same: float
+    #: Slope and height of the curve from the log odds of the mean to those of the score.
+    slope: float = 1.0
+    height: float = 0.0
 
     def scores(self, bins: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Quality of each text: probabilities of its lines, weighted by length."""
+        """Quality of each text, higher the likelier its label is good."""
+        return _sigmoid(self.slope * _log_odds(self.means(bins, length, first)) + self.height)
+
+    def means(self, bins: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Mean of the probabilities of each text's lines, weighted by length."""
         score = self.weights[indices(bins, first)].sum(axis=1) + self.bias
         forward, backward = messages(score, first, self.same)
         weight = length + 1.0
@@ -226,24 +257,35 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 15
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches):
-            bins, _, first = line_features(data, offsets)
+            bins, length, first = line_features(data, offsets)
             raw = bins.tobytes()
             places = (first * len(RANGES)).tolist()
             packed = [raw[a:b] for a, b in zip(places, places[1:], strict=False)]
+            sizes = length.astype("<i8").tobytes()
+            lengths = [sizes[8 * a : 8 * b] for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-                ["doc_id", "quality", "bins"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(packed, pa.binary()),
+                    pa.array(lengths, pa.binary()),
+                ],
+                ["doc_id", "quality", "bins", "lengths"],
             )
 
     rows = texts.select("doc_id", "quality", "text").mapInArrow(
-        features, "doc_id long, quality int, bins binary"
+        features, "doc_id long, quality int, bins binary, lengths binary"
     )
     sample = rows.toPandas().sort_values(["doc_id", "bins"], ignore_index=True)
     if not len(sample):
         return None
     parts = [np.frombuffer(b, dtype=np.uint8).reshape(-1, len(RANGES)) for b in sample["bins"]]
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    return train_field(np.concatenate(parts), first, sample["quality"].to_numpy())
+    bins, label = np.concatenate(parts), sample["quality"].to_numpy()
+    field = train_field(bins, first, label)
+    length = np.frombuffer(b"".join(sample["lengths"]), dtype="<i8")
+    slope, height = fit_curve(_log_odds(field.means(bins, length, first)), label)
+    return replace(field, slope=slope, height=height)
 
 
 def predict(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
