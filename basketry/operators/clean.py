@@ -68,7 +68,7 @@ def _flag_orphans(
 ) -> DataFrame:
     parents = parents if isinstance(parents, Lookup) else Lookup.of(parents.select(key))
     known = parents.derive(parents.frame.select(key, F.lit(True).alias("_known")))
-    joined = lookup_join(frame, known, [key], keys_from=sales)
+    joined = lookup_join(frame, known, [key], keys_from=sales, row_id=["id"])
     return joined.withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 

@@ -10,6 +10,13 @@ from basketry.functions.calendar import add_calendar
 from basketry.operators.lookup import Lookup, lookup_join
 
 
+def _joined(
+    sales: DataFrame, lookup: Lookup, keys: list[str], keys_from: DataFrame | None
+) -> DataFrame:
+    row_id = [name for name in ("id",) if name in sales.columns]
+    return lookup_join(sales, lookup, keys, keys_from=keys_from, row_id=row_id)
+
+
 def join_stores(
     sales: DataFrame, stores: Lookup, keys_from: DataFrame | None = None
 ) -> DataFrame:
@@ -20,7 +27,7 @@ def join_stores(
         F.col("type").alias("store_type"),
         F.col("cluster").alias("store_cluster"),
     )
-    return lookup_join(sales, stores.derive(columns), ["store_nbr"], keys_from=keys_from)
+    return _joined(sales, stores.derive(columns), ["store_nbr"], keys_from)
 
 
 def join_items(
@@ -32,7 +39,7 @@ def join_items(
         F.col("class").alias("item_class"),
         "perishable",
     )
-    return lookup_join(sales, items.derive(columns), ["item_nbr"], keys_from=keys_from)
+    return _joined(sales, items.derive(columns), ["item_nbr"], keys_from)
 
 
 def join_oil(
@@ -41,11 +48,14 @@ def join_oil(
     columns = oil_clean.frame.select(
         "date", "oil_price", F.col("is_imputed").alias("oil_is_imputed")
     )
-    return lookup_join(sales, oil_clean.derive(columns), ["date"], keys_from=keys_from)
+    return _joined(sales, oil_clean.derive(columns), ["date"], keys_from)
 
 
-def join_holidays(sales: DataFrame, holidays_clean: Lookup) -> DataFrame:
-    """Add the holidays in force at each sale's place; ``sales`` needs city and state.
+def join_holidays(
+    sales: DataFrame, holidays_clean: Lookup, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Add the holidays in force at each sale's place; ``sales`` and ``keys_from`` need
+    date, city and state.
 
     National holidays match by date, regional ones by date and state, local ones by
     date and city. Each kind is one lookup by equal keys, holding the events of a key
@@ -60,8 +70,8 @@ def join_holidays(sales: DataFrame, holidays_clean: Lookup) -> DataFrame:
     joined = sales
     for events, (locale, place) in kinds.items():
         keys = ["date", *place]
-        lookup = holidays_clean.derive(_events(holidays_clean.frame, locale, place, events))
-        joined = lookup_join(joined, lookup, keys)
+        lookup = holidays_clean.measure(_events(holidays_clean.frame, locale, place, events))
+        joined = _joined(joined, lookup, keys, sales if keys_from is None else keys_from)
     some = F.coalesce(*kinds).isNotNull()
     matched = F.when(some, F.concat(*[_or_empty(events) for events in kinds]))
     return joined.select(*sales.columns, F.inline_outer(matched)).withColumn(
@@ -104,8 +114,8 @@ def master(
         each if isinstance(each, Lookup) else Lookup.of(each)
         for each in (stores, items, oil_clean, holidays_clean)
     ]
-    wide = join_stores(sales, lookups[0])
-    wide = join_items(wide, lookups[1], keys_from=sales)
+    placed = join_stores(sales, lookups[0])
+    wide = join_items(placed, lookups[1], keys_from=sales)
     wide = join_oil(wide, lookups[2], keys_from=sales)
-    wide = join_holidays(wide, lookups[3])
+    wide = join_holidays(wide, lookups[3], keys_from=placed)
     return add_calendar(wide).select(*schemas.MASTER.names)

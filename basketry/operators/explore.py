@@ -344,17 +344,26 @@ def _top_shares(performance: DataFrame, key: str) -> DataFrame:
 
 
 def family_performance(sales: DataFrame, items: Lookup | DataFrame) -> DataFrame:
-    """Sales per family of existing items."""
+    """Sales per family of existing items.
+
+    Sales are summed per item and store first, so one partial aggregate goes over them
+    and a hot item is a few rows, one per store, when it meets its family.
+    """
     items = items if isinstance(items, Lookup) else Lookup.of(items)
     families = items.derive(items.frame.select("item_nbr", "family"))
-    known = sales.select("item_nbr", "store_nbr", "unit_sales")
+    sold = sales.groupBy("item_nbr", "store_nbr").agg(
+        F.count("*").alias("sales"),
+        F.count("unit_sales").alias("known_sales"),
+        F.sum("unit_sales").alias("units"),
+    )
+    units = F.sum("units")
     return (
-        lookup_join(known, families, ["item_nbr"], "inner")
+        lookup_join(sold, families, ["item_nbr"], "inner")
         .groupBy("family")
         .agg(
-            F.count("*").alias("num_transactions"),
-            F.round(F.sum("unit_sales"), 0).alias("total_sales"),
-            rounded_mean("unit_sales").alias("avg_sales"),
+            F.sum("sales").alias("num_transactions"),
+            F.round(units, 0).alias("total_sales"),
+            F.round(F.try_divide(units, F.sum("known_sales")), 2).alias("avg_sales"),
             F.count_distinct("item_nbr").alias("unique_items"),
             F.count_distinct("store_nbr").alias("stores_selling"),
         )

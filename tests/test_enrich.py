@@ -165,24 +165,47 @@ def keyed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize(("rows_per_task", "hot_keys"), [(7, 100), (7, 1), (500, 100), (None, 9)])
-def test_salted_join_gives_the_plain_join(skewed, keyed, how, rows_per_task, hot_keys):
+@pytest.mark.parametrize("rows_per_task", [7, 500, None])
+@pytest.mark.parametrize("row_id", [(), ("id",)])
+def test_salted_join_gives_the_plain_join(skewed, keyed, how, rows_per_task, row_id):
     plain = skewed.join(keyed, "k", how)
-    salted = salted_join(
-        skewed, keyed, ["k"], how, rows_per_task=rows_per_task, hot_keys=hot_keys
-    )
+    salted = salted_join(skewed, keyed, ["k"], how, rows_per_task=rows_per_task, row_id=row_id)
     assert rows(salted, "id", "v") == rows(plain.select(*salted.columns), "id", "v")
 
 
 def test_a_hot_key_is_spread_by_its_rows(skewed):
     frequent = skewed.where("k = 1").count()
-    assert rows(lookup._hot_keys(skewed, ["k"], 500, 10)) == [(1, -(-frequent // 500))]
-    assert rows(lookup._hot_keys(skewed, ["k"], 5_000, 10)) == []
-    many = lookup._hot_keys(skewed, ["k"], 10, 3)
-    assert many.count() == 3
+    assert rows(lookup._hot_keys(skewed, ["k"], 500)) == [(1, -(-frequent // 500))]
+    assert rows(lookup._hot_keys(skewed, ["k"], 5_000)) == []
+    many = lookup._hot_keys(skewed, ["k"], 10)
+    assert many.count() == skewed.dropna().groupBy("k").count().where("count > 10").count()
     assert many.where("k = 1").first()["_spread"] == -(-frequent // 10)
 
 
+def test_equal_rows_of_a_hot_key_fall_into_many_partitions(spark, keyed):
+    """Without adaptive execution, to see what the salt alone does."""
+    same = spark.range(20_000).selectExpr("id", "1L AS k", "5 AS units")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = salted_join(same, keyed, ["k"], rows_per_task=100, row_id=["id"])
+        joined = joined.select("k", "units", F.spark_partition_id().alias("part"))
+        counts = [row["count"] for row in joined.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(counts) == 20_000 and len(counts) > 40
+    assert max(counts) < 4 * 20_000 / 64
+
+
+def test_a_lookup_of_nulls_is_not_small(spark):
+    nulls = spark.range(1_000).select("id", *[F.lit(None).cast("long").alias(f"c{i}") for i in range(50)])
+    assert not Lookup.of(nulls, max_bytes=300_000).small
+    lists = spark.range(100).select("id", F.sequence(F.lit(0), F.lit(200)).alias("v"))
+    assert not Lookup.of(lists, max_bytes=30_000).small
+    assert not Lookup.of(lists, max_bytes=30_000).measure(lists.limit(90)).small
+
+
 def test_lookup_size_decides_the_join(skewed, keyed):
     assert Lookup.of(keyed).small
     assert not Lookup.of(keyed, max_bytes=100).small

@@ -3,10 +3,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
 from basketry.operators import lookup
+from basketry.plans import queries as registry
 from basketry.plans.warehouse import Warehouse
 from basketry.sources.adapter import adapt
+from checks import sql
 from checks.compare import connect, differences
 
 SOURCE = "/root/testdata/sf0.001"
@@ -40,10 +41,10 @@ def folder(tmp_path_factory):
     return str(target)
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_on_skewed_tables(spark, folder, name):
-    result = entry_points.queries()[name](spark, folder)
-    assert differences(result, connect(folder), entry_points.oracle_sql()[name]) == []
+    result = registry.queries()[name](spark, folder)
+    assert differences(result, connect(folder), sql.oracle_sql()[name]) == []
 
 
 @pytest.mark.parametrize("name", ["train_clean", "master", "family_perf"])
@@ -56,8 +57,8 @@ def test_salted_joins_on_skewed_tables(spark, folder, name, monkeypatch):
         "master": fresh.master_rows,
         "family_perf": lambda: fresh.family_performance,
     }[name]()
-    expected = entry_points.queries()[name](spark, folder)
+    expected = registry.queries()[name](spark, folder)
     doubled = result.select(
         *[result[f.name].cast(f.dataType).alias(f.name) for f in expected.schema]
     )
-    assert differences(doubled, connect(folder), entry_points.oracle_sql()[name]) == []
+    assert differences(doubled, connect(folder), sql.oracle_sql()[name]) == []
