@@ -169,7 +169,7 @@ def write_token_files(
         blocks,
         "part int, block int, start_in_part long, n_ids long, doc_ids array<long>,"
         " lengths array<long>, control binary, data binary",
-    ).write.parquet(f"{path}/blocks")
+    ).write.option("compression", "zstd").parquet(f"{path}/blocks")
     shared.unpersist()
     sizes = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file

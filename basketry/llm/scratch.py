@@ -13,7 +13,7 @@ from basketry.session import fresh_path
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` computed once and read back from Parquet; cuts its lineage."""
     path = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
