@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import flag_count, percent, rounded_mean
 
 
 def history(frame: DataFrame, cutoff: str) -> DataFrame:
-    """Rows before ``cutoff``, the first day without known sales."""
-    return frame.where(F.col("date") < F.lit(cutoff).cast("date"))
+    """Rows before ``cutoff``, the first day without known sales.
+
+    Of a table stored by year, only the years up to it are read.
+    """
+    end = F.lit(cutoff).cast("date")
+    past = frame.where(F.col("date") < end)
+    return past.where(F.col("year") <= F.year(end)) if "year" in frame.columns else past
 
 
 def validate_oil(oil_clean: DataFrame) -> DataFrame:
@@ -26,18 +31,35 @@ def validate_oil(oil_clean: DataFrame) -> DataFrame:
     return counted.withColumn("imputed_pct", share)
 
 
+def _unique_dates(frame: DataFrame) -> Column:
+    """Distinct dates, counted on a frame of one row per date."""
+    return frame.select("date").distinct().agg(F.count("date")).scalar().alias("unique_dates")
+
+
+def _sum_or_zero(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
 def validate_train(train_clean: DataFrame, cutoff: str) -> DataFrame:
-    return history(train_clean, cutoff).agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct("date").alias("unique_dates"),
+    """Rows are summed per store and item, whose distinct counts then come from the keys."""
+    past = history(train_clean, cutoff)
+    flags = ("has_integrity_issues", "is_orphan_store", "is_orphan_item")
+    pairs = past.groupBy("store_nbr", "item_nbr").agg(
+        F.count("*").alias("rows"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        *(flag_count(F.col(name)).alias(name) for name in flags),
+    )
+    return pairs.agg(
+        _sum_or_zero("rows").alias("total_rows"),
         F.count_distinct("store_nbr").alias("unique_stores"),
         F.count_distinct("item_nbr").alias("unique_items"),
-        F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"),
-        flag_count(F.col("has_integrity_issues")).alias("integrity_issues"),
-        flag_count(F.col("is_orphan_store")).alias("orphan_stores"),
-        flag_count(F.col("is_orphan_item")).alias("orphan_items"),
-    )
+        F.min("first").alias("min_date"),
+        F.max("last").alias("max_date"),
+        F.sum("has_integrity_issues").alias("integrity_issues"),
+        F.sum("is_orphan_store").alias("orphan_stores"),
+        F.sum("is_orphan_item").alias("orphan_items"),
+    ).withColumn("unique_dates", _unique_dates(past))
 
 
 def validate_holidays(holidays_clean: DataFrame) -> DataFrame:
@@ -53,22 +75,38 @@ def validate_holidays(holidays_clean: DataFrame) -> DataFrame:
 
 
 def validate_master(master: DataFrame, cutoff: str) -> DataFrame:
-    return history(master, cutoff).agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct("date").alias("unique_dates"),
+    """Like ``validate_train``; an item has one family and a store one type."""
+    past = history(master, cutoff)
+    flags = {
+        "promotion_count": "onpromotion",
+        "holiday_count": "is_holiday",
+        "weekend_count": "is_weekend",
+        "payday_count": "is_payday",
+    }
+    pairs = past.groupBy("store_nbr", "item_nbr", "item_family", "store_type").agg(
+        F.count("*").alias("rows"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        *(f(name).alias(f"{kind}_{name}") for name in ("unit_sales", "oil_price")
+          for kind, f in (("sum", F.sum), ("known", F.count))),
+        *(flag_count(F.col(column)).alias(name) for name, column in flags.items()),
+    )
+
+    def mean(name: str) -> Column:
+        return F.round(F.try_divide(F.sum(f"sum_{name}"), F.sum(f"known_{name}")), 2)
+
+    return pairs.agg(
+        _sum_or_zero("rows").alias("total_rows"),
         F.count_distinct("store_nbr").alias("unique_stores"),
         F.count_distinct("item_nbr").alias("unique_items"),
-        F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"),
-        rounded_mean("unit_sales").alias("avg_sales"),
-        rounded_mean("oil_price").alias("avg_oil_price"),
-        flag_count(F.col("onpromotion")).alias("promotion_count"),
-        flag_count(F.col("is_holiday")).alias("holiday_count"),
-        flag_count(F.col("is_weekend")).alias("weekend_count"),
-        flag_count(F.col("is_payday")).alias("payday_count"),
+        F.min("first").alias("min_date"),
+        F.max("last").alias("max_date"),
+        mean("unit_sales").alias("avg_sales"),
+        mean("oil_price").alias("avg_oil_price"),
+        *(F.sum(name).alias(name) for name in flags),
         F.count_distinct("item_family").alias("unique_families"),
         F.count_distinct("store_type").alias("unique_store_types"),
-    )
+    ).withColumn("unique_dates", _unique_dates(past))
 
 
 def holiday_distribution(master: DataFrame, cutoff: str) -> DataFrame:

@@ -10,32 +10,49 @@ RANGES = 10_000
 
 
 def latest_rows(
-    frame: DataFrame, n: int = 100_000, date: str = "date", key: str = "id"
+    frame: DataFrame,
+    n: int = 100_000,
+    date: str = "date",
+    key: str = "id",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The ``n`` latest rows by date; within a day those with the highest ``key``.
 
     Rows per day give the earliest day needed, and rows per key range the part of that
     day needed. Both come from counts, so older days are not read by the final sort
-    and a day holding most of the rows does not reach it whole. Equal dates and keys
-    are ordered by the remaining columns.
+    and a day holding most of the rows does not reach it whole; of a table stored by
+    ``year`` only the years needed are read. Equal dates and keys are ordered by the
+    remaining columns. Rows without a date come last, so they are needed only if fewer
+    than ``n`` have one. ``days`` (``date``, ``rows``) gives the counts if they are known.
     """
     order = [F.desc_nulls_last(date), F.desc_nulls_last(key)]
     order += [F.desc_nulls_last(name) for name in frame.columns if name not in (date, key)]
 
-    last_day = _last_day_needed(frame, n, date)
+    if days is None:
+        days = frame.groupBy(date).agg(F.count("*").alias("rows"))
+    last_day = _last_day_needed(days.where(F.col(date).isNotNull()), n, date)
     first_day = last_day.select("day").scalar()
     wanted = last_day.select("wanted").scalar()
-    lowest_key = _lowest_key(frame.where(F.col(date) == first_day), wanted, key).scalar()
+    lowest_key = _lowest_key(_of_day(frame, date, first_day), wanted, key).scalar()
 
     in_part = lowest_key.isNull() | (F.col(key) >= lowest_key)
     needed = (F.col(date) > first_day) | ((F.col(date) == first_day) & in_part)
-    return frame.where(F.col(date) >= first_day).where(needed).orderBy(*order).limit(n)
+    dated = frame.where(F.col(date) >= first_day)
+    if "year" in frame.columns:
+        dated = dated.where(F.col("year") >= F.year(first_day))
+    # Without a day that fills the count, the rows without a date are next.
+    undated = frame.where(F.col(date).isNull() & wanted.isNull())
+    return dated.where(needed).unionByName(undated).orderBy(*order).limit(n)
 
 
-def _last_day_needed(frame: DataFrame, n: int, date: str) -> DataFrame:
+def _of_day(frame: DataFrame, date: str, day: Column) -> DataFrame:
+    found = frame.where(F.col(date) == day)
+    return found.where(F.col("year") == F.year(day)) if "year" in frame.columns else found
+
+
+def _last_day_needed(days: DataFrame, n: int, date: str) -> DataFrame:
     """The latest day from which on there are at least ``n`` rows, else the first day,
-    and how many of its rows are wanted."""
-    days = frame.where(F.col(date).isNotNull()).groupBy(date).agg(F.count("*").alias("rows"))
+    and how many of its rows are wanted (NULL if all rows are)."""
     seen = F.sum("rows").over(_descending(date))
     counted = days.select(F.col(date).alias("day"), "rows", seen.alias("seen"))
     reached = F.col("seen") >= n

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry import schemas
 from basketry.operators import reports
 from basketry.plans.warehouse import Warehouse
-from basketry.sinks.stored import rows_per_year, write_by_year
+from basketry.sinks.stored import CLUSTER_BY, rebuild_view, rows_per_year, write_by_year
 from basketry.sources.csv_files import read_fact, read_table
 from basketry.sources.stored import read_master
 from basketry.tables import RetailTables
@@ -32,6 +32,29 @@ def load_tables(spark: SparkSession, folder: str) -> RetailTables:
     return RetailTables(**frames)
 
 
+def store_views(warehouse: Warehouse, folder: str) -> list[str]:
+    """Store the clean views, and then the wide table, under their names in ``folder``.
+
+    Later sessions with the same catalog query them by name; a rebuilt view replaces the
+    one before.
+    """
+    views = {
+        "oil_clean": (warehouse.oil_clean.frame, ("date",)),
+        "train_clean": (warehouse.train_clean(), CLUSTER_BY),
+        "holidays_clean": (warehouse.holidays_clean.frame, ("date",)),
+    }
+    if not warehouse.master_path:
+        views["master"] = (warehouse.master, CLUSTER_BY)
+    for name, (frame, order) in views.items():
+        rebuild_view(frame, name, order, f"{folder}/{name}")
+    if warehouse.master_path:  # stored already: only its name is missing
+        master, catalog = warehouse.master, warehouse.spark.catalog
+        warehouse.spark.sql("DROP TABLE IF EXISTS master")
+        catalog.createTable("master", warehouse.master_path, "parquet", master.schema)
+        views["master"] = (master, ())
+    return list(views)
+
+
 def clean_all(warehouse: Warehouse, cutoff: str) -> dict[str, DataFrame]:
     """Build the clean views; returns the report of each."""
     return {
@@ -71,4 +94,5 @@ def run(spark: SparkSession, folder: str, output: str, cutoff: str) -> DataFrame
     warehouse = Warehouse(spark, load_tables(spark, folder), master_path=output)
     log_reports(clean_all(warehouse, cutoff))
     log_reports(master_reports(warehouse.master, cutoff))
+    store_views(warehouse, f"{output}-views")
     return rows_per_year(warehouse.master)

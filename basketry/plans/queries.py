@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.functions.aggregates import as_doubles
-from basketry.functions.calendar import add_calendar
+from basketry.functions.calendar import add_calendar, add_day_names
+from basketry.functions.labels import title
 from basketry.operators import clean, dashboard, enrich, explore, quality, reports, topk
+from basketry.plans.build import store_views
 from basketry.plans.warehouse import Warehouse, open_warehouse
 from basketry.session import fresh_path
-from basketry.sinks.stored import rows_per_year, write_csv
+from basketry.sinks.stored import append_table, rows_per_year, write_by_year, write_csv
 from basketry.sources import stored
 from basketry.sources.adapter import CUTOFF, YEARS, adapt
-from basketry.sources.csv_files import data_lines, read_fact, surrogate_key
+from basketry.sources.csv_files import (
+    data_lines,
+    read_fact,
+    read_predictions,
+    read_table,
+    surrogate_key,
+)
 from basketry.streaming.incremental import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +34,7 @@ _FIRST_DAY = f"{YEARS[0]}-01-01"
 _END_DAY = f"{YEARS[-1] + 1}-01-01"
 _FILTERS = {"store_nbr": 6, "item_family": "Brand#19", "year": 1999}
 _ONE_YEAR = {"year": 1999}
+_SOME_YEARS = (1996, 1998, 2001)
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -35,12 +45,79 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
 
 def _table_counts(w: Warehouse) -> DataFrame:
-    stored.register_views(w.tables)
-    listed = stored.available_tables(w.spark)
-    names = [name for name in schemas.LOADED_TABLES if name in listed]
+    stored.register_views(w.tables, "loaded_")
+    return stored.table_counts(w.spark, schemas.LOADED_TABLES, "loaded_")
+
+
+def _csv_dimensions(w: Warehouse) -> DataFrame:
+    """The small tables through CSV files; ``transferred`` is left out and so its default."""
+    report = None
+    tables = w.tables.present()
+    for name in ("stores", "items", "transactions", "oil", "holidays_events"):
+        path = fresh_path(w.spark, f"{name}-csv")
+        write_csv(tables[name].drop("transferred"), path)
+        loaded = read_table(w.spark, path, name)
+        values = F.concat_ws("|", *(F.col(c).cast("string") for c in loaded.columns))
+        row = loaded.select(F.lit(name).alias("table_name"), F.length(values).alias("size"))
+        row = row.groupBy("table_name").agg(
+            F.count("*").alias("rows"), F.sum("size").alias("characters")
+        )
+        report = row if report is None else report.unionByName(row)
+    return report
+
+
+def _export_years(w: Warehouse) -> DataFrame:
+    """Some years written and read back: rows of each and in all (no year)."""
+    path = fresh_path(w.spark, "years")
+    write_by_year(stored.slice_years(w.master, _SOME_YEARS), path, _SOME_YEARS)
+    written = stored.read_master(w.spark, path)
+    return written.rollup("year").agg(F.count("*").alias("rows"))
+
+
+def _clean_view_counts(w: Warehouse) -> DataFrame:
+    names = store_views(w, fresh_path(w.spark, "views"))
     return stored.table_counts(w.spark, names).select("table_name", "row_count")
 
 
+def _append_rows(w: Warehouse) -> DataFrame:
+    """Oil prices added to a table twice."""
+    path = fresh_path(w.spark, "appended")
+    name = f"appended_oil_{path.rsplit('-', 1)[-1]}"
+    for _ in range(2):
+        append_table(w.oil, name, path)
+    return w.spark.table(name).agg(
+        F.count("*").alias("rows"), F.sum("dcoilwtico").alias("total_price")
+    )
+
+
+def _predictions_roundtrip(w: Warehouse) -> DataFrame:
+    path = fresh_path(w.spark, "predictions")
+    made = w.raw.test.select("id", (F.col("id") % 7).cast("double").alias("unit_sales"))
+    write_csv(made, path)
+    schema = T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("unit_sales", T.DoubleType())]
+    )
+    return read_predictions(w.spark, path, schema).agg(
+        F.count("*").alias("rows"), F.sum("id").alias("ids"), F.sum("unit_sales").alias("units")
+    )
+
+
+def _layout_check(w: Warehouse) -> DataFrame:
+    """Rows of the yearly layout that stand before an earlier day of the same file."""
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = w.train_by_year.select("date", file.alias("file"), place.alias("place"))
+    order = Window.partitionBy("file").orderBy("place")
+    before = placed.withColumn("before", F.lag("date").over(order))
+    return _count_rows(before.where(F.col("before") > F.col("date")))
+
+
+def _dimension_labels(w: Warehouse) -> DataFrame:
+    top = dashboard.sales_by_dimension(w.master, "item_family")
+    return top.select(
+        title(F.lit("item_family")).alias("label"), F.col("item_family").alias("value"), "total_sales"
+    )
+
+
 def _csv_roundtrip(w: Warehouse) -> DataFrame:
     path = fresh_path(w.spark, "train-csv")
     write_csv(w.train, path)
@@ -63,7 +140,7 @@ def _incremental_load(w: Warehouse) -> DataFrame:
     write_csv(w.train, source)
     for _ in range(2):  # the second run finds nothing new
         load_new_files(w.spark, source, target, progress)
-    loaded = w.spark.read.parquet(target)
+    loaded = w.spark.read.parquet(target)  # a folder per batch, and in it per year
     return loaded.groupBy("year").agg(
         F.count("*").alias("rows"), F.sum("unit_sales").alias("total_sales")
     )
@@ -135,8 +212,13 @@ def _describe_daily(w: Warehouse) -> DataFrame:
     return _rounded_std(explore.describe(w.daily, columns))
 
 
+def _latest(w: Warehouse, n: int = 100_000) -> DataFrame:
+    days = w.daily.select("date", F.col("num_transactions").alias("rows"))
+    return topk.latest_rows(w.train_by_year, n, days=days).drop("year")
+
+
 def _describe_latest(w: Warehouse) -> DataFrame:
-    return _rounded_std(explore.describe(topk.latest_rows(w.train), ["unit_sales"]))
+    return _rounded_std(explore.describe(_latest(w), ["unit_sales"]))
 
 
 # --- quality -------------------------------------------------------------------------
@@ -150,6 +232,12 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     # sources, sinks and streams
     "s_table_counts": _table_counts,
     "csv_roundtrip": _csv_roundtrip,
+    "csv_dimensions": _csv_dimensions,
+    "predictions_roundtrip": _predictions_roundtrip,
+    "append_rows": _append_rows,
+    "clean_view_counts": _clean_view_counts,
+    "export_years": _export_years,
+    "layout_check": _layout_check,
     "incremental_load": _incremental_load,
     "surrogate_key": _surrogate_key,
     "export_rows_per_year": lambda w: rows_per_year(w.master),
@@ -181,6 +269,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "filtered_promo_year": lambda w: dashboard.promotion_impact(w.master, **_ONE_YEAR),
     "filtered_promo_all": lambda w: dashboard.promotion_impact(w.master),
     "filter_stores": lambda w: dashboard.filter_values(w.master, "store_nbr"),
+    "filter_years": lambda w: dashboard.filter_values(w.master, "year"),
+    "dimension_labels": _dimension_labels,
+    "day_names": lambda w: add_day_names(w.train.select("date").distinct()),
     "filter_families": lambda w: dashboard.filter_values(w.master, "item_family"),
     # overview counts
     "vc_store_state": lambda w: explore.value_counts(w.stores.frame, "state"),
@@ -196,7 +287,8 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "tx_per_year": lambda w: explore.transactions_per_year(w.transactions),
     "date_span": lambda w: explore.date_span(w.train),
     "invalid_values": lambda w: explore.invalid_values(w.train),
-    "latest_rows": lambda w: topk.latest_rows(w.train),
+    "latest_rows": _latest,
+    "latest_rows_10k": lambda w: _latest(w, 10_000),
     "describe_latest": _describe_latest,
     # daily series
     "daily_sales": lambda w: explore.daily_sales(w.train).orderBy("date"),

@@ -9,29 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
-from basketry.session import fresh_path
+from basketry.session import fit_shuffles, fresh_path
 from basketry.sinks.stored import write_by_year
-from basketry.sources.stored import read_by_year
+from basketry.sources.stored import folder_state, read_by_year
 from basketry.tables import RetailTables
 
 
 class Warehouse:
-    """Input tables, loaded once, and the views built on them.
-
-    Every table is written to the shared folder when first asked for and read from
-    there afterwards. The sales are laid out by year and day, so that reports scan
-    the columns and days they need; the wide sales table is stored as well, so that
-    no report repeats its joins, at ``master_path`` if given, and so are the sales per
-    day, store and family that many reports start from. A new ``Warehouse`` loads and
-    builds all anew.
+    """Input tables and the views built on them.
+
+    Reports that go over the sales once read the input. The small tables are written to
+    the shared folder when first asked for and read from there afterwards, and so are the
+    wide sales table, at ``master_path`` if given, so that no report repeats its joins, and
+    the sales per day, store and family that many reports start from. The layout of the
+    sales by year and day is a load of its own (``train_by_year``): at ``train_path``, if
+    given, it is kept and found again by later sessions. A new ``Warehouse`` builds all
+    views anew.
     """
 
     def __init__(
-        self, spark: SparkSession, tables: RetailTables, master_path: str | None = None
+        self,
+        spark: SparkSession,
+        tables: RetailTables,
+        master_path: str | None = None,
+        train_path: str | None = None,
     ):
         self.spark = spark
         self.raw = tables
         self.master_path = master_path
+        self.train_path = train_path
 
     def _stored(self, name: str, frame: DataFrame) -> DataFrame:
         path = fresh_path(self.spark, name)
@@ -45,13 +51,25 @@ class Warehouse:
         write_by_year(frame, path)
         return read_by_year(self.spark, path, frame.schema)
 
-    @cached_property
+    @property
     def train(self) -> DataFrame:
-        return self._stored_by_year("train", self.raw.train)
+        return self.raw.train
+
+    @cached_property
+    def train_by_year(self) -> DataFrame:
+        """The sales laid out by year and day, with their ``year``."""
+        if self.train_path and self._exists(f"{self.train_path}/_SUCCESS"):
+            return read_by_year(self.spark, self.train_path, self.raw.train.schema)
+        return self._stored_by_year("train", self.raw.train, self.train_path)
+
+    def _exists(self, path: str) -> bool:
+        context = self.spark.sparkContext
+        file = context._jvm.org.apache.hadoop.fs.Path(path)
+        return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._stored_by_year("transactions", self.raw.transactions)
+        return self._stored("transactions", self.raw.transactions)
 
     @cached_property
     def holidays_events(self) -> DataFrame:
@@ -80,7 +98,7 @@ class Warehouse:
 
     @cached_property
     def tables(self) -> RetailTables:
-        """The input tables as stored; ``test`` is read once per view and stays a source."""
+        """The input tables; ``train`` and ``test`` are read where they are."""
         return RetailTables(
             stores=self.stores.frame,
             items=self.items.frame,
@@ -123,14 +141,19 @@ class Warehouse:
         return self._stored_by_year("master", self.master_rows(), self.master_path)
 
 
-_open: dict[tuple[str, str], Warehouse] = {}
+_open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}
 
 
 def open_warehouse(
     spark: SparkSession, source: str, load: Callable[[SparkSession, str], RetailTables]
 ) -> Warehouse:
-    """The session's warehouse for a source folder, so that queries share its views."""
+    """The session's warehouse for a source folder, so that queries share its views.
+
+    A folder that has changed gets a new one. Shuffles are sized for the folder.
+    """
     key = (spark.sparkContext.applicationId, source)
-    if key not in _open:
-        _open[key] = Warehouse(spark, load(spark, source))
-    return _open[key]
+    size, state = folder_state(spark, source)
+    if key not in _open or _open[key][0] != state:
+        fit_shuffles(spark, 4 * size)  # stored columns take about a quarter of their rows
+        _open[key] = (state, Warehouse(spark, load(spark, source)))
+    return _open[key][1]

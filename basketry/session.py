@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 #: Adaptive execution merges small shuffle partitions and splits skewed ones.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,7 +22,11 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+#: Says that a ``file:`` folder is a mount all executors share.
+SHARED_MOUNT = "spark.basketry.sharedMount"
+
 _local_dirs: dict[str, str] = {}
+_scratch: dict[str, tuple[SparkSession, str]] = {}
 
 
 #: Shuffle data one task should handle; fits in the memory of any usual executor core.
@@ -49,6 +57,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def fit_shuffles(spark: SparkSession, shuffled_bytes: int) -> None:
+    """Raise the session's shuffle partitions to what so many bytes need; never lower them."""
+    needed = math.ceil(shuffled_bytes / TASK_BYTES)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -58,6 +73,12 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
+        own_disk = configured.startswith("file:") and spark.conf.get(SHARED_MOUNT, "") != "true"
+        if own_disk and not context.master.startswith("local"):
+            raise RuntimeError(
+                f"{configured} is on each machine's own disk; name a shared folder in "
+                f"spark.checkpoint.dir, or set {SHARED_MOUNT} if this is a shared mount"
+            )
         return configured
     app = context.applicationId
     if app not in _local_dirs:
@@ -69,6 +90,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no earlier run has written to."""
+    """A path under the shared folder that no earlier run has written to.
+
+    What is written there is removed when the driver ends.
+    """
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/basketry/{app}/{name}-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/basketry/{app}"
+    if app not in _scratch:
+        _scratch[app] = (spark, root)
+        atexit.register(remove_scratch, app)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(app: str) -> None:
+    """Delete the tables an application has written for itself; its results must be read."""
+    spark, root = _scratch.pop(app, (None, ""))
+    if spark is None:
+        return
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # the JVM may have ended first
+        log.warning("scratch tables are left in %s", root)

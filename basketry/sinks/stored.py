@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 CLUSTER_BY = ("date", "store_nbr", "item_nbr")
 
 
-def append_table(frame: DataFrame, name: str) -> None:
-    frame.write.mode("append").saveAsTable(name)
+def append_table(frame: DataFrame, name: str, path: str | None = None) -> None:
+    """Add rows to a table of the catalog; a new one is stored at ``path`` if given."""
+    writer = frame.write.mode("append")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def rebuild_view(frame: DataFrame, name: str, sort_by: Sequence[str] = ()) -> None:
+def rebuild_view(
+    frame: DataFrame, name: str, sort_by: Sequence[str] = (), path: str | None = None
+) -> None:
     """Replace a stored view; rows are ordered within files, never over all files."""
     ordered = frame.sortWithinPartitions(*sort_by) if sort_by else frame
-    ordered.write.mode("overwrite").saveAsTable(name)
+    writer = ordered.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_by_year(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +15,14 @@ from basketry.tables import RetailTables
 
 
 def read_by_year(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by ``sinks.write_by_year``, in the column order of ``schema``."""
+    """A table written by ``sinks.write_by_year``: the columns of ``schema`` and ``year``.
+
+    A filter on ``year`` reads only its folders.
+    """
     fields = list(schema.fields)
     if "year" not in schema.names:
         fields.append(T.StructField("year", schemas.INT))
-    return spark.read.schema(T.StructType(fields)).parquet(path).select(*schema.names)
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*[f.name for f in fields])
 
 
 def read_master(spark: SparkSession, path: str) -> DataFrame:
@@ -55,9 +59,25 @@ def read_database_by_year(
     )
 
 
-def register_views(tables: RetailTables) -> None:
+def folder_state(spark: SparkSession, folder: str) -> tuple[int, tuple]:
+    """Bytes in a folder of tables, and names, sizes and times by which changes show."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    waiting, found = [root], []
+    while waiting:
+        for status in files.listStatus(waiting.pop()):
+            if status.isDirectory():
+                waiting.append(status.getPath())
+            else:
+                name = status.getPath().toString()
+                found.append((name, status.getLen(), status.getModificationTime()))
+    return sum(size for _, size, _ in found), tuple(sorted(found))
+
+
+def register_views(tables: RetailTables, prefix: str = "") -> None:
     for name, frame in tables.present().items():
-        frame.createOrReplaceTempView(name)
+        frame.createOrReplaceTempView(prefix + name)
 
 
 def available_tables(spark: SparkSession) -> list[str]:
@@ -65,19 +85,16 @@ def available_tables(spark: SparkSession) -> list[str]:
 
 
 def table_counts(
-    spark: SparkSession, names: Sequence[str] = schemas.LOADED_TABLES
+    spark: SparkSession, names: Sequence[str] = schemas.LOADED_TABLES, prefix: str = ""
 ) -> DataFrame:
-    """Rows per table; a table that cannot be read reports its error and the rest go on."""
-    report: DataFrame | None = None
+    """Rows per table. Each is counted by its own action, so that one that is missing or
+    cannot be read reports its error and the rest go on."""
+    report = []
     for name in names:
         try:
-            counted = spark.table(name).agg(F.count("*").alias("row_count"))
-            error = F.lit(None).cast("string")
-        except AnalysisException as failure:
-            counted = spark.range(1).select(F.lit(None).cast("long").alias("row_count"))
-            error = F.lit(failure.getCondition() or str(failure))
-        row = counted.select(F.lit(name).alias("table_name"), "row_count", error.alias("error"))
-        report = row if report is None else report.unionByName(row)
-    if report is None:
-        raise ValueError("no table names given")
-    return report
+            report.append((name, spark.table(prefix + name).count(), None))
+        except PySparkException as failure:
+            report.append((name, None, failure.getCondition() or str(failure)))
+        except Py4JJavaError as failure:  # a failed task
+            report.append((name, None, str(failure.java_exception.getMessage()).split("\n")[0]))
+    return spark.createDataFrame(report, "table_name string, row_count long, error string")

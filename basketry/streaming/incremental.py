@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry import schemas
+from basketry.sources.csv_files import surrogate_key
+
+#: Input of a batch for every task that can run at once.
+TASK_INPUT_BYTES = 256 * 1024 * 1024
+
+#: Bits of a key for the row within a task, and for the task within a batch.
+_ROW_BITS, _TASK_BITS = 33, 15
+
+
+def batch_key(batch: int) -> Column:
+    """A key assigned on load, as by the batch load, and unique over all batches."""
+    key = surrogate_key()
+    fits = key < F.lit(1 << (_ROW_BITS + _TASK_BITS))
+    return F.when(fits, F.lit(batch << (_ROW_BITS + _TASK_BITS)).bitwiseOR(key)).otherwise(
+        F.raise_error(F.lit("too many tasks in a batch for unique keys"))
+    )
 
 
 def load_new_files(
@@ -15,27 +31,40 @@ def load_new_files(
     target: str,
     checkpoint: str,
     schema: T.StructType = schemas.TRAIN,
-    files_per_batch: int = 10,
+    batch_bytes: int | None = None,
 ) -> None:
-    """Load the files that earlier runs have not loaded, in bounded batches.
+    """Load the files that earlier runs have not loaded, in batches sized for the cluster.
 
-    Progress is committed per batch in ``checkpoint``: a run that is repeated or was
-    interrupted adds no row twice. The files carry the columns of ``schema`` in order.
+    Every batch has a folder of its own in ``target``, replaced as a whole when the batch
+    is repeated: a run that was interrupted adds no row twice. Its rows are brought together
+    by year and day, so that a batch writes few files per year. The files carry the columns
+    of ``schema`` in order; their ``id`` gives way to a key assigned on load.
     """
+    size = batch_bytes or TASK_INPUT_BYTES * spark.sparkContext.defaultParallelism
     arriving = (
         spark.readStream.schema(schema)
         .options(
             header=True, nullValue="", mode="FAILFAST", enforceSchema=False,
-            maxFilesPerTrigger=files_per_batch,
+            maxBytesPerTrigger=size,
         )
         .csv(source)
     )
+
+    def store(rows: DataFrame, batch: int) -> None:
+        keyed = rows.drop("id").withColumn("id", batch_key(batch)).select(*schema.names)
+        dated = keyed.withColumn("year", F.year("date"))
+        (
+            dated.hint("rebalance", F.col("year"), F.col("date"))
+            .sortWithinPartitions("year", "date")
+            .write.mode("overwrite")
+            .partitionBy("year")
+            .parquet(f"{target}/batch={batch}")
+        )
+
     query = (
-        arriving.withColumn("year", F.year("date"))
-        .writeStream.format("parquet")
-        .partitionBy("year")
+        arriving.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
     query.awaitTermination()

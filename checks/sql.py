@@ -223,6 +223,10 @@ ORDER BY date DESC, id DESC, store_nbr DESC, item_nbr DESC, unit_sales DESC,
     onpromotion DESC NULLS LAST
 LIMIT 100000""",
 )
+_TABLES["latest_10k"] = (
+    ("train",),
+    _TABLES["latest"][1].replace("LIMIT 100000", "LIMIT 10000"),
+)
 
 
 def _needed(names: tuple[str, ...], found: dict[str, str]) -> dict[str, str]:
@@ -333,10 +337,48 @@ _SQL: dict[str, str] = {
     "s_table_counts": _query(
         _LOADED,
         "\nUNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+            f"CAST(NULL AS VARCHAR) AS error FROM {name}"
             for name in _LOADED.split()
         ),
     ),
+    "csv_dimensions": _query(
+        "stores items transactions oil holidays_events",
+        "\nUNION ALL ".join(
+            f"SELECT '{table}' AS table_name, count(*) AS rows, "
+            f"CAST(sum(length(concat_ws('|', {columns}))) AS BIGINT) AS characters FROM {table}"
+            for table, columns in {
+                "stores": "store_nbr, city, state, type, cluster",
+                "items": "item_nbr, family, class, perishable",
+                "transactions": "date, store_nbr, transactions",
+                "oil": "date, dcoilwtico",
+                "holidays_events": "date, type, locale, locale_name, description, FALSE",
+            }.items()
+        ),
+    ),
+    "predictions_roundtrip": _query(
+        "test",
+        """SELECT count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids,
+    CAST(sum(id % 7) AS DOUBLE) AS units FROM test""",
+    ),
+    "append_rows": _query(
+        "oil",
+        """SELECT 2 * count(*) AS rows, CAST(2 * sum(dcoilwtico) AS DOUBLE) AS total_price
+FROM oil""",
+    ),
+    "clean_view_counts": _query(
+        "oil_clean train_clean holidays_clean master",
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
+            for name in ("oil_clean", "train_clean", "holidays_clean", "master")
+        ),
+    ),
+    "export_years": _query(
+        "master",
+        """SELECT year, count(*) AS rows FROM master WHERE year IN (1996, 1998, 2001)
+GROUP BY ROLLUP (year)""",
+    ),
+    "layout_check": "SELECT CAST(0 AS BIGINT) AS violations",
     "csv_roundtrip": _query(
         "train",
         f"""SELECT count(*) AS data_lines, count(*) AS rows_loaded, {_total()} AS total_sales,
@@ -466,6 +508,21 @@ GROUP BY day_of_week""",
     "filtered_promo_year": _promo("year = 1999"),
     "filtered_promo_all": _promo("TRUE"),
     "filter_stores": _query("master", "SELECT DISTINCT store_nbr FROM master"),
+    "filter_years": _query("master", "SELECT DISTINCT year FROM master"),
+    "dimension_labels": _query(
+        "known",
+        """SELECT 'Item Family' AS label, item_family AS value, CAST(sum(unit_sales) AS DOUBLE)
+    AS total_sales FROM known GROUP BY item_family
+ORDER BY sum(unit_sales) DESC, item_family NULLS FIRST LIMIT 10""",
+    ),
+    "day_names": _query(
+        "train",
+        """SELECT date, CAST(extract(year FROM date) AS INT) AS year,
+    CAST(extract(month FROM date) AS INT) AS month,
+    CAST(extract(isodow FROM date) - 1 AS INT) AS day_of_week, dayname(date) AS day_name,
+    CAST(extract(week FROM date) AS INT) AS week_of_year
+FROM (SELECT DISTINCT date FROM train) AS days""",
+    ),
     "filter_families": _query(
         "master", "SELECT DISTINCT item_family FROM master WHERE item_family IS NOT NULL"
     ),
@@ -524,6 +581,10 @@ FROM train""",
     "latest_rows": _query(
         "latest", "SELECT * REPLACE (CAST(unit_sales AS DOUBLE) AS unit_sales) FROM latest"
     ),
+    "latest_rows_10k": _query(
+        "latest_10k",
+        "SELECT * REPLACE (CAST(unit_sales AS DOUBLE) AS unit_sales) FROM latest_10k",
+    ),
     "describe_latest": _describe("latest", "unit_sales"),
     "daily_sales": _query("daily", "SELECT * FROM daily"),
     "describe_daily": _describe("daily", "total_sales num_transactions avg_sales"),

@@ -2,15 +2,16 @@
 
 import logging
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry import schemas
+from basketry import schemas, session
 from basketry.plans import build
-from basketry.plans.warehouse import Warehouse
+from basketry.plans.warehouse import Warehouse, open_warehouse
 from basketry.session import fresh_path, shared_dir
 from basketry.sinks.stored import (
     append_table,
@@ -22,6 +23,7 @@ from basketry.sinks.stored import (
 from basketry.sources import stored
 from basketry.sources.csv_files import data_lines, read_fact, read_predictions, read_table
 from basketry.streaming.incremental import load_new_files
+from basketry.tables import RetailTables
 
 
 def write(folder, name, *lines):
@@ -102,12 +104,17 @@ def test_database_predicates_cover_each_day_once(spark):
     assert days.where(hits != in_years).count() == 0
 
 
-def test_counts_go_on_after_a_table_that_is_not_there(spark):
+def test_counts_go_on_after_a_table_that_cannot_be_read(spark, tmp_path):
     spark.range(3).createOrReplaceTempView("counted")
     assert "counted" in stored.available_tables(spark)
-    counts = stored.table_counts(spark, ["counted", "gone"])
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part.parquet").write_text("no parquet file")
+    spark.read.schema("id long").parquet(str(broken)).createOrReplaceTempView("broken")
+    counts = stored.table_counts(spark, ["counted", "broken", "gone"])
     report = {row["table_name"]: row for row in counts.collect()}
     assert (report["counted"]["row_count"], report["counted"]["error"]) == (3, None)
+    assert report["broken"]["row_count"] is None and report["broken"]["error"]
     assert report["gone"]["row_count"] is None
     assert report["gone"]["error"] == "TABLE_OR_VIEW_NOT_FOUND"
 
@@ -185,7 +192,7 @@ def test_exporting_a_year_again_leaves_the_others(spark, hot_day, tmp_path):
     second = dict(rows(rows_per_year(spark.read.parquet(path))))
     assert second[2013] == first[2013] and second[2014] < first[2014]
     sales = stored.read_by_year(spark, path, hot_day.schema)
-    assert sales.schema.names == hot_day.columns
+    assert sales.schema.names == [*hot_day.columns, "year"]
     write_by_year(hot_day.where("date < DATE '2014-01-01'"), path)
     assert [row[0] for row in rows(rows_per_year(spark.read.parquet(path)))] == [2013]
 
@@ -201,7 +208,7 @@ def test_files_are_loaded_once(spark, tmp_path):
         write(source, f"{n}.csv", TRAIN_HEAD, *lines)
 
     def loaded():
-        load_new_files(spark, source, target, progress, files_per_batch=2)
+        load_new_files(spark, source, target, progress, batch_bytes=300)
         frame = spark.read.parquet(target)
         return frame.count(), frame.select("id").distinct().count()
 
@@ -209,7 +216,12 @@ def test_files_are_loaded_once(spark, tmp_path):
     assert loaded() == (15, 15)
     write(source, "3.csv", TRAIN_HEAD, *[f"{15 + i},2013-01-01,1,1,1.0,True" for i in range(5)])
     assert loaded() == (20, 20)
-    assert spark.read.parquet(target).where("year = 2013 and onpromotion").count() == 5
+    back = spark.read.parquet(target)
+    assert back.where("year = 2013 and onpromotion").count() == 5
+    assert back.select("batch").distinct().count() >= 2
+    # A batch writes one file per year here, however many tasks read it.
+    assert len(back.inputFiles()) <= 4
+    assert sorted(back.columns) == sorted([*schemas.TRAIN.names, "year", "batch"])
 
 
 # --- whole run -----------------------------------------------------------------------
@@ -265,6 +277,70 @@ def test_views_are_stored_once_and_rebuilt_by_a_new_warehouse(spark, csv_folder)
     assert all(shared_dir(spark) in file for file in first.master.inputFiles())
 
 
+def test_views_can_be_read_by_name(spark, csv_folder, tmp_path):
+    output = f"{tmp_path}/out"
+    build.run(spark, csv_folder, output, "2017-08-16")
+    build.run(spark, csv_folder, output, "2017-08-16")
+    assert spark.table("train_clean").count() == 2
+    assert spark.table("master").where("year = 2013").count() == 2
+    assert spark.table("oil_clean").count() == 3
+    for name in ("oil_clean", "train_clean", "holidays_clean", "master"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_layout_is_kept_for_later_sessions(spark, csv_folder, tmp_path):
+    tables = build.load_tables(spark, csv_folder)
+    path = f"{tmp_path}/layout"
+    first = Warehouse(spark, tables, train_path=path).train_by_year.inputFiles()
+    assert first and Warehouse(spark, tables, train_path=path).train_by_year.inputFiles() == first
+
+
+def test_changed_input_changes_the_answer(spark, tmp_path):
+    folder = str(tmp_path)
+    load = lambda spark, source: RetailTables(
+        *[spark.read.parquet(f"{source}/t.parquet")] * 7
+    )
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    assert open_warehouse(spark, folder, load).oil.count() == 3
+    assert open_warehouse(spark, folder, load) is open_warehouse(spark, folder, load)
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert open_warehouse(spark, folder, load).oil.count() == 5
+
+
+def test_nothing_is_left_in_scratch(spark):
+    path = fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    app = spark.sparkContext.applicationId
+    known = session._scratch[app]
+    other = path.replace(app, "another-app")
+    spark.range(3).write.parquet(other)
+    session._scratch["another-app"] = (spark, other.rsplit("/", 1)[0])
+    session.remove_scratch("another-app")
+    assert not Path(other).exists() and Path(path).exists()
+    assert session._scratch[app] == known
+
+
+def test_shuffles_fit_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.fit_shuffles(spark, 10 * session.TASK_BYTES)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+        session.fit_shuffles(spark, session.TASK_BYTES)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_machines_own_disk_is_no_shared_folder():
+    context = SimpleNamespace(master="spark://m:7077", applicationId="a", getCheckpointDir=lambda: None)
+    settings = {"spark.checkpoint.dir": "file:/tmp/x"}
+    cluster = SimpleNamespace(sparkContext=context, conf=settings)
+    with pytest.raises(RuntimeError, match="own disk"):
+        shared_dir(cluster)
+    settings[session.SHARED_MOUNT] = "true"
+    assert shared_dir(cluster) == "file:/tmp/x"
+
+
 def test_csv_round_trip(spark, csv_folder):
     train = read_fact(spark, f"{csv_folder}/train.csv")
     path = fresh_path(spark, "csv")
