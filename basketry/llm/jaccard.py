@@ -3,9 +3,9 @@
 Shingles are 64-bit hashes of ``width`` consecutive words. Documents with equal sets are one
 class from the start. Between classes the candidates come from prefixes:
 
-* Shingles that stand in more than ``max(FREQUENT, total / FREQUENT_SHARE)`` places are
-  frequent; so there are at most ``FREQUENT_SHARE`` of them whatever the corpus, and their
-  list can be sent to every task. All sets are ordered with rare shingles first (by hash)
+* Shingles that stand in more than ``FREQUENT`` places are frequent, but at most
+  ``FREQUENT_SHARE`` of them, the most frequent of each range of hashes; so their list can be
+  sent to every task whatever the corpus. All sets are ordered with rare shingles first (by hash)
   and frequent ones last, which is one order for all sets.
 * Of two sets with similarity >= t each lacks at most s = n - ceil(t n) of its n shingles in
   the other, so they share one within the first s + 1 of both. If either has only rare
@@ -20,8 +20,9 @@ class from the start. Between classes the candidates come from prefixes:
 Classes that share a key are compared first by bitmaps of about a bit per shingle, whose
 distance never exceeds that of the sets, so only pairs that are too far apart are dropped,
 and then exactly, on their whole sets. To avoid all pairs of a large group, first each class
-is compared with the smallest of its key. What is not yet connected after that is compared
-pair by pair, within keys that still hold several components. Components of the confirmed
+is compared with the smallest of its key. Within keys that still hold several components
+after that, blocks of classes are compared in arrays of bitmaps, and only pairs that pass go
+on. Components of the confirmed
 links come from repeated joins to the smallest id.
 
 Cases: a null text, or one without words, is empty, links with nothing and is its own
@@ -48,8 +49,10 @@ from basketry.llm import words
 from basketry.llm.scratch import stored
 from basketry.operators.lookup import lookup_join
 
-#: Places a shingle may stand in and still be a key of its own, at least.
-FREQUENT = 64
+#: Places a shingle may stand in and still be a key of its own.
+FREQUENT = 8
+#: Rows of a key that are compared with one another in one task.
+KEY_BLOCK = 1024
 #: Most frequent shingles there can be.
 FREQUENT_SHARE = 1_000_000
 
@@ -147,13 +150,14 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def frequent_shingles(docs: DataFrame, width: int, total: int, ranges: int) -> np.ndarray:
-    """Shingles (their first 32 bits) in more places than the limit, ascending.
+def frequent_shingles(docs: DataFrame, width: int, ranges: int) -> np.ndarray:
+    """Frequent shingles (their first 32 bits), ascending.
 
     Every block of text sends its shingles sorted, as differences, one row per range of
-    hashes; a range is counted in one task. The list is bounded by ``FREQUENT_SHARE``.
+    hashes; a range is counted in one task. The list is bounded by ``FREQUENT_SHARE``: of a
+    range with more, those in the most places are frequent.
     """
-    limit = max(FREQUENT, total // FREQUENT_SHARE)
+    most = max(1, FREQUENT_SHARE // ranges)
     shift = _U64(64 - _COUNT_BITS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +178,9 @@ def frequent_shingles(docs: DataFrame, width: int, total: int, ranges: int) -> n
         value.sort()
         new = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
         times = np.diff(np.append(new, len(value)))
-        return pa.table([pa.array(value[new][times > limit].astype(np.int64))], ["shingle"])
+        often = np.flatnonzero(times > FREQUENT)
+        often = often[np.argsort(-times[often], kind="stable")[:most]]
+        return pa.table([pa.array(value[new][often].astype(np.int64))], ["shingle"])
 
     sent = docs.select("text").mapInArrow(send, "range int, shingles binary")
     found = sent.groupBy("range").applyInArrow(count, "shingle long").toPandas()["shingle"]
@@ -345,6 +351,86 @@ def close_enough(pairs: DataFrame, bitmaps: DataFrame, t: Fraction) -> DataFrame
     return both.select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(near, "a long, b long")
 
 
+def _distances(flat: np.ndarray, places: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of bitmaps i and j of a row of bitmaps, the longer one folded."""
+    words_of = np.diff(places)
+    out = np.zeros(len(i), dtype=np.int64)
+    sizes = words_of[i] << 32 | words_of[j]
+    for size in np.unique(sizes).tolist():
+        on = np.flatnonzero(sizes == size)
+        x, y = size >> 32, size & 0xFFFFFFFF
+        least = min(x, y)
+        sides = []
+        for index, width in ((i, x), (j, y)):
+            bits = flat[places[index[on]][:, None] + np.arange(width)]
+            sides.append(np.bitwise_xor.reduce(bits.reshape(len(on), -1, least), axis=1))
+        out[on] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1)
+    return out
+
+
+def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of classes with a common key and different components whose sizes and
+    bitmaps allow a similarity of ``t``.
+
+    ``placed`` has key, its number of rows, class_id, component, n_shingles and bitmap. A key
+    with many rows is dealt in blocks, every two of which meet in one task; rows of a key are
+    compared there as arrays, and only the pairs that pass leave the task.
+    """
+    up, down = t.numerator, t.denominator
+    blocks = F.ceil(F.col("rows") / KEY_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
+    dealt = placed.withColumn("blocks", blocks).withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    columns = ["key", "low", "high", "own", "class_id", "component", "n_shingles", "bitmap"]
+    dealt = dealt.select("key", low, high, "own", "class_id", "component", "n_shingles", "bitmap")
+    dealt = dealt.select(*columns).repartition("key", "low", "high")
+    dealt = dealt.sortWithinPartitions("key", "low", "high", "class_id")
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        key, low, high, own, ids, component, n = (rows[c].to_numpy() for c in columns[:7])
+        data, offsets = words.text_bytes(rows["bitmap"].combine_chunks())
+        flat, places = np.ascontiguousarray(data).view(_U64), offsets // 8
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for step in range(1, len(key)):
+            i = np.flatnonzero(
+                (key[step:] == key[:-step]) & (low[step:] == low[:-step]) & (high[step:] == high[:-step])
+            )
+            if not len(i):
+                break
+            j = i + step
+            fits = (component[i] != component[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
+            fits &= down * np.minimum(n[i], n[j]) >= up * np.maximum(n[i], n[j])
+            i, j = i[fits], j[fits]
+            most = (down - up) * (n[i] + n[j]) // (down + up)
+            near = _distances(flat, places, i, j) <= most
+            found.append((ids[i[near]], ids[j[near]]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else ids[:0] for k in (0, 1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+        )
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            if not len(table):
+                continue
+            names = [table[c].to_numpy() for c in ("key", "low", "high")]
+            last = np.ones(len(table), dtype=bool)
+            for values in names:
+                last &= values == values[-1]
+            done = len(table) - int(last.sum())  # the last run may go on
+            if done:
+                yield compare(table.slice(0, done))
+            held = table.slice(done)
+        if held is not None:
+            yield compare(held)
+
+    return dealt.mapInArrow(runs, "a long, b long")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, t: Fraction) -> DataFrame:
     """The pairs (a, b) of doc_ids whose sets have a similarity of at least ``t``.
 
@@ -420,9 +506,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") ->
     classes = all_sets.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = classes.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "classes")
-    total = all_sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    frequent = frequent_shingles(texts, width, total, ranges)
+    frequent = frequent_shingles(texts, width, ranges)
     known = texts.where(F.col("doc_id").isNotNull())
     shared = shared_keys(stored(postings(known, width, t, frequent), "postings"))
     # Documents with equal sets have equal keys, so a key's smallest document is a class id.
@@ -443,20 +528,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") ->
     # Members of keys whose classes are not all connected by now.
     placed = shared.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class_id"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    split = split.where(F.col("low") < F.col("high")).select("key")
-    sizes = bitmaps.select(F.col("doc_id").alias("class_id"), F.col("n_shingles").alias("n"))
-    placed = placed.join(split, "key").join(sizes, "class_id")
-    placed = stored(placed.select("key", "class_id", "n", "component"), "placed")
-    other = placed.select("key", *(F.col(c).alias(f"o_{c}") for c in ("class_id", "n", "component")))
-    fits = t.denominator * F.least("n", "o_n") >= t.numerator * F.greatest("n", "o_n")
-    second = placed.join(other, "key").where(
-        (F.col("class_id") < F.col("o_class_id")) & (F.col("component") != F.col("o_component")) & fits
+    split = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
     )
-    second = second.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b")).distinct()
-    second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    split = split.where(F.col("low") < F.col("high")).select("key", "rows")
+    placed = placed.join(split, "key").join(bitmaps.withColumnRenamed("doc_id", "class_id"), "class_id")
+    second = stored(unconnected_pairs(placed, t).distinct(), "pairs")
+    second = second.join(first, ["a", "b"], "left_anti")
     if not second.isEmpty():
-        links = links.unionByName(links_of(second))
+        more = stored(confirmed(texts, stored(second, "near"), width, t), "confirmed")
+        links = links.unionByName(more)
         found = components(links)
     named = classes.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
     named = named.select("set_key", F.coalesce("component", "class_id").alias("component_id"))

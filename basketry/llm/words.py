@@ -19,7 +19,7 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Text handled at once; arrays of eight bytes per text byte stay small.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Text hashed at once.
 _SEGMENT = 1 << 20
 

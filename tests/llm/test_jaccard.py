@@ -44,6 +44,7 @@ def varied(random, base, changes):
 def test_components_equal_all_pairs(docs, monkeypatch, threshold, frequent):
     """With few frequent places allowed, most keys are pairs of frequent shingles."""
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "KEY_BLOCK", 4)
     random = np.random.default_rng(frequent)
     vocabulary = [f"w{k}" for k in range(400)]
     passage = " ".join(random.choice(vocabulary, 60))
