@@ -78,6 +78,39 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return binary.token_files(_documents(spark, folder), tokenizer, end_id=0)
 
 
+_SIMILAR_SETS = r"""WITH RECURSIVE listed AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1),
+            lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+        ELSE [] END) AS shingle
+    FROM listed
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * common.n >= 90 * (x.n + y.n - common.n)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reached.doc_id, both_ways.b FROM reached JOIN both_ways ON both_ways.a = reached.other
+)
+SELECT listed.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reached.other) AS component_id
+FROM listed LEFT JOIN sizes ON sizes.doc_id = listed.doc_id
+JOIN reached ON reached.doc_id = listed.doc_id
+GROUP BY listed.doc_id"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_cross_polytope": op1_cross_polytope,
@@ -94,4 +127,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can express; models, sketches, seeded hashes and tokenizers it cannot."""
+    return {"op7_jaccard_join": _SIMILAR_SETS}
