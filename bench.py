@@ -44,6 +44,7 @@ def main() -> None:
     loads = {
         "load_tables": lambda: w.tables,
         "build_clean_views": lambda: (w.oil_clean, w.holidays_clean),
+        "lay_out_sales_by_year": lambda: w.train_by_year,
         "build_master": lambda: w.master,
         "build_summaries": lambda: (w.daily, w.store_performance, w.family_performance),
     }
