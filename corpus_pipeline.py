@@ -21,7 +21,7 @@ from basketry.llm.scratch import importable, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Calibrated probability of the language below which a document is rejected.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
