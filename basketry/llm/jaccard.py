@@ -525,8 +525,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") ->
     first = stored(first, "pairs")
     links = links_of(first)
     found = components(links)
-    # Members of keys whose classes are not all connected by now.
-    placed = shared.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+    # All pairs with a hub are decided. Of the others, those of keys whose classes are not all
+    # connected by now remain.
+    placed = shared.where(F.col("hub") < F.col("class_id")).drop("hub")
+    placed = placed.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class_id"))
     split = placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
