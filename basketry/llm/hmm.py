@@ -42,6 +42,9 @@ EXPLICIT_SHARE = 1 << 17
 STATES = 4
 ROUNDS = 4
 
+#: Text of a block that has a list of words of its own: the larger, the fewer words in all lists.
+CHUNK_BYTES = 4 << 20
+
 #: Tokens of a segment, and bytes of token classes handled at once.
 SEGMENT = 256
 _CLASS_BYTES = 2 << 20
@@ -69,7 +72,7 @@ def encode(docs: DataFrame) -> DataFrame:
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        for number, (batch, data, offsets) in enumerate(words.blocks(batches)):
+        for number, (batch, data, offsets) in enumerate(words.blocks(batches, limit=CHUNK_BYTES)):
             lower = words.lower_ascii(data)
             starts, ends, first = words.spans(lower, offsets)
             tokens = np.insert(words.hashes(lower, starts, ends), first[1:], END)
