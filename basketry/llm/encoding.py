@@ -18,8 +18,8 @@ import numpy as np
 from basketry.llm import words
 
 #: Slots for words a worker keeps (a power of two), and ids kept before it starts anew.
-SLOTS = 1 << 21
-KEPT_IDS = 12_000_000
+SLOTS = 1 << 20
+KEPT_IDS = 4_000_000
 
 _U64 = np.uint64
 _SPACED = _U64(0x5851F42D4C957F2D)

@@ -35,6 +35,9 @@ FEATURES = 1 << 15
 _NONE = np.uint32(FEATURES)
 LONGEST = 3
 
+#: Text whose features are counted at once; several numbers per character are held.
+_TEXT_BYTES = 1 << 20
+
 _FACTORS = [0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F]
 
 #: Characters that count as they are: the ASCII letters and all beyond ASCII.
@@ -185,7 +188,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def _document_frequencies(labelled: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES + 1, dtype=np.int64)
-        for _, data, offsets in words.blocks(batches):
+        for _, data, offsets in words.blocks(batches, limit=_TEXT_BYTES):
             found = count_features(data, offsets)
             total += np.bincount(found.feature, minlength=FEATURES + 1)
             total[FEATURES] += len(offsets) - 1  # the documents themselves
@@ -207,7 +210,7 @@ def _sample(labelled: DataFrame, per_language: int) -> pd.DataFrame:
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("turn", "lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in words.blocks(batches):
+        for batch, data, offsets in words.blocks(batches, limit=_TEXT_BYTES):
             found = count_features(data, offsets)
             lists = [
                 pa.LargeListArray.from_arrays(pa.array(found.places), pa.array(x.astype(np.int32))).cast(pa.list_(pa.int32()))
@@ -255,7 +258,7 @@ def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch, data, offsets in words.blocks(batches, "__text"):
+        for batch, data, offsets in words.blocks(batches, "__text", _TEXT_BYTES):
             texts = len(offsets) - 1
             names, score = np.full(texts, "und", dtype=object), np.zeros(texts)
             if model is not None:

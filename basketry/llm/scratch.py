@@ -17,12 +17,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Bytes of a batch that a Python worker gets, unless the session says otherwise.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and bound the
+    batches they get by their size: rows can be whole books.
 
     On a cluster the package comes with ``--py-files`` or is installed; a path that does not
     exist there is harmless.
     """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
