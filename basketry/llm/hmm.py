@@ -1,17 +1,18 @@
 """Hidden Markov language model: word counts, Baum-Welch and exact sequence likelihood.
 
-Tokens are the words of a text, A-Z in lower case, and one end. Words with at least
-``max(2, tokens / EXPLICIT_SHARE)`` training tokens have emission probabilities of their own
-in every latent state; there are at most ``EXPLICIT_SHARE`` of them whatever the corpus, so
-the model can be sent to every task. All other words are one symbol of the model, times the
-word's smoothed share among them; so the model is a distribution over all V + 1 words.
+Tokens are the words of a text, A-Z in lower case, and one end. Words with at least ``LEAST``
+training tokens have emission probabilities of their own in every latent state, whatever the
+size of the corpus. All other words are one symbol of the model, times the word's smoothed
+share among them; so the model is a distribution over all V + 1 words.
 
 1. ``encode`` turns blocks of text into a list of distinct words (as 64-bit hashes) with
    training counts, and the texts as places in that list.
 2. ``count`` deals those lists by ranges of hashes, adds up each word's count over all
    blocks, and gives every block the counts of its words back, so no task holds all words.
-3. Every round of Baum-Welch is one pass over the training texts: tasks sum expected counts,
-   which are added up per word; the driver holds the model alone.
+3. Every round of Baum-Welch is one pass over the training texts: every block sums expected
+   counts of its own words, ``totals`` adds them up per range of hashes and gives each block
+   those of its words back. No task and no driver holds the emissions of all words; the
+   driver has the start, the steps, the shared symbol and the sum per state.
 4. Scores are exact. A text is cut into segments whose transfer matrices are computed side by
    side, rescaled at every step, and then multiplied in order; so a long text takes no more
    steps than a short one. Training uses the same cut without approximation.
@@ -26,24 +27,28 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import words
-from basketry.llm.scratch import stored
+from basketry.llm.scratch import discard, stored
 
-EXPLICIT_SHARE = 1 << 17
+#: Training tokens of a word that has emissions of its own.
+LEAST = 2
 STATES = 4
 ROUNDS = 4
 
 #: Text of a block that has a list of words of its own: the larger, the fewer words in all lists.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 16 << 20
+
+#: Hashes of all blocks' words that one range of hashes has about, and one task holds.
+RANGE_BYTES = 16 << 20
 
 #: Tokens of a segment, and bytes of token classes handled at once.
 SEGMENT = 256
@@ -54,6 +59,8 @@ _U64 = np.uint64
 END = _U64(0x656E64)
 #: Prior counts that each state's emissions get from the word frequencies.
 _PRIOR = 50.0
+#: In place of a word's number in its range: no emissions of its own.
+_NONE = 0xFFFFFFFF
 
 
 def _binary(values: np.ndarray, places: np.ndarray | None = None) -> pa.Array:
@@ -67,12 +74,41 @@ def _list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays([0, len(values)], values)
 
 
+def _planes(values: np.ndarray, places: np.ndarray | None = None) -> pa.Array:
+    """Rows of numbers of four bytes, each byte of them in a run of its own, compressed."""
+    places = [0, len(values)] if places is None else places.tolist()
+    codec = pa.Codec("zstd", compression_level=1)
+    rows = [values[a:b].view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in zip(places, places[1:], strict=False)]
+    return pa.array([len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in rows], pa.binary())
+
+
+def _numbers(planes: pa.Scalar, kind: str = "<u4") -> np.ndarray:
+    raw = planes.as_py()
+    raw = pa.Codec("zstd").decompress(raw[8:], int.from_bytes(raw[:8], "little"), asbytes=True)
+    columns = np.frombuffer(raw, dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(columns.T).reshape(-1).view(kind)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``CHUNK_BYTES``; a longer one stays as it is."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > CHUNK_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def encode(docs: DataFrame) -> DataFrame:
     """Blocks of the rows (doc_id, text, learn, held_out) as words and places in them."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        for number, (batch, data, offsets) in enumerate(words.blocks(batches, limit=CHUNK_BYTES)):
+        for number, (batch, data, offsets) in enumerate(words.blocks(_gathered(batches), limit=CHUNK_BYTES)):
             lower = words.lower_ascii(data)
             starts, ends, first = words.spans(lower, offsets)
             tokens = np.insert(words.hashes(lower, starts, ends), first[1:], END)
@@ -91,7 +127,7 @@ def encode(docs: DataFrame) -> DataFrame:
                     _list(pa.array(lengths, pa.int64())),
                     _binary(vocabulary),
                     _binary(counts.astype("<u4")),
-                    _binary(places.astype("<u4")),
+                    _planes(places.astype("<u4")),
                 ],
                 ["chunk", "n_learned", "doc_ids", "learn", "held_out", "lengths", "vocabulary", "counts", "tokens"],
             )
@@ -103,10 +139,11 @@ def encode(docs: DataFrame) -> DataFrame:
     )
 
 
-def count(chunks: DataFrame, least: int, ranges: int) -> DataFrame:
-    """Total counts: for each chunk and range of hashes those of its words (``counts``), and
-    for each range, as chunk -1, its number of words, and the words counted at least
-    ``least`` times (``words``, ``counts``)."""
+def count(chunks: DataFrame, least: int, ranges: int, states: int) -> DataFrame:
+    """Total counts: for each chunk and range of hashes those of its words (``counts``) and
+    their numbers among the range's words counted at least ``least`` times (``ids``); for each
+    range, as chunk -1, its number of words, of such words (``n_explicit``), of their tokens
+    (``n_tokens``), and their first weights per state (``weights``)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.array([k * (1 << 64) // ranges for k in range(1, ranges)], dtype=_U64)
@@ -134,97 +171,122 @@ def count(chunks: DataFrame, least: int, ranges: int) -> DataFrame:
         total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct))
         total = total.astype("<u8")
         often = total >= least
+        ids = np.where(often, np.cumsum(often) - 1, _NONE).astype("<u4")[inverse]
+        weights = total[often] @ disturbed(distinct[often], states)
         sizes = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-        places = np.append(sizes, sizes[-1] + np.count_nonzero(often))
-        none = np.zeros(len(sizes), dtype=np.int64)
-        explicit = none.copy()
-        explicit[-1] = np.count_nonzero(often)
-        n = np.append(np.zeros(len(lists), dtype=np.int64), np.count_nonzero(total))
+        places = np.append(sizes, sizes[-1])
+        none = [0] * len(lists)
         chunk = np.append(rows["chunk"].to_numpy(), -1)
         return pa.table(
             [
                 pa.array(chunk),
                 pa.array(np.full(len(chunk), key[0].as_py(), dtype=np.int32)),
-                pa.array(n),
-                _binary(distinct[often], np.concatenate([[0], np.cumsum(explicit)])),
-                _binary(np.concatenate([total[inverse], total[often]]), places),
+                pa.array([*none, np.count_nonzero(total)], pa.int64()),
+                pa.array([*none, np.count_nonzero(often)], pa.int64()),
+                pa.array([*none, int(total[often].sum())], pa.int64()),
+                pa.array([*([None] * len(lists)), weights.tolist()], pa.list_(pa.float64())),
+                _binary(total[inverse], places),
+                _binary(ids, places),
             ],
-            ["chunk", "range", "n_words", "words", "counts"],
+            ["chunk", "range", "n_words", "n_explicit", "n_tokens", "weights", "counts", "ids"],
         )
 
     dealt = chunks.select("chunk", "vocabulary", "counts").mapInArrow(
         deal, "range int, chunk long, vocabulary binary, counts binary"
     )
     return dealt.groupBy("range").applyInArrow(
-        add, "chunk long, range int, n_words long, words binary, counts binary"
+        add,
+        "chunk long, range int, n_words long, n_explicit long, n_tokens long,"
+        " weights array<double>, counts binary, ids binary",
     )
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Explicit words (hashes, ascending) with their counts, and totals of the training rows."""
+    """Totals of the training rows, and those of the words with emissions of their own."""
 
-    explicit: np.ndarray
-    counts: np.ndarray
     tokens: int
     words: int
+    explicit_tokens: int
+    explicit_words: int
+    weights: np.ndarray
 
     @property
     def rest(self) -> float:
         """Smoothed count of all words that are not explicit, an unknown one included."""
-        seen = self.tokens - int(self.counts.sum())
-        return seen + 0.5 * (self.words - len(self.explicit)) + 0.5
+        seen = self.tokens - self.explicit_tokens
+        return seen + 0.5 * (self.words - self.explicit_words) + 0.5
+
+    @property
+    def rest_share(self) -> float:
+        return self.rest / (self.explicit_tokens + self.rest)
+
+
+def vocabulary_of(counted: DataFrame, tokens: int, states: int) -> Vocabulary:
+    """One row of sums reaches the driver."""
+    found = counted.where(F.col("chunk") == -1)
+    sums = found.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_words", "n_tokens", "n_explicit")),
+        *(F.coalesce(F.sum(F.get("weights", F.lit(k))), F.lit(0.0)) for k in range(states)),
+    ).first()
+    return Vocabulary(tokens, sums[0], sums[1], sums[2], np.array(sums[3:]))
 
 
 def classify(chunks: DataFrame, counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """A row per document: ids, flags, numbers of tokens, base_score, the part of the score
-    that does not depend on states (``rest_score``) and the classes of its tokens."""
-    shared = chunks.sparkSession.sparkContext.broadcast(vocabulary)
+    """A row per chunk: of its documents the ids, flags, numbers of tokens, base_score and the
+    part of the score that does not depend on states (``rest_score``); of its explicit words
+    hashes, counts, numbers in their ranges (``ids``) and how many of each range (``sizes``);
+    and the tokens as places in those words, the next place for all others."""
+    v = vocabulary
 
     def one(key: tuple, chunk: pa.Table, pieces: pa.Table) -> pa.Table:
-        v = shared.value
         order = np.argsort(pieces["range"].to_numpy())
-        parts = [np.frombuffer(pieces["counts"][int(i)].as_buffer(), dtype="<u8") for i in order]
-        counts = np.concatenate(parts).astype(np.float64)
+        parts, numbers = (
+            [np.frombuffer(pieces[name][int(i)].as_buffer(), dtype=kind) for i in order]
+            for name, kind in (("counts", "<u8"), ("ids", "<u4"))
+        )
+        total, ids = np.concatenate(parts), np.concatenate(numbers)
+        counts = total.astype(np.float64)
         own = np.frombuffer(chunk["vocabulary"][0].as_buffer(), dtype=_U64)
-        at = np.searchsorted(v.explicit, own)
-        hit = at < len(v.explicit)
-        hit[hit] = v.explicit[at[hit]] == own[hit]
-        classes = np.where(hit, at, len(v.explicit)).astype("<i4")
+        hit = ids != _NONE
+        classes = np.where(hit, np.cumsum(hit) - 1, np.count_nonzero(hit)).astype("<u4")
+        sizes = np.array([np.count_nonzero(x != _NONE) for x in numbers], dtype="<u4")
         logs = np.log10(counts + 0.5)
         rest = np.where(hit, 0.0, logs - math.log10(v.rest))
-        tokens = np.frombuffer(chunk["tokens"][0].as_buffer(), dtype="<u4")
+        tokens = _numbers(chunk["tokens"][0])
         lengths = chunk["lengths"].combine_chunks().flatten().to_numpy()
-        places = np.concatenate([[0], np.cumsum(lengths)])
-        doc = places[:-1]  # every text has a token, so no run is empty
+        doc = np.concatenate([[0], np.cumsum(lengths)[:-1]])  # every text has a token, so no run is empty
         sums = lambda x: np.add.reduceat(x[tokens], doc)
         smooth = math.log10(v.tokens + 0.5 * (v.words + 1))
-        flat = lambda name: chunk[name].combine_chunks().flatten()
         return pa.table(
             [
-                flat("doc_ids"),
-                flat("learn"),
-                flat("held_out"),
-                pa.array(lengths),
-                pa.array(sums((counts > 0).astype(np.int64))),
-                pa.array(sums(logs) - lengths * smooth),
-                pa.array(sums(rest)),
-                _binary(classes[tokens], places),
+                *(chunk[name].combine_chunks() for name in ("chunk", "doc_ids", "learn", "held_out", "lengths")),
+                _list(pa.array(sums((counts > 0).astype(np.int64)))),
+                _list(pa.array(sums(logs) - lengths * smooth)),
+                _list(pa.array(sums(rest))),
+                _binary(own[hit]),
+                _binary(total[hit]),
+                _binary(ids[hit]),
+                _binary(sizes),
+                _planes(classes[tokens]),
             ],
-            ["doc_id", "learn", "held_out", "n_tokens", "n_known", "base_score", "rest_score", "classes"],
-        )
+            [
+                "chunk", "doc_ids", "learn", "held_out", "lengths", "n_known", "base_score", "rest_score",
+                "words", "counts", "ids", "sizes", "tokens",
+            ],
+        )
 
     pieces = counted.where(F.col("chunk") >= 0)
-    pieces = pieces.select(F.col("chunk").alias("of_chunk"), "range", F.col("counts").alias("totals"))
-    pieces = pieces.withColumnRenamed("totals", "counts")
+    pieces = pieces.select(F.col("chunk").alias("of_chunk"), "range", "counts", "ids")
     return (
         chunks.drop("counts", "n_learned")
         .groupBy("chunk")
         .cogroup(pieces.groupBy("of_chunk"))
         .applyInArrow(
             one,
-            "doc_id long, learn boolean, held_out boolean, n_tokens long, n_known long,"
-            " base_score double, rest_score double, classes binary",
+            "chunk long, doc_ids array<long>, learn array<boolean>, held_out array<boolean>,"
+            " lengths array<long>, n_known array<long>, base_score array<double>,"
+            " rest_score array<double>, words binary, counts binary, ids binary, sizes binary, tokens binary",
         )
     )
 
@@ -239,13 +301,59 @@ class Model:
     emit: np.ndarray
 
 
-def first_model(frequency: np.ndarray, states: int, seed: int = 5) -> Model:
+def disturbed(hashes: np.ndarray, states: int) -> np.ndarray:
+    """A factor from 0.5 to 1.5 for each word and state, the same wherever the word is met."""
+    salts = words.mix(np.arange(5, 5 + states, dtype=_U64))
+    return (words.mix(hashes[:, None] ^ salts) >> _U64(11)) / float(1 << 53) + 0.5
+
+
+#: Stands for all words without emissions of their own.
+_REST = np.array([0x72657374], dtype=_U64)
+
+
+@dataclass(frozen=True)
+class Parameters:
+    """What all tasks know of a model: start, steps, the shared symbol's emissions (``rest``)
+    and the sum over all symbols per state that emissions are divided by (``whole``)."""
+
+    start: np.ndarray
+    steps: np.ndarray
+    rest: np.ndarray
+    whole: np.ndarray
+    prior: float
+
+    def model(self, weights: np.ndarray) -> Model:
+        """The model over some explicit words with these weights, and the shared symbol."""
+        return Model(self.start, self.steps, np.concatenate([weights / self.whole, self.rest[None]]))
+
+    def weights(self, sums: np.ndarray) -> np.ndarray:
+        """Of expected counts: a word's counts over all states are its training tokens, so its
+        share of the prior comes from them."""
+        return sums + self.prior * sums.sum(axis=1, keepdims=True)
+
+
+def first_parameters(vocabulary: Vocabulary, states: int) -> Parameters:
     """Word frequencies, disturbed apart for each state so that training can tell them apart."""
-    random = np.random.default_rng(seed)
-    emit = frequency[:, None] * random.uniform(0.5, 1.5, (len(frequency), states))
     steps = np.full((states, states), 1 / states) + np.eye(states)
-    return Model(
-        np.full(states, 1 / states), steps / steps.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+    rest = vocabulary.rest * disturbed(_REST, states)[0]
+    whole = vocabulary.weights + rest
+    prior = _PRIOR / (vocabulary.explicit_tokens + vocabulary.rest)
+    start = np.full(states, 1 / states)
+    return Parameters(start, steps / steps.sum(axis=1, keepdims=True), rest / whole, whole, prior)
+
+
+def next_parameters(sums: np.ndarray, vocabulary: Vocabulary, before: Parameters) -> Parameters:
+    """The most likely model for expected counts, with a prior towards the frequencies.
+
+    ``sums`` has those of the start, the steps, the shared symbol and all explicit words.
+    """
+    states = len(before.start)
+    start, steps, rest, explicit = np.split(sums, np.cumsum([states, states * states, states]))
+    start, steps = start + 0.5, steps.reshape(states, states) + 0.5
+    rest = rest + _PRIOR * vocabulary.rest_share
+    whole = explicit + rest + _PRIOR * (1 - vocabulary.rest_share)
+    return Parameters(
+        start / start.sum(), steps / steps.sum(axis=1, keepdims=True), rest / whole, whole, before.prior
     )
 
 
@@ -371,52 +479,150 @@ class Expected:
             self.emit[k] += np.bincount(classes, weights=own[:, k], minlength=self.emit.shape[1])
 
 
-def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch, data, offsets in words.blocks(batches, "classes", _CLASS_BYTES):
-        yield batch, np.ascontiguousarray(data).view("<i4"), offsets // 4
+def _runs(lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Texts of a chunk in runs of at most ``_CLASS_BYTES`` of classes, or one longer text, and
+    the places of their tokens."""
+    places = np.concatenate([[0], np.cumsum(lengths)])
+    text = 0
+    while text < len(lengths):
+        end = int(np.searchsorted(places, places[text] + _CLASS_BYTES // 4, side="right")) - 1
+        end = min(max(end, text + 1), len(lengths))
+        yield slice(text, end), places[text : end + 1]
+        text = end
+
+
+def _model_of(chunk: pa.Table, pieces: pa.Table | None, known: Parameters) -> Model:
+    """The model over a chunk's own words, from their counts (``pieces`` is None) or from their
+    expected counts in ``pieces``."""
+    states = len(known.start)
+    if pieces is None:
+        own, counts = (
+            np.frombuffer(chunk[name][0].as_buffer(), dtype=kind) for name, kind in (("words", _U64), ("counts", "<u8"))
+        )
+        return known.model(counts[:, None] * disturbed(own, states))
+    order = np.argsort(pieces["range"].to_numpy())
+    sums = [_numbers(pieces["sums"][int(i)], "<f4") for i in order]
+    return known.model(known.weights(np.concatenate(sums).astype(np.float64).reshape(-1, states)))
+
+
+_EXPECTED = "chunk long, range int, ids binary, sums binary, totals array<double>"
+
+
+def _expect(chunk: pa.Table, pieces: pa.Table | None, known: Parameters) -> pa.Table:
+    """Expected counts of a chunk: a row per range for its words, and as range -1 all sums."""
+    states = len(known.start)
+    model = _model_of(chunk, pieces, known)
+    found = Expected(np.zeros(states), np.zeros((states, states)), np.zeros((states, len(model.emit))))
+    flat = lambda name: chunk[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    lengths, learn, tokens = flat("lengths"), flat("learn").astype(bool), _numbers(chunk["tokens"][0])
+    tokens = tokens[np.repeat(learn, lengths)].astype("<i4")
+    for _, places in _runs(lengths[learn]):
+        found.add(model, tokens[places[0] : places[-1]], places - places[0])
+    words_of = np.ascontiguousarray(found.emit[:, :-1].T)
+    totals = np.concatenate([found.start, found.steps.reshape(-1), found.emit[:, -1], words_of.sum(axis=0)])
+    sizes = np.frombuffer(chunk["sizes"][0].as_buffer(), dtype="<u4").astype(np.int64)
+    ids = np.frombuffer(chunk["ids"][0].as_buffer(), dtype="<u4")
+    # Ranges without words of the chunk are left out, but never all of them.
+    used = np.flatnonzero((sizes > 0) | (np.arange(len(sizes)) == 0))
+    places = np.concatenate([[0], np.cumsum(sizes[used]), [sizes.sum()]])
+    return pa.table(
+        [
+            pa.array(np.full(len(used) + 1, chunk["chunk"][0].as_py())),
+            pa.array(np.append(used, -1).astype(np.int32)),
+            _binary(ids, places),
+            _planes(words_of.astype("<f4").reshape(-1), places * states),
+            pa.array([*([None] * len(used)), totals.tolist()], pa.list_(pa.float64())),
+        ],
+        ["chunk", "range", "ids", "sums", "totals"],
+    )
+
 
+def totals(expected: DataFrame, states: int) -> DataFrame:
+    """Expected counts of each word over all chunks, for each chunk and range those of its words.
 
-def expected_counts(texts: DataFrame, model: Model) -> Expected:
-    """One pass of Baum-Welch over the rows of ``texts``; rows of the model reach the driver."""
-    states, symbols = len(model.start), len(model.emit)
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+    They travel in four bytes and are added in eight."""
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Expected(np.zeros(states), np.zeros((states, states)), np.zeros((states, symbols)))
-        for _, classes, places in _token_blocks(batches):
-            total.add(shared.value, classes, places)
-        # Symbols from 0; the rows of the steps and the start stand below.
-        rows = np.concatenate([total.emit.T, total.steps, total.start[None]])
-        names = np.concatenate([np.arange(symbols), -1 - np.arange(states + 1)])
-        used = np.flatnonzero(rows.any(axis=1))
-        columns = [pa.array(rows[used, k]) for k in range(states)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names[used]), *columns], ["name", *(f"s{k}" for k in range(states))]
+    def add(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        ids = [np.frombuffer(x.as_buffer(), dtype="<u4") for x in rows["ids"]]
+        total = np.zeros((max((int(x.max()) + 1 for x in ids if len(x)), default=0), states))
+        for own, part in zip(ids, rows["sums"], strict=True):
+            total[own] += _numbers(part, "<f4").reshape(-1, states)
+        places = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        back = total[np.concatenate(ids)].astype("<f4").reshape(-1)
+        return pa.table(
+            [rows["chunk"].combine_chunks(), rows["range"].combine_chunks(), _planes(back, places * states)],
+            ["of_chunk", "range", "sums"],
         )
 
-    kinds = ", ".join(f"s{k} double" for k in range(states))
-    rows = texts.select("classes").mapInArrow(collect, f"name long, {kinds}")
-    sums = rows.groupBy("name").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states)))
-    table: pd.DataFrame = sums.toPandas()
-    shared.unpersist()
-    out = Expected(np.zeros(states), np.zeros((states, states)), np.zeros((states, symbols)))
-    values = table[[f"s{k}" for k in range(states)]].to_numpy()
-    for name, row in zip(table["name"].tolist(), values, strict=True):
-        if name >= 0:
-            out.emit[:, name] = row
-        elif name == -1 - states:
-            out.start[:] = row
-        else:
-            out.steps[-1 - name] = row
-    return out
-
-
-def next_model(found: Expected, frequency: np.ndarray) -> Model:
-    """The most likely model for expected counts, with a prior towards the frequencies."""
-    start = found.start + 0.5
-    steps = found.steps + 0.5
-    emit = found.emit.T + _PRIOR * frequency[:, None]
-    return Model(start / start.sum(), steps / steps.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    rows = expected.where(F.col("range") >= 0).select("chunk", "range", "ids", "sums")
+    return rows.groupBy("range").applyInArrow(add, "of_chunk long, range int, sums binary")
+
+
+def expected_counts(texts: DataFrame, before: DataFrame | None, known: Parameters) -> DataFrame:
+    """One pass of Baum-Welch over the training rows of ``texts``, with the emissions that the
+    expected counts ``before`` give; the first pass has none."""
+    columns = ["chunk", "learn", "lengths", "tokens", "ids", "sizes"]
+    if before is None:
+
+        def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    yield from _expect(pa.Table.from_batches([batch.slice(k, 1)]), None, known).to_batches()
+
+        return texts.select(*columns, "words", "counts").mapInArrow(collect, _EXPECTED)
+    back = totals(before, len(known.start))
+    return (
+        texts.select(*columns)
+        .groupBy("chunk")
+        .cogroup(back.groupBy("of_chunk"))
+        .applyInArrow(lambda _, chunk, pieces: _expect(chunk, pieces, known), _EXPECTED)
+    )
+
+
+def likelihoods(texts: DataFrame, before: DataFrame | None, known: Parameters) -> DataFrame:
+    """A row per document with its score, under the same model as ``expected_counts``."""
+    columns = ["doc_ids", "held_out", "lengths", "n_known", "base_score", "rest_score"]
+
+    def score(chunk: pa.Table, pieces: pa.Table | None) -> pa.Table:
+        model = _model_of(chunk, pieces, known)
+        flat = [chunk[name].combine_chunks().flatten() for name in columns]
+        tokens = _numbers(chunk["tokens"][0]).astype("<i4")
+        out = flat[5].to_numpy().copy()
+        for texts_of, places in _runs(flat[2].to_numpy()):
+            found = log_likelihood(model, tokens[places[0] : places[-1]], places - places[0])
+            out[texts_of] += found / math.log(10)
+        return pa.table(
+            [*flat[:5], pa.array(out)], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        )
+
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    if before is None:
+
+        def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    yield from score(pa.Table.from_batches([batch.slice(k, 1)]), None).to_batches()
+
+        return texts.select("chunk", *columns, "tokens", "words", "counts").mapInArrow(collect, kinds)
+    back = totals(before, len(known.start))
+    return (
+        texts.select("chunk", *columns, "tokens")
+        .groupBy("chunk")
+        .cogroup(back.groupBy("of_chunk"))
+        .applyInArrow(lambda _, chunk, pieces: score(chunk, pieces), kinds)
+    )
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them ends: every job here stores its result."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def scored(docs: DataFrame, learn: Column, held_out: Column, states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
@@ -429,35 +635,24 @@ def scored(docs: DataFrame, learn: Column, held_out: Column, states: int = STATE
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", flag(learn).alias("learn"), flag(held_out).alias("held_out")
     )
-    chunks = stored(encode(rows), "chunks")
-    tokens = chunks.agg(F.coalesce(F.sum("n_learned"), F.lit(0))).first()[0]
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = stored(count(chunks, max(2, tokens // EXPLICIT_SHARE), ranges), "counted")
-    # At most EXPLICIT_SHARE words, one row per range.
-    found = counted.where(F.col("chunk") == -1).select("n_words", "words", "counts").toPandas()
-    explicit = np.frombuffer(b"".join(found["words"]), dtype=_U64)
-    counts = np.frombuffer(b"".join(found["counts"]), dtype="<u8").astype(np.int64)
-    order = np.argsort(explicit)
-    vocabulary = Vocabulary(explicit[order], counts[order], tokens, int(found["n_words"].sum()))
-    texts = stored(classify(chunks, counted, vocabulary), "classes")
-    frequency = np.append(vocabulary.counts, vocabulary.rest).astype(np.float64)
-    frequency /= frequency.sum()
-    model = first_model(frequency, states)
-    for _ in range(rounds if tokens else 0):
-        model = next_model(expected_counts(texts.where("learn"), model), frequency)
-    shared = spark.sparkContext.broadcast(model)
-
-    def likelihood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, classes, places in _token_blocks(batches):
-            log = log_likelihood(shared.value, classes, places) / math.log(10)
-            score = log + batch.column(batch.schema.get_field_index("rest_score")).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(score)], [*batch.schema.names[:5], "score"]
-            )
-
-    return texts.select(
-        "doc_id", "held_out", "n_tokens", "n_known", "base_score", "rest_score", "classes"
-    ).mapInArrow(
-        likelihood,
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
-    ).withColumn("train_tokens", F.lit(tokens).cast("long"))
+    with _shuffles_removed(spark):
+        chunks = stored(encode(rows), "chunks")
+        tokens, size = chunks.agg(
+            F.coalesce(F.sum("n_learned"), F.lit(0)), F.coalesce(F.sum(F.octet_length("vocabulary")), F.lit(0))
+        ).first()
+        ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+        counted = stored(count(chunks, LEAST, ranges, states), "counted")
+        vocabulary = vocabulary_of(counted, tokens, states)
+        texts = stored(classify(chunks, counted, vocabulary), "classes")
+        discard(chunks)
+        discard(counted)
+        known, expected = first_parameters(vocabulary, states), None
+        for _ in range(rounds if tokens else 0):
+            found = stored(expected_counts(texts, expected, known), "expected")
+            if expected is not None:
+                discard(expected)
+            expected = found
+            sums = expected.where(F.col("range") == -1).select(F.posexplode("totals").alias("place", "sum"))
+            sums = {r[0]: r[1] for r in sums.groupBy("place").agg(F.sum("sum")).collect()}
+            known = next_parameters(np.array([sums[k] for k in range(len(sums))]), vocabulary, known)
+    return likelihoods(texts, expected, known).withColumn("train_tokens", F.lit(tokens).cast("long"))

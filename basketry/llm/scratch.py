@@ -17,6 +17,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    jvm, files = frame.sparkSession.sparkContext._jvm, frame.inputFiles()
+    for folder in {x.rpartition("/")[0] for x in files}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 #: Bytes of a batch that a Python worker gets, unless the session says otherwise.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"

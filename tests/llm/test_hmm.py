@@ -110,3 +110,59 @@ def test_odd_rows(docs):
     assert all(math.isfinite(r.score) for r in result)
     assert scored(docs([])) == []
     check_base(docs([(None, "a b", "en", "a", 0)]), scored(docs([(None, "a b", "en", "a", 0)])))
+
+
+def test_words_of_two_tokens_have_emissions_in_a_large_corpus(docs):
+    # More than 3 * 131,072 tokens: the least count must not grow with them.
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 != 1][:8]
+    held = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    texts = ["a b " * 25_000 + f"a {'left' if k < 2 else 'c'} b " + "c d " * 25_000 + f"d {'right' if k < 2 else 'e'} c" for k in range(8)]
+    texts += ["a b a left b a b a", "a b a right b a b a"]
+    rows = [(i, t, "en", "a", 0) for i, t in zip(ids + held, texts, strict=True)]
+    one, two = (r for r in scored(docs(rows)) if r.held_out)
+    assert one.train_tokens > 3 << 17 and math.isclose(one.base_score, two.base_score)
+    assert not math.isclose(one.score, two.score, rel_tol=1e-6)
+
+
+def test_scores_equal_training_on_one_table(spark, docs, monkeypatch):
+    """All chunks and ranges together give what one table of all words gives."""
+    monkeypatch.setattr(hmm, "CHUNK_BYTES", 2_000)
+    monkeypatch.setattr(hmm, "RANGE_BYTES", 1_000)
+    random = np.random.default_rng(7)
+    bodies = [" ".join(f"w{x}" for x in random.zipf(1.4, random.integers(1, 200)) if x < 500) for _ in range(60)]
+    rows = [(i, text, "en", "a", 0) for i, text in enumerate(bodies)]
+    found = {r.doc_id: r for r in scored(docs(rows).repartition(3))}
+    learn = {i: zlib.crc32(str(i).encode()) % 5 != 1 for i in found}
+    tokens = [[w.encode() for w in b.split()] + [None] for b in bodies]
+    counts = Counter(w for i, t in enumerate(tokens) if learn[i] for w in t)
+    listed = sorted((w for w in counts if counts[w] >= 2), key=str)
+    place = {w: k for k, w in enumerate(listed)}
+    joined = b" ".join(w or b"x" for w in listed)
+    data = np.frombuffer(joined, dtype=np.uint8)
+    starts, ends, _ = hmm.words.spans(data, np.array([0, len(data)]))
+    hashes = hmm.words.hashes(data, starts, ends)
+    hashes[[k for k, w in enumerate(listed) if w is None]] = hmm.END
+    total = sum(counts.values())
+    rest = total - sum(counts[w] for w in listed) + 0.5 * (len(counts) - len(listed)) + 0.5
+    frequency = np.array([*(counts[w] for w in listed), rest]) / (sum(counts[w] for w in listed) + rest)
+    emit = frequency[:, None] * hmm.disturbed(np.append(hashes, hmm._REST), 4)
+    steps = np.full((4, 4), 0.25) + np.eye(4)
+    model = hmm.Model(np.full(4, 0.25), steps / steps.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+    def classes(kept):
+        flat = [place.get(w, len(listed)) for i in kept for w in tokens[i]]
+        return np.array(flat), np.concatenate([[0], np.cumsum([len(tokens[i]) for i in kept])])
+
+    for _ in range(4):
+        expected = hmm.Expected(np.zeros(4), np.zeros((4, 4)), np.zeros((4, len(frequency))))
+        expected.add(model, *classes([i for i in learn if learn[i]]))
+        steps, emit = expected.steps + 0.5, expected.emit.T + 50.0 * frequency[:, None]
+        model = hmm.Model(
+            (expected.start + 0.5) / (expected.start + 0.5).sum(),
+            steps / steps.sum(axis=1, keepdims=True),
+            emit / emit.sum(axis=0),
+        )
+    plain = hmm.log_likelihood(model, *classes(range(60))) / math.log(10)
+    for i, score in enumerate(plain):
+        share = sum(math.log10((counts[w] + 0.5) / rest) for w in tokens[i] if w not in place)
+        assert math.isclose(found[i].score, score + share, rel_tol=1e-5)
