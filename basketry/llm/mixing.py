@@ -6,8 +6,9 @@ no source is above. The level at which that settles is found directly: in ascend
 cap over weight, the first sources are at their cap and the rest share what is left.
 
 A source's documents are then taken a whole number of times, and the rest of its target from
-a seeded order of its documents: hash buckets are taken whole until the target is met, and
-of the documents in the last bucket a fraction of the words. Sizes are summed per source and
+a seeded order of its documents: hash buckets are taken whole until the target is met, then
+documents of the last bucket in the order of a second hash, and of the one document at which
+the target is met a fraction of the words (of equal rows each the same). Sizes are summed per source and
 bucket before anything meets, so a source with a third of all rows is no single task, and
 the table of sources is joined by broadcast only after its size is measured.
 
@@ -115,16 +116,34 @@ def plan(
         .groupBy("key")
         .agg(
             F.max("bucket").alias("cut"),
-            F.max_by(F.least((F.col("rest") - F.col("before")) / F.col("words"), F.lit(1.0)), "bucket").alias("part"),
+            F.max_by(F.col("rest") - F.col("before"), "bucket").alias("open"),
         )
     )
     table = aims.drop("rest").join(cuts, "key", "left")
-    names = ["source_size", "target", "epochs", "cut", "part"]
-    table = table.select(F.col("key").alias("__key"), *(F.col(n).alias(f"__{n}") for n in names))
-    joined = lookup_join(sized, stored(table, "targets"), ["__key"])
+    names = ["source_size", "target", "epochs", "cut", "open"]
+    table = stored(table.select(F.col("key").alias("__key"), *(F.col(n).alias(f"__{n}") for n in names)), "targets")
+    # Rows without an id, or with the same one, are told apart by their texts.
+    place = F.struct(
+        F.xxhash64(F.lit(seed + 1), F.col(doc_id)).alias("id"), F.xxhash64(F.lit(seed + 1), F.col(text)).alias("text")
+    )
+    last = docs.select(added["__key"].alias("__key"), bucket.alias("__bucket"), place.alias("__place"), F.col(text).alias("__text"))
+    last = lookup_join(last, table.select("__key", "__cut", "__open"), ["__key"])
+    last = last.where(F.col("__bucket") == F.col("__cut"))
+    last = last.select("__key", "__open", "__place", word_count(F.col("__text")).alias("__words"))
+    last = last.groupBy("__key", "__place").agg(F.sum("__words").alias("__words"), F.first("__open").alias("__open"))
+    until = F.sum("__words").over(Window.partitionBy("__key").orderBy("__place"))
+    last = last.withColumn("__left", F.col("__open") - (until - F.col("__words")))
+    last = last.where((F.col("__left") > 0) & (F.col("__words") > 0)).groupBy("__key").agg(
+        F.max("__place").alias("__end"),
+        F.max_by(F.least(F.col("__left") / F.col("__words"), F.lit(1.0)), "__place").alias("__part"),
+    )
+    table = stored(table.drop("__open").join(last, "__key", "left"), "cuts")
+    joined = lookup_join(sized.withColumn("__place", place), table, ["__key"])
+    on_cut = F.col("__bucket") == F.col("__cut")
     fraction = (
         F.when(F.col("__bucket") < F.col("__cut"), 1.0)
-        .when(F.col("__bucket") == F.col("__cut"), F.col("__part"))
+        .when(on_cut & (F.col("__place") < F.col("__end")), 1.0)
+        .when(on_cut & (F.col("__place") == F.col("__end")), F.col("__part"))
         .otherwise(0.0)
     )
     extra = F.round(fraction * F.col("__size")).cast("long")
@@ -142,7 +161,8 @@ def plan(
 def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mixture itself: each document as often as its plan says, the columns of ``docs``.
 
-    A fractional repetition holds the first words of the text; one of no words is left out.
+    The fractional repetition at which a source meets its target holds the first words of the
+    text; one of no words is left out.
     """
     planned = plan(docs.select(*(F.col(c).alias(f"__doc_{c}") for c in docs.columns)), text=f"__doc_{text}", source="__doc_source", doc_id="__doc_doc_id", **options)
     rest = F.col("taken") - F.col("epochs") * F.col("size")

@@ -65,3 +65,12 @@ def test_the_mixture_holds_the_words_taken(docs):
         words[r.doc_id] = words.get(r.doc_id, 0) + size_of(r.text)
     assert words == {i: r.taken for i, r in planned.items() if r.taken}
     assert mixing.mixed(docs()).count() >= 0
+
+
+def test_one_document_of_a_source_is_cut_at_most(docs):
+    rows = [(i if i % 9 else None, f"word{i} " * (20 + i * 7 % 40), "en", "st"[i % 7 == 0], 0) for i in range(9000)]
+    result = mixing.plan(docs(rows), weights=(1, 5)).collect()
+    for source in "st":
+        own = [r for r in result if r.source == source]
+        cut = [r for r in own if (r.taken - r.epochs * r["size"]) not in (0, r["size"])]
+        assert len(cut) <= 1 and abs(sum(r.taken for r in own) - own[0].target) <= 1
