@@ -11,11 +11,14 @@ from basketry.functions.aggregates import flag_count, percent, rounded_mean
 def history(frame: DataFrame, cutoff: str) -> DataFrame:
     """Rows before ``cutoff``, the first day without known sales.
 
-    Of a table stored by year, only the years up to it are read.
+    Of a table stored by year, only the folders up to that year are read, and the one of
+    rows without a year: the date alone decides.
     """
     end = F.lit(cutoff).cast("date")
     past = frame.where(F.col("date") < end)
-    return past.where(F.col("year") <= F.year(end)) if "year" in frame.columns else past
+    if "year" not in frame.columns:
+        return past
+    return past.where(F.col("year").isNull() | (F.col("year") <= F.year(end)))
 
 
 def validate_oil(oil_clean: DataFrame) -> DataFrame:

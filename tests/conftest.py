@@ -46,12 +46,3 @@ def make(spark):
         return spark.createDataFrame(converted, schema)
 
     return build
-
-
-def day(text):
-    return datetime.date.fromisoformat(text)
-
-
-def rows(frame, *order):
-    """Rows as tuples, ordered if asked for."""
-    return [tuple(row) for row in (frame.orderBy(*order) if order else frame).collect()]

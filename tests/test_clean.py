@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from conftest import day, rows
+from plain import day, rows
 from pyspark.sql import functions as F
 
 from basketry.operators import clean

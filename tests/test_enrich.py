@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from plain import rows
 from pyspark.sql import functions as F
 
 from basketry import schemas

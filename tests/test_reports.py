@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import day, rows
+from plain import day, rows
 from pyspark.sql import functions as F
 
 from basketry import schemas

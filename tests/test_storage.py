@@ -5,7 +5,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from plain import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
