@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import ann, binary, crf, hmm, jaccard, langid, licenses, mixing, packing, rules
+from basketry.llm import (
+    ann,
+    binary,
+    conversations,
+    crf,
+    hmm,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    oracles,
+    packing,
+    rules,
+)
 from basketry.llm.scratch import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +91,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return binary.token_files(_documents(spark, folder), tokenizer, end_id=0)
 
 
+def op11_edit_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    rows = importable(spark).read.parquet(f"{folder}/conversations.parquet")
+    repairs = conversations.repaired(conversations.damaged(rows), F.col("gone"))
+    return conversations.digest(repairs)
+
+
 _SIMILAR_SETS = r"""WITH RECURSIVE listed AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -123,9 +142,13 @@ def queries() -> dict[str, Query]:
         "op8_water_filling": op8_water_filling,
         "op9_line_crf": op9_line_crf,
         "op10_token_files": op10_token_files,
+        "op11_edit_lattice": op11_edit_lattice,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """What SQL can express; models, sketches, seeded hashes and tokenizers it cannot."""
-    return {"op7_jaccard_join": _SIMILAR_SETS}
+    return {
+        "op7_jaccard_join": _SIMILAR_SETS,
+        "op11_edit_lattice": oracles.REPAIRED_CONVERSATIONS,
+    }
