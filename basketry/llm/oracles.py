@@ -99,3 +99,27 @@ SELECT solved.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
     coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(lines.text, '')) AS repaired_sha256
 FROM solved LEFT JOIN counts ON solved.conv_id IS NOT DISTINCT FROM counts.conv_id
     LEFT JOIN lines ON solved.conv_id IS NOT DISTINCT FROM lines.conv_id"""
+
+
+#: Words covered by a window of 13 words that also starts in a smaller document go.
+WITHOUT_REPEATS = r"""WITH listed AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS text
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM listed) AS started
+), firsts AS (
+    SELECT text, min(doc_id) AS least FROM windows GROUP BY text
+), removed AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place
+    FROM windows JOIN firsts USING (text) WHERE least < doc_id
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM listed
+), counted AS (
+    SELECT placed.doc_id, count(*) AS n_words, count(removed.place) AS n_removed,
+        string_agg(word, ' ' ORDER BY placed.place) FILTER (removed.place IS NULL) AS kept
+    FROM placed LEFT JOIN removed ON placed.doc_id = removed.doc_id AND placed.place = removed.place
+    GROUP BY placed.doc_id
+)
+SELECT listed.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM listed LEFT JOIN counted ON listed.doc_id = counted.doc_id"""

@@ -21,6 +21,7 @@ from basketry.llm import (
     oracles,
     packing,
     rules,
+    substrings,
 )
 from basketry.llm.scratch import importable
 
@@ -97,6 +98,12 @@ def op11_edit_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.digest(repairs)
 
 
+def op12_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.without_repeats(_documents(spark, folder), length=13)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 _SIMILAR_SETS = r"""WITH RECURSIVE listed AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -143,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op9_line_crf": op9_line_crf,
         "op10_token_files": op10_token_files,
         "op11_edit_lattice": op11_edit_lattice,
+        "op12_seed_and_extend": op12_seed_and_extend,
     }
 
 
@@ -151,4 +159,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_jaccard_join": _SIMILAR_SETS,
         "op11_edit_lattice": oracles.REPAIRED_CONVERSATIONS,
+        "op12_seed_and_extend": oracles.WITHOUT_REPEATS,
     }
