@@ -123,3 +123,35 @@ WITHOUT_REPEATS = r"""WITH listed AS (
 SELECT listed.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
     sha256(coalesce(kept, '')) AS kept_sha256
 FROM listed LEFT JOIN counted ON listed.doc_id = counted.doc_id"""
+
+
+#: The 50 best documents of each item, terms weighed by how few documents hold them.
+RANKED_DOCUMENTS = r"""WITH listed AS (
+    SELECT doc_id, row_number() OVER () AS document, regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL
+), sums AS (
+    SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(len(w)) AS BIGINT) AS terms
+    FROM listed WHERE len(w) > 0
+), postings AS (
+    SELECT document, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+    FROM (SELECT document, doc_id, len(w) AS n, unnest(w) AS term FROM listed) AS placed GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT) AS weight
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) AS held, sums
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, document, CAST(sum(weight * ((1000000000 * tf)
+        // (1000 * tf + 20 * (50 + (50 * n * documents) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), sums
+    GROUP BY item_id, doc_id, document
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scores WHERE score > 0) AS ranked
+WHERE rank <= 50"""

@@ -20,6 +20,7 @@ from basketry.llm import (
     mixing,
     oracles,
     packing,
+    ranking,
     rules,
     substrings,
 )
@@ -104,6 +105,11 @@ def op12_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
 
 
+def op13_impact_lists(spark: SparkSession, folder: str) -> DataFrame:
+    items = importable(spark).read.parquet(f"{folder}/benchmark.parquet")
+    return ranking.search(_documents(spark, folder), items, k=50)
+
+
 _SIMILAR_SETS = r"""WITH RECURSIVE listed AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -151,6 +157,7 @@ def queries() -> dict[str, Query]:
         "op10_token_files": op10_token_files,
         "op11_edit_lattice": op11_edit_lattice,
         "op12_seed_and_extend": op12_seed_and_extend,
+        "op13_impact_lists": op13_impact_lists,
     }
 
 
@@ -160,4 +167,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": _SIMILAR_SETS,
         "op11_edit_lattice": oracles.REPAIRED_CONVERSATIONS,
         "op12_seed_and_extend": oracles.WITHOUT_REPEATS,
+        "op13_impact_lists": oracles.RANKED_DOCUMENTS,
     }
