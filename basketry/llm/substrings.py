@@ -15,8 +15,8 @@ doc_id. Windows are judged on the input, whatever is removed elsewhere.
 * Keep maximal repeats. Covered windows that follow each other in both documents are joined to
   one repeat, with its places in both.
 
-Documents meet in aggregates by anchor, stretch and window and in joins with the first document
-of each, never in pairs of a group, and partial aggregates go before each shuffle. Between
+Documents meet in aggregates by anchor, stretch and window and in salted joins with the first
+document of each, never in pairs of a group, and partial aggregates go before each shuffle. Between
 the passes texts stay where they are: which seeds, and which first documents, a pass is about is
 sent to the tasks as a bitmap of at most ``FILTER_BITS`` bits, a sieve whose errors cost time but
 change nothing. Stretches and windows are compared by 64-bit hashes.
@@ -39,15 +39,13 @@ from pyspark.sql import functions as F
 
 from basketry.llm import words
 from basketry.llm.scratch import importable, stored
-from basketry.operators.lookup import BROADCAST_BYTES, lookup_join
+from basketry.operators.lookup import salted_join
 
 #: Words of a group among which the anchor of a window is chosen.
 GRAM = 5
 #: Bits of a bitmap sent to the tasks, at most, and bits for each of its members if they fit.
 FILTER_BITS = 1 << 28
 _BITS_EACH = 16
-#: Bytes of a cover in a row in memory, with its share of the row.
-_COVER_BYTES = 96
 
 _U64 = np.uint64
 _BASE = 0xD1342543DE82EF95
@@ -246,7 +244,7 @@ def _covered(occurrences: DataFrame, first: DataFrame, key: str) -> DataFrame:
         key, F.col("source.doc_id").alias("source"), F.col("source.place").alias("source_place")
     )
     shared = stored(shared, "shared")
-    later = lookup_join(occurrences.select(key, "doc_id", "version"), shared, [key], "inner")
+    later = salted_join(occurrences.select(key, "doc_id", "version"), shared, [key], "inner")
     return later.where(F.col("source") < F.col("doc_id")).withColumnRenamed(key, "hash").select(*_COVER)
 
 
@@ -263,7 +261,7 @@ def _covers(docs: DataFrame, length: int) -> DataFrame:
     )
     several = several.where((F.col("low") < F.col("high")) & (F.col("first") < F.col("last")))
     several = stored(several.select("anchor"), "several")
-    open_ones = lookup_join(classes, several, ["anchor"], "inner")
+    open_ones = salted_join(classes, several, ["anchor"], "inner")
     open_ones = open_ones.select(F.col("stretch").bitwiseXOR(F.xxhash64("source.doc_id")).alias("code"))
     sieve = _sieve(stored(open_ones, "open"), F.col("code"))
     windows = stored(_window_rows(docs, length, sieve), "windows")
@@ -375,10 +373,7 @@ def without_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     # What tells texts of one id apart; equal rows are alike in everything.
     rows = rows.withColumn("version", F.xxhash64("doc_id", "text")).withColumn("owner", F.xxhash64("doc_id"))
     covers = stored(_covers(rows.where("doc_id IS NOT NULL AND text IS NOT NULL"), length), "covers")
-    size = covers.agg(F.count("*").alias("rows")).first()["rows"]
     cover = F.struct("hash", "source", "source_place")
     listed = covers.groupBy("doc_id", "version").agg(F.collect_set(cover).alias("covers"))
-    if size * _COVER_BYTES <= BROADCAST_BYTES:
-        listed = F.broadcast(listed)
     joined = rows.join(listed, ["doc_id", "version"], "left").select("doc_id", "text", "covers")
     return _without(joined, length)
