@@ -22,6 +22,7 @@ from basketry.functions.labels import (
     WEEKDAYS,
     label,
 )
+from basketry.operators.distinct import counts_by_key
 from basketry.operators.lookup import Lookup, lookup_join
 
 # --- counts and summaries of a table -------------------------------------------------
@@ -97,12 +98,23 @@ def transactions_per_year(transactions: DataFrame) -> DataFrame:
 
 def daily_sales(sales: DataFrame) -> DataFrame:
     """One row per day with sales, refunds included."""
-    return sales.groupBy("date").agg(
-        F.count("*").alias("num_transactions"),
-        F.round(F.sum("unit_sales"), 0).alias("total_sales"),
-        rounded_mean("unit_sales").alias("avg_sales"),
-        F.count_distinct("store_nbr").alias("active_stores"),
-        F.count_distinct("item_nbr").alias("unique_items"),
+    counted = counts_by_key(
+        sales,
+        ["date"],
+        {"active_stores": "store_nbr", "unique_items": "item_nbr"},
+        {
+            "num_transactions": F.count("*"),
+            "units": F.sum("unit_sales"),
+            "known": F.count("unit_sales"),
+        },
+    )
+    return counted.select(
+        "date",
+        "num_transactions",
+        F.round("units", 0).alias("total_sales"),
+        F.round(F.try_divide("units", "known"), 2).alias("avg_sales"),
+        "active_stores",
+        "unique_items",
     )
 
 
@@ -252,11 +264,11 @@ def _december(daily: DataFrame) -> DataFrame:
 
 def store_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales per existing store. Sales are reduced to one row per store, then joined."""
-    per_store = sales.groupBy("store_nbr").agg(
-        F.count("*").alias("number_transactions"),
-        F.sum("unit_sales").alias("total_sales"),
-        F.count_distinct("item_nbr").alias("unique_items_sold"),
-        F.count_distinct("date").alias("days_active"),
+    per_store = counts_by_key(
+        sales,
+        ["store_nbr"],
+        {"days_active": "date", "unique_items_sold": "item_nbr"},
+        {"number_transactions": F.count("*"), "total_sales": F.sum("unit_sales")},
     )
     return stores.join(per_store, "store_nbr").select(
         "store_nbr",
@@ -346,27 +358,31 @@ def _top_shares(performance: DataFrame, key: str) -> DataFrame:
 def family_performance(sales: DataFrame, items: Lookup | DataFrame) -> DataFrame:
     """Sales per family of existing items.
 
-    Sales are summed per item and store first, so one partial aggregate goes over them
-    and a hot item is a few rows, one per store, when it meets its family.
+    Items are broadcast if they are small, and otherwise met by shuffle with hot ones
+    salted; the rows after that are counted per family and word of 64 stores or items.
     """
     items = items if isinstance(items, Lookup) else Lookup.of(items)
     families = items.derive(items.frame.select("item_nbr", "family"))
-    sold = sales.groupBy("item_nbr", "store_nbr").agg(
-        F.count("*").alias("sales"),
-        F.count("unit_sales").alias("known_sales"),
-        F.sum("unit_sales").alias("units"),
+    sold = lookup_join(
+        sales.select("id", "item_nbr", "store_nbr", "unit_sales"), families, ["item_nbr"], "inner", row_id=["id"]
     )
-    units = F.sum("units")
-    return (
-        lookup_join(sold, families, ["item_nbr"], "inner")
-        .groupBy("family")
-        .agg(
-            F.sum("sales").alias("num_transactions"),
-            F.round(units, 0).alias("total_sales"),
-            F.round(F.try_divide(units, F.sum("known_sales")), 2).alias("avg_sales"),
-            F.count_distinct("item_nbr").alias("unique_items"),
-            F.count_distinct("store_nbr").alias("stores_selling"),
-        )
+    counted = counts_by_key(
+        sold,
+        ["family"],
+        {"stores_selling": "store_nbr", "unique_items": "item_nbr"},
+        {
+            "num_transactions": F.count("*"),
+            "units": F.sum("unit_sales"),
+            "known": F.count("unit_sales"),
+        },
+    )
+    return counted.select(
+        "family",
+        "num_transactions",
+        F.round("units", 0).alias("total_sales"),
+        F.round(F.try_divide("units", "known"), 2).alias("avg_sales"),
+        "unique_items",
+        "stores_selling",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import flag_count, percent, rounded_mean
+from basketry.operators.distinct import counts_of_all
 
 
 def history(frame: DataFrame, cutoff: str) -> DataFrame:
@@ -34,35 +35,33 @@ def validate_oil(oil_clean: DataFrame) -> DataFrame:
     return counted.withColumn("imputed_pct", share)
 
 
-def _unique_dates(frame: DataFrame) -> Column:
-    """Distinct dates, counted on a frame of one row per date."""
-    return frame.select("date").distinct().agg(F.count("date")).scalar().alias("unique_dates")
+def _distinct(frame: DataFrame, column: str) -> Column:
+    """Distinct values of a column with few of them, by a pass over that column alone."""
+    counted = frame.select(column).distinct().agg(F.count(column))
+    return counted.scalar()
 
 
-def _sum_or_zero(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0))
+def _flag_total(name: str, condition: Column | None = None) -> tuple[Column, Column]:
+    return flag_count(F.col(name) if condition is None else condition), F.sum(name)
 
 
 def validate_train(train_clean: DataFrame, cutoff: str) -> DataFrame:
-    """Rows are summed per store and item, whose distinct counts then come from the keys."""
+    """Rows, flags, and distinct stores and items by merged bitmaps."""
     past = history(train_clean, cutoff)
-    flags = ("has_integrity_issues", "is_orphan_store", "is_orphan_item")
-    pairs = past.groupBy("store_nbr", "item_nbr").agg(
-        F.count("*").alias("rows"),
-        F.min("date").alias("first"),
-        F.max("date").alias("last"),
-        *(flag_count(F.col(name)).alias(name) for name in flags),
+    merged = {
+        "total_rows": (F.count("*"), F.sum("total_rows")),
+        "min_date": (F.min("date"), F.min("min_date")),
+        "max_date": (F.max("date"), F.max("max_date")),
+        "integrity_issues": _flag_total("integrity_issues", F.col("has_integrity_issues")),
+        "orphan_stores": _flag_total("orphan_stores", F.col("is_orphan_store")),
+        "orphan_items": _flag_total("orphan_items", F.col("is_orphan_item")),
+    }
+    counted = counts_of_all(past, {"unique_stores": "store_nbr", "unique_items": "item_nbr"}, merged)
+    return counted.select(
+        F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
+        "unique_stores", "unique_items", "min_date", "max_date", "integrity_issues", "orphan_stores", "orphan_items",
+        _distinct(past, "date").alias("unique_dates"),
     )
-    return pairs.agg(
-        _sum_or_zero("rows").alias("total_rows"),
-        F.count_distinct("store_nbr").alias("unique_stores"),
-        F.count_distinct("item_nbr").alias("unique_items"),
-        F.min("first").alias("min_date"),
-        F.max("last").alias("max_date"),
-        F.sum("has_integrity_issues").alias("integrity_issues"),
-        F.sum("is_orphan_store").alias("orphan_stores"),
-        F.sum("is_orphan_item").alias("orphan_items"),
-    ).withColumn("unique_dates", _unique_dates(past))
 
 
 def validate_holidays(holidays_clean: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def validate_holidays(holidays_clean: DataFrame) -> DataFrame:
 
 
 def validate_master(master: DataFrame, cutoff: str) -> DataFrame:
-    """Like ``validate_train``; an item has one family and a store one type."""
+    """Like ``validate_train``, with means, flags, families and store types."""
     past = history(master, cutoff)
     flags = {
         "promotion_count": "onpromotion",
@@ -86,30 +85,30 @@ def validate_master(master: DataFrame, cutoff: str) -> DataFrame:
         "weekend_count": "is_weekend",
         "payday_count": "is_payday",
     }
-    pairs = past.groupBy("store_nbr", "item_nbr", "item_family", "store_type").agg(
-        F.count("*").alias("rows"),
-        F.min("date").alias("first"),
-        F.max("date").alias("last"),
-        *(f(name).alias(f"{kind}_{name}") for name in ("unit_sales", "oil_price")
-          for kind, f in (("sum", F.sum), ("known", F.count))),
-        *(flag_count(F.col(column)).alias(name) for name, column in flags.items()),
-    )
+    merged = {
+        "total_rows": (F.count("*"), F.sum("total_rows")),
+        "min_date": (F.min("date"), F.min("min_date")),
+        "max_date": (F.max("date"), F.max("max_date")),
+        **{name: _flag_total(name, F.col(column)) for name, column in flags.items()},
+    }
+    for name in ("unit_sales", "oil_price"):
+        merged[f"sum_{name}"] = (F.sum(name), F.sum(f"sum_{name}"))
+        merged[f"known_{name}"] = (F.count(name), F.sum(f"known_{name}"))
+    counted = counts_of_all(past, {"unique_stores": "store_nbr", "unique_items": "item_nbr"}, merged)
 
     def mean(name: str) -> Column:
-        return F.round(F.try_divide(F.sum(f"sum_{name}"), F.sum(f"known_{name}")), 2)
-
-    return pairs.agg(
-        _sum_or_zero("rows").alias("total_rows"),
-        F.count_distinct("store_nbr").alias("unique_stores"),
-        F.count_distinct("item_nbr").alias("unique_items"),
-        F.min("first").alias("min_date"),
-        F.max("last").alias("max_date"),
+        return F.round(F.try_divide(f"sum_{name}", f"known_{name}"), 2)
+
+    return counted.select(
+        F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
+        "unique_stores", "unique_items", "min_date", "max_date",
         mean("unit_sales").alias("avg_sales"),
         mean("oil_price").alias("avg_oil_price"),
-        *(F.sum(name).alias(name) for name in flags),
-        F.count_distinct("item_family").alias("unique_families"),
-        F.count_distinct("store_type").alias("unique_store_types"),
-    ).withColumn("unique_dates", _unique_dates(past))
+        *flags,
+        _distinct(past, "item_family").alias("unique_families"),
+        _distinct(past, "store_type").alias("unique_store_types"),
+        _distinct(past, "date").alias("unique_dates"),
+    )
 
 
 def holiday_distribution(master: DataFrame, cutoff: str) -> DataFrame:
