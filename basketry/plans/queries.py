@@ -112,12 +112,27 @@ def _layout_check(w: Warehouse) -> DataFrame:
 
 
 def _dimension_labels(w: Warehouse) -> DataFrame:
-    top = dashboard.sales_by_dimension(w.master, "item_family")
+    top = dashboard.sales_by_dimension(w.sales_by("item_family"), "item_family")
     return top.select(
         title(F.lit("item_family")).alias("label"), F.col("item_family").alias("value"), "total_sales"
     )
 
 
+def _summary_sizes(w: Warehouse) -> DataFrame:
+    """Cells of each stored summary, and the rows and sales they stand for."""
+    report = None
+    for summary in w.summaries.known:
+        one = summary.frame.agg(
+            F.lit(",".join(summary.keys)).alias("keys"),
+            F.count("*").alias("cells"),
+            F.sum("rows").alias("rows"),
+            F.sum("known").alias("known"),
+            F.sum("unit_sales").alias("total_sales"),
+        )
+        report = one if report is None else report.unionByName(one)
+    return report
+
+
 def _csv_roundtrip(w: Warehouse) -> DataFrame:
     path = fresh_path(w.spark, "train-csv")
     write_csv(w.train, path)
@@ -257,22 +272,34 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "holiday_distribution": lambda w: reports.holiday_distribution(w.master, CUTOFF),
     "payday_impact": lambda w: reports.payday_impact(w.master, CUTOFF),
     "top_families": lambda w: reports.top_families(w.master, CUTOFF),
-    # dashboard
-    "kpi": lambda w: dashboard.kpi_metrics(w.master, w.stores.frame, w.items.frame),
-    "monthly_sales": lambda w: dashboard.monthly_sales(w.master),
-    "top_city": lambda w: dashboard.sales_by_dimension(w.master, "city"),
-    "top_item_family": lambda w: dashboard.sales_by_dimension(w.master, "item_family"),
-    "dow_average": lambda w: dashboard.sales_by_day_of_week(w.master),
-    "filtered_series": lambda w: dashboard.filtered_time_series(w.master, **_FILTERS),
-    "filtered_series_year": lambda w: dashboard.filtered_time_series(w.master, **_ONE_YEAR),
-    "filtered_promo": lambda w: dashboard.promotion_impact(w.master, **_FILTERS),
-    "filtered_promo_year": lambda w: dashboard.promotion_impact(w.master, **_ONE_YEAR),
-    "filtered_promo_all": lambda w: dashboard.promotion_impact(w.master),
-    "filter_stores": lambda w: dashboard.filter_values(w.master, "store_nbr"),
-    "filter_years": lambda w: dashboard.filter_values(w.master, "year"),
+    # dashboard, from the stored summaries
+    "kpi": lambda w: dashboard.kpi_metrics(w.sales_by("date"), w.stores.frame, w.items.frame),
+    "monthly_sales": lambda w: dashboard.monthly_sales(w.sales_by("year", "month")),
+    "top_city": lambda w: dashboard.sales_by_dimension(w.sales_by("city"), "city"),
+    "top_item_family": lambda w: dashboard.sales_by_dimension(
+        w.sales_by("item_family"), "item_family"
+    ),
+    "dow_average": lambda w: dashboard.sales_by_day_of_week(w.sales_by("date", "day_of_week")),
+    "filtered_series": lambda w: dashboard.filtered_time_series(
+        w.sales_by("date", *_FILTERS), **_FILTERS
+    ),
+    "filtered_series_year": lambda w: dashboard.filtered_time_series(
+        w.sales_by("date", "year"), **_ONE_YEAR
+    ),
+    "filtered_promo": lambda w: dashboard.promotion_impact(
+        w.sales_by("onpromotion", *_FILTERS), **_FILTERS
+    ),
+    "filtered_promo_year": lambda w: dashboard.promotion_impact(
+        w.sales_by("onpromotion", "year"), **_ONE_YEAR
+    ),
+    "filtered_promo_all": lambda w: dashboard.promotion_impact(w.sales_by("onpromotion")),
+    "filter_stores": lambda w: dashboard.filter_values(w.sales_by("store_nbr"), "store_nbr"),
+    "filter_years": lambda w: dashboard.filter_values(w.sales_by("year"), "year"),
     "dimension_labels": _dimension_labels,
     "day_names": lambda w: add_day_names(w.train.select("date").distinct()),
-    "filter_families": lambda w: dashboard.filter_values(w.master, "item_family"),
+    "filter_families": lambda w: dashboard.filter_values(w.sales_by("item_family"), "item_family"),
+    "top_item_class": lambda w: dashboard.sales_by_dimension(w.sales_by("item_class"), "item_class"),
+    "summary_sizes": _summary_sizes,
     # overview counts
     "vc_store_state": lambda w: explore.value_counts(w.stores.frame, "state"),
     "vc_store_city": lambda w: explore.value_counts(w.stores.frame, "city"),

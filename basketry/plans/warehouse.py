@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
+from basketry.operators.rollup import FINEST, Summaries
 from basketry.session import fit_shuffles, fresh_path
 from basketry.sinks.stored import write_by_year
 from basketry.sources.stored import folder_state, read_by_year
@@ -124,6 +125,20 @@ class Warehouse:
         found = explore.family_performance(self.train, self.items)
         return self._stored("family_performance", found)
 
+    @cached_property
+    def summaries(self) -> Summaries:
+        """Sums by day, store, family and promotion, and coarser ones, from the wide table."""
+        return Summaries.build(self.master, self.stores, self._stored_summary)
+
+    def _stored_summary(self, name: str, frame: DataFrame) -> DataFrame:
+        """The finest one by year and day; the others are small."""
+        finest = set(FINEST) <= set(frame.columns)
+        return self._stored_by_year(name, frame) if finest else self._stored(name, frame)
+
+    def sales_by(self, *columns: str) -> DataFrame:
+        """Sales with the given columns, from the smallest summary that covers them."""
+        return self.summaries.source(columns, self.master)
+
     def train_clean(self) -> DataFrame:
         return clean.train_clean(self.train, self.stores, self.items, self.raw.test)
 

@@ -47,6 +47,7 @@ def main() -> None:
         "lay_out_sales_by_year": lambda: w.train_by_year,
         "build_master": lambda: w.master,
         "build_summaries": lambda: (w.daily, w.store_performance, w.family_performance),
+        "build_rollups": lambda: w.summaries,
     }
     _timed(lambda: spark.read.parquet(f"{folder}/region.parquet").count())  # start the JVM
     times = {name: _timed(load) for name, load in loads.items()}

@@ -494,6 +494,23 @@ ORDER BY total_sales DESC NULLS FIRST, item_family NULLS FIRST LIMIT 5""",
 FROM known GROUP BY year, month""",
     ),
     "top_city": _top("known", "city"),
+    "top_item_class": _top("known", "item_class"),
+    "summary_sizes": _query(
+        "master",
+        "\nUNION ALL ".join(
+            f"""SELECT '{keys}' AS keys, count(*) AS cells, CAST(sum(n) AS BIGINT) AS rows,
+    CAST(sum(k) AS BIGINT) AS known, CAST(sum(s) AS DOUBLE) AS total_sales
+FROM (SELECT count(*) AS n, count(unit_sales) AS k, sum(unit_sales) AS s FROM master
+      GROUP BY {keys}) AS cells"""
+            for keys in (
+                "date,store_nbr,item_family,onpromotion",
+                "date,item_family,onpromotion",
+                "date,store_nbr",
+                "date,onpromotion",
+                "store_nbr,item_family,onpromotion",
+            )
+        ),
+    ),
     "top_item_family": _top("known", "item_family"),
     "dow_average": _query(
         "known",
