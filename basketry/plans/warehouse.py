@@ -12,7 +12,7 @@ from basketry.operators.lookup import Lookup
 from basketry.operators.rollup import FINEST, Summaries
 from basketry.session import fit_shuffles, fresh_path
 from basketry.sinks.stored import write_by_year
-from basketry.sources.stored import folder_state, read_by_year
+from basketry.sources.stored import folder_state, path_exists, read_by_year
 from basketry.tables import RetailTables
 
 
@@ -59,15 +59,10 @@ class Warehouse:
     @cached_property
     def train_by_year(self) -> DataFrame:
         """The sales laid out by year and day, with their ``year``."""
-        if self.train_path and self._exists(f"{self.train_path}/_SUCCESS"):
+        if self.train_path and path_exists(self.spark, f"{self.train_path}/_SUCCESS"):
             return read_by_year(self.spark, self.train_path, self.raw.train.schema)
         return self._stored_by_year("train", self.raw.train, self.train_path)
 
-    def _exists(self, path: str) -> bool:
-        context = self.spark.sparkContext
-        file = context._jvm.org.apache.hadoop.fs.Path(path)
-        return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
-
     @cached_property
     def transactions(self) -> DataFrame:
         return self._stored("transactions", self.raw.transactions)

@@ -75,6 +75,22 @@ def folder_state(spark: SparkSession, folder: str) -> tuple[int, tuple]:
     return sum(size for _, size, _ in found), tuple(sorted(found))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(context._jsc.hadoopConfiguration()).exists(file)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = file.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(file)
+    return sorted(status.getPath().getName() for status in found if status.isDirectory())
+
+
 def register_views(tables: RetailTables, prefix: str = "") -> None:
     for name, frame in tables.present().items():
         frame.createOrReplaceTempView(prefix + name)

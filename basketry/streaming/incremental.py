@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.sources.csv_files import surrogate_key
+from basketry.sources.stored import folder_names, path_exists
 
 #: Input of a batch for every task that can run at once.
 TASK_INPUT_BYTES = 256 * 1024 * 1024
@@ -68,3 +69,19 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+
+
+def loaded_batches(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the batches that are complete."""
+    folders = [name for name in folder_names(spark, target) if name.startswith("batch=")]
+    done = [name for name in folders if path_exists(spark, f"{target}/{name}/_SUCCESS")]
+    return sorted(int(name.removeprefix("batch=")) for name in done)
+
+
+def read_loaded(
+    spark: SparkSession, target: str, batches: list[int], schema: T.StructType = schemas.TRAIN
+) -> DataFrame:
+    """Rows of the given batches with their ``batch`` and ``year``, which choose folders."""
+    parts = [T.StructField("year", schemas.INT), T.StructField("batch", schemas.INT)]
+    stored = spark.read.schema(T.StructType([*schema.fields, *parts])).option("basePath", target)
+    return stored.parquet(*[f"{target}/batch={number}" for number in batches])

@@ -390,6 +390,17 @@ GROUP BY ROLLUP (year)""",
         f"""SELECT CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
     {_total()} AS total_sales FROM train GROUP BY ALL""",
     ),
+    "refreshed_views": _query(
+        "train_clean master daily",
+        """SELECT 'train_clean' AS view, CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
+    CAST(sum(unit_sales) AS DOUBLE) AS total_sales FROM train_clean GROUP BY ALL
+UNION ALL SELECT 'master', year, count(*), CAST(sum(unit_sales) AS DOUBLE) FROM master GROUP BY ALL
+UNION ALL SELECT 'daily', CAST(extract(year FROM date) AS INT), count(*), CAST(sum(total_sales) AS DOUBLE)
+FROM daily GROUP BY ALL
+UNION ALL SELECT 'summary', year, count(*), CAST(sum(units) AS DOUBLE)
+FROM (SELECT year, date, store_nbr, item_family, onpromotion, sum(unit_sales) AS units FROM master
+      GROUP BY ALL) AS cells GROUP BY year""",
+    ),
     "surrogate_key": _query(
         "train", "SELECT count(*) AS rows, count(*) AS distinct_ids FROM train"
     ),
