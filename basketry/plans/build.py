@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.operators import reports
 from basketry.plans.warehouse import Warehouse
+from basketry.sinks.observed import clean_figures, write_observed
 from basketry.sinks.stored import CLUSTER_BY, rebuild_view, rows_per_year, write_by_year
 from basketry.sources.csv_files import read_fact, read_table
 from basketry.sources.stored import read_master
@@ -46,7 +49,9 @@ def store_views(warehouse: Warehouse, folder: str) -> list[str]:
     if not warehouse.master_path:
         views["master"] = (warehouse.master, CLUSTER_BY)
     for name, (frame, order) in views.items():
-        rebuild_view(frame, name, order, f"{folder}/{name}")
+        figures = clean_figures() if name == "train_clean" else {"rows": F.count("*")}
+        write = partial(rebuild_view, name=name, sort_by=order, path=f"{folder}/{name}")
+        log.info("%s stored: %s", name, write_observed(frame, write, figures))
     if warehouse.master_path:  # stored already: only its name is missing
         master, catalog = warehouse.master, warehouse.spark.catalog
         warehouse.spark.sql("DROP TABLE IF EXISTS master")

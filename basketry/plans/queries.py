@@ -13,12 +13,13 @@ from basketry.functions.aggregates import as_doubles
 from basketry.functions.calendar import add_calendar, add_day_names
 from basketry.functions.labels import title
 from basketry.operators import clean, dashboard, enrich, explore, quality, reports, topk
-from basketry.plans.build import store_views
+from basketry.plans.build import run, store_views
 from basketry.plans.refresh import VIEWS, SmallTables, read_view, refresh
 from basketry.plans.warehouse import Warehouse, open_warehouse
 from basketry.session import fresh_path
+from basketry.sinks.observed import load_figures, write_observed
 from basketry.sinks.stored import append_table, rows_per_year, write_by_year, write_csv
-from basketry.sources import stored
+from basketry.sources import checked, stored
 from basketry.sources.adapter import CUTOFF, YEARS, adapt
 from basketry.sources.csv_files import (
     data_lines,
@@ -28,6 +29,7 @@ from basketry.sources.csv_files import (
     surrogate_key,
 )
 from basketry.streaming.incremental import load_new_files
+from basketry.streaming.unique import load_unique_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +164,83 @@ def _incremental_load(w: Warehouse) -> DataFrame:
     )
 
 
+def _stream_unique_rows(w: Warehouse) -> DataFrame:
+    """Keys per year after every file has come three times, each time under other names. Sales
+    that share a key are one row, whichever came first."""
+    source, target, progress = (
+        fresh_path(w.spark, name) for name in ("repeated", "unique", "progress")
+    )
+    write_csv(w.train, f"{source}/first")
+    write_csv(w.train, f"{source}/again")
+    load_unique_rows(w.spark, f"{source}/*", target, progress)
+    write_csv(w.train, f"{source}/later")
+    load_unique_rows(w.spark, f"{source}/*", target, progress)
+    loaded = w.spark.read.parquet(target)
+    return loaded.groupBy("year").agg(
+        F.count("*").alias("rows"),
+        F.sum("id").alias("ids"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+
+
+#: Damage done to lines of the sales file, by the last digits of their id.
+_DAMAGE = {
+    0: "concat_ws(',', id, date, store_nbr, item_nbr, 'many', onpromotion)",
+    1: "concat_ws(',', id, '', store_nbr, item_nbr, unit_sales, onpromotion)",
+    2: "concat_ws(',', id, date, store_nbr, '', unit_sales, onpromotion)",
+    3: "concat_ws(',', id, date, store_nbr, item_nbr, unit_sales, onpromotion, 'more')",
+    4: "concat_ws(',', id, '1890-01-01', store_nbr, item_nbr, unit_sales, onpromotion)",
+    5: "concat_ws(',', id, '', '', '', '', onpromotion)",
+}
+
+
+def _rejected_rows(w: Warehouse) -> DataFrame:
+    """Rows accepted, and rows refused per reason, of a sales file with damaged lines."""
+    text = w.train.select(
+        *[F.col(c) if c == "id" else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in schemas.TRAIN.names]
+    )
+    line = F.expr("concat_ws(',', id, date, store_nbr, item_nbr, unit_sales, onpromotion)")
+    for digits, broken in _DAMAGE.items():
+        line = F.when(F.col("id") % 1000 == digits, F.expr(broken)).otherwise(line)
+    path = fresh_path(w.spark, "damaged")
+    head = ",".join(schemas.TRAIN.names)
+    text.select(line.alias(head)).write.options(header=True, quote="", escapeQuotes=False, sep="\u0001").csv(path)
+    checked_lines = checked.judged(
+        checked.read_lines(w.spark, path, schemas.TRAIN),
+        {**checked.missing_values("train"), **checked.outside("date", _FIRST_DAY, _END_DAY)},
+        {"store_nbr": w.stores, "item_nbr": w.items},
+        row_id=("id",),
+    )
+    split = checked.store_split(checked_lines, fresh_path(w.spark, "split"))
+    kept = split.accepted.agg(F.lit("accepted").alias("reason"), F.count("*").alias("rows"))
+    refused = split.refused.agg(F.lit("refused").alias("reason"), F.count("*").alias("rows"))
+    return checked.reasons_count(split.refused).unionByName(kept).unionByName(refused)
+
+
+def _observed_load(w: Warehouse) -> DataFrame:
+    """Figures of a load gathered by the load itself, beside the rows then stored."""
+    source, path = fresh_path(w.spark, "observed-csv"), fresh_path(w.spark, "observed")
+    write_csv(w.train, source)
+    figures = write_observed(
+        read_fact(w.spark, source), lambda rows: write_by_year(rows, path), load_figures()
+    )
+    schema = (
+        "rows long, total_sales decimal(22,5), unknown_promotions long, promotions long, "
+        "first_date date, last_date date"
+    )
+    seen = w.spark.createDataFrame([tuple(figures[name] for name in load_figures())], schema)
+    return seen.withColumn("stored_rows", w.spark.read.parquet(path).agg(F.count("*")).scalar())
+
+
+def _whole_run(w: Warehouse) -> DataFrame:
+    """Rows per year after a run from CSV files to the exported wide table."""
+    raw, output = fresh_path(w.spark, "raw"), fresh_path(w.spark, "processed")
+    for name, frame in w.raw.present().items():
+        write_csv(frame, f"{raw}/{name}.csv")
+    return run(w.spark, raw, output, CUTOFF)
+
+
 #: Sales that arrive later than the others: the last years, and a part of a month long past.
 _LATE = "date >= DATE '2000-01-01' OR (date BETWEEN DATE '1997-05-01' AND DATE '1997-05-31' AND onpromotion)"
 
@@ -281,6 +360,10 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "export_years": _export_years,
     "layout_check": _layout_check,
     "incremental_load": _incremental_load,
+    "stream_unique_rows": _stream_unique_rows,
+    "rejected_rows": _rejected_rows,
+    "observed_load": _observed_load,
+    "whole_run": _whole_run,
     "refreshed_views": _refreshed_views,
     "surrogate_key": _surrogate_key,
     "export_rows_per_year": lambda w: rows_per_year(w.master),

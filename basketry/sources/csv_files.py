@@ -14,7 +14,8 @@ from basketry import schemas
 log = logging.getLogger(__name__)
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the files, from their header line."""
     return spark.read.option("header", True).csv(path).columns
 
 
@@ -25,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     fails the read instead of turning into NULLs.
     """
     known = {field.name: field.dataType for field in schema.fields}
-    names = _header(spark, path)
+    names = csv_header(spark, path)
     ordered = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
     return (
         spark.read.schema(ordered)

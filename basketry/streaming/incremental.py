@@ -26,6 +26,32 @@ def batch_key(batch: int) -> Column:
     )
 
 
+def arriving_files(
+    spark: SparkSession, source: str, schema: T.StructType, batch_bytes: int
+) -> DataFrame:
+    """Sales files as a stream, in batches of about so many bytes."""
+    return (
+        spark.readStream.schema(schema)
+        .options(
+            header=True, nullValue="", mode="FAILFAST", enforceSchema=False,
+            maxBytesPerTrigger=batch_bytes,
+        )
+        .csv(source)
+    )
+
+
+def write_batch(rows: DataFrame, target: str, batch: int) -> None:
+    """Replace the folder of a batch; rows are brought together by year and day."""
+    dated = rows.withColumn("year", F.year("date"))
+    (
+        dated.hint("rebalance", F.col("year"), F.col("date"))
+        .sortWithinPartitions("year", "date")
+        .write.mode("overwrite")
+        .partitionBy("year")
+        .parquet(f"{target}/batch={batch}")
+    )
+
+
 def load_new_files(
     spark: SparkSession,
     source: str,
@@ -42,25 +68,11 @@ def load_new_files(
     of ``schema`` in order; their ``id`` gives way to a key assigned on load.
     """
     size = batch_bytes or TASK_INPUT_BYTES * spark.sparkContext.defaultParallelism
-    arriving = (
-        spark.readStream.schema(schema)
-        .options(
-            header=True, nullValue="", mode="FAILFAST", enforceSchema=False,
-            maxBytesPerTrigger=size,
-        )
-        .csv(source)
-    )
+    arriving = arriving_files(spark, source, schema, size)
 
     def store(rows: DataFrame, batch: int) -> None:
         keyed = rows.drop("id").withColumn("id", batch_key(batch)).select(*schema.names)
-        dated = keyed.withColumn("year", F.year("date"))
-        (
-            dated.hint("rebalance", F.col("year"), F.col("date"))
-            .sortWithinPartitions("year", "date")
-            .write.mode("overwrite")
-            .partitionBy("year")
-            .parquet(f"{target}/batch={batch}")
-        )
+        write_batch(keyed, target, batch)
 
     query = (
         arriving.writeStream.foreachBatch(store)

@@ -242,7 +242,8 @@ def _query(names: str, body: str) -> str:
     """``body`` with the definitions of the views in ``names`` in front."""
     views = _needed(tuple(names.split()), {})
     heads = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in views.items())
-    return f"WITH {heads}\n{body}"
+    joint = "" if body.startswith(",") else "\n"
+    return f"WITH {heads}{joint}{body}"
 
 
 def _total(column: str = "unit_sales") -> str:
@@ -390,6 +391,43 @@ GROUP BY ROLLUP (year)""",
         f"""SELECT CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
     {_total()} AS total_sales FROM train GROUP BY ALL""",
     ),
+    "stream_unique_rows": _query(
+        "train",
+        """SELECT CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
+    CAST(sum(id) AS BIGINT) AS ids, min(date) AS first_date, max(date) AS last_date
+FROM (SELECT DISTINCT id, date FROM train) AS keys GROUP BY ALL""",
+    ),
+    "rejected_rows": _query(
+        "train stores items",
+        """, damaged AS (
+    SELECT id % 1000 IN (0, 3) AS malformed, CASE WHEN id % 1000 IN (1, 5) THEN NULL
+            WHEN id % 1000 = 4 THEN DATE '1890-01-01' ELSE date END AS date,
+        CASE WHEN id % 1000 <> 5 THEN store_nbr END AS store_nbr,
+        CASE WHEN id % 1000 NOT IN (2, 5) THEN item_nbr END AS item_nbr,
+        CASE WHEN id % 1000 <> 5 THEN unit_sales END AS unit_sales
+    FROM train
+), listed AS (
+    SELECT row_number() OVER () AS n, unnest(CASE WHEN malformed THEN ['malformed line'] ELSE list_filter([
+        CASE WHEN date IS NULL THEN 'date is missing' END,
+        CASE WHEN store_nbr IS NULL THEN 'store_nbr is missing' END,
+        CASE WHEN item_nbr IS NULL THEN 'item_nbr is missing' END,
+        CASE WHEN unit_sales IS NULL THEN 'unit_sales is missing' END,
+        CASE WHEN date < DATE '1995-01-01' OR date >= DATE '2002-01-01' THEN 'date is out of range' END,
+        CASE WHEN store_nbr NOT IN (SELECT store_nbr FROM stores) THEN 'store_nbr is unknown' END,
+        CASE WHEN item_nbr NOT IN (SELECT item_nbr FROM items) THEN 'item_nbr is unknown' END
+    ], lambda x: x IS NOT NULL) END) AS reason FROM damaged
+)
+SELECT reason, count(*) AS rows FROM listed GROUP BY reason
+UNION ALL SELECT 'refused', count(DISTINCT n) FROM listed
+UNION ALL SELECT 'accepted', (SELECT count(*) FROM damaged) - count(DISTINCT n) FROM listed""",
+    ),
+    "observed_load": _query(
+        "train",
+        f"""SELECT count(*) AS rows, {_total()} AS total_sales,
+    {_flag("onpromotion IS NULL")} AS unknown_promotions, {_flag("onpromotion")} AS promotions,
+    min(date) AS first_date, max(date) AS last_date, count(*) AS stored_rows FROM train""",
+    ),
+    "whole_run": _query("master", "SELECT year, count(*) AS rows FROM master GROUP BY year"),
     "refreshed_views": _query(
         "train_clean master daily",
         """SELECT 'train_clean' AS view, CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
