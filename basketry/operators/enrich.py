@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,37 @@ def join_oil(
     return _joined(sales, oil_clean.derive(columns), ["date"], keys_from)
 
 
+#: Kinds of holidays: their locale, and the column of a sale's place they are matched by.
+_KINDS = {
+    "_national": ("National", {}),
+    "_regional": ("Regional", {"state": "locale_name"}),
+    "_local": ("Local", {"city": "locale_name"}),
+}
+
+#: Lookups of the three kinds, as ``holiday_events`` makes them.
+HolidayEvents = dict[str, Lookup]
+
+
+def holiday_events(
+    holidays_clean: Lookup | DataFrame,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, frame: frame,
+) -> HolidayEvents:
+    """The events of each key as a list, a lookup per kind of holiday.
+
+    ``store`` may write a lookup under a name and return it read back; the size of each is
+    measured here, once, however many plans then join to it.
+    """
+    whole = holidays_clean if isinstance(holidays_clean, Lookup) else Lookup.of(holidays_clean)
+    return {
+        name: whole.measure(store(f"events{name}", _events(whole.frame, locale, place, name)))
+        for name, (locale, place) in _KINDS.items()
+    }
+
+
 def join_holidays(
-    sales: DataFrame, holidays_clean: Lookup, keys_from: DataFrame | None = None
+    sales: DataFrame,
+    holidays: HolidayEvents | Lookup | DataFrame,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the holidays in force at each sale's place; ``sales`` and ``keys_from`` need
     date, city and state.
@@ -62,18 +93,13 @@ def join_holidays(
     as a list, and the lists are then unfolded: a sale with several holidays on its
     day appears once per holiday, a sale with none appears once.
     """
-    kinds = {
-        "_national": ("National", {}),
-        "_regional": ("Regional", {"state": "locale_name"}),
-        "_local": ("Local", {"city": "locale_name"}),
-    }
+    lookups = holidays if isinstance(holidays, dict) else holiday_events(holidays)
     joined = sales
-    for events, (locale, place) in kinds.items():
-        keys = ["date", *place]
-        lookup = holidays_clean.measure(_events(holidays_clean.frame, locale, place, events))
+    for events, lookup in lookups.items():
+        keys = ["date", *_KINDS[events][1]]
         joined = _joined(joined, lookup, keys, sales if keys_from is None else keys_from)
-    some = F.coalesce(*kinds).isNotNull()
-    matched = F.when(some, F.concat(*[_or_empty(events) for events in kinds]))
+    some = F.coalesce(*lookups).isNotNull()
+    matched = F.when(some, F.concat(*[_or_empty(events) for events in lookups]))
     return joined.select(*sales.columns, F.inline_outer(matched)).withColumn(
         "is_holiday", F.coalesce("is_holiday", F.lit(False))
     )
@@ -103,7 +129,7 @@ def master(
     stores: Lookup | DataFrame,
     items: Lookup | DataFrame,
     oil_clean: Lookup | DataFrame,
-    holidays_clean: Lookup | DataFrame,
+    holidays_clean: HolidayEvents | Lookup | DataFrame,
 ) -> DataFrame:
     """All sales rows with their attributes, holidays and calendar features.
 
@@ -112,10 +138,10 @@ def master(
     """
     lookups = [
         each if isinstance(each, Lookup) else Lookup.of(each)
-        for each in (stores, items, oil_clean, holidays_clean)
+        for each in (stores, items, oil_clean)
     ]
     placed = join_stores(sales, lookups[0])
     wide = join_items(placed, lookups[1], keys_from=sales)
     wide = join_oil(wide, lookups[2], keys_from=sales)
-    wide = join_holidays(wide, lookups[3], keys_from=placed)
+    wide = join_holidays(wide, holidays_clean, keys_from=placed)
     return add_calendar(wide).select(*schemas.MASTER.names)

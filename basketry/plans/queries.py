@@ -281,7 +281,7 @@ def _calendar_features(w: Warehouse) -> DataFrame:
 
 def _holiday_matches(w: Warehouse) -> DataFrame:
     placed = enrich.join_stores(w.sales(), w.stores)
-    return enrich.join_holidays(placed, w.holidays_clean).select(
+    return enrich.join_holidays(placed, w.holiday_events).select(
         "id", "date", "store_nbr", "is_holiday", "holiday_type", "holiday_description"
     )
 

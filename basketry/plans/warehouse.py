@@ -92,6 +92,11 @@ class Warehouse:
         merged = clean.holidays_clean(self.holidays_events)
         return Lookup.of(self._stored("holidays_clean", merged))
 
+    @cached_property
+    def holiday_events(self) -> enrich.HolidayEvents:
+        """The holidays as the wide table joins them, stored and measured once."""
+        return enrich.holiday_events(self.holidays_clean, self._stored)
+
     @cached_property
     def tables(self) -> RetailTables:
         """The input tables; ``train`` and ``test`` are read where they are."""
@@ -143,7 +148,7 @@ class Warehouse:
     def master_rows(self) -> DataFrame:
         """The wide sales table as a plan, not stored."""
         return enrich.master(
-            self.sales(), self.stores, self.items, self.oil_clean, self.holidays_clean
+            self.sales(), self.stores, self.items, self.oil_clean, self.holiday_events
         )
 
     @cached_property
