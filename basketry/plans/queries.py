@@ -12,7 +12,8 @@ from basketry import schemas
 from basketry.functions.aggregates import as_doubles
 from basketry.functions.calendar import add_calendar, add_day_names
 from basketry.functions.labels import title
-from basketry.operators import clean, dashboard, enrich, explore, quality, reports, topk
+from basketry.operators import clean, dashboard, enrich, explore, ordered, quality, reports, topk
+from basketry.operators.quantiles import describe_all
 from basketry.plans.build import run, store_views
 from basketry.plans.refresh import VIEWS, SmallTables, read_view, refresh
 from basketry.plans.warehouse import Warehouse, open_warehouse
@@ -342,6 +343,15 @@ def _describe_latest(w: Warehouse) -> DataFrame:
     return _rounded_std(explore.describe(_latest(w), ["unit_sales"]))
 
 
+def _fill_per_series(w: Warehouse) -> DataFrame:
+    """Daily sales of every family without gaps: as known, filled, and their mean over 7 days."""
+    sales = dashboard.known_sales(w.sales_by("date", "item_family"))
+    per_day = sales.groupBy("item_family", "date").agg(F.sum("unit_sales").alias("units"))
+    series = ordered.daily_series(per_day, ["item_family"])
+    filled = ordered.fill(series, ["item_family"], "units", "filled")
+    return ordered.moving_mean(filled, ["item_family"], "filled", 7, "ma_7")
+
+
 # --- quality -------------------------------------------------------------------------
 
 
@@ -428,6 +438,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "latest_rows": _latest,
     "latest_rows_10k": lambda w: _latest(w, 10_000),
     "describe_latest": _describe_latest,
+    "describe_sales": lambda w: _rounded_std(describe_all(w.train, "unit_sales")),
     # daily series
     "daily_sales": lambda w: explore.daily_sales(w.train).orderBy("date"),
     "describe_daily": _describe_daily,
@@ -440,6 +451,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "holiday_lift": lambda w: explore.holiday_lift(
         explore.holiday_comparison(w.daily, w.holidays_events)
     ),
+    "fill_per_series": _fill_per_series,
     "december_stats": lambda w: explore.december_stats(w.daily),
     "december_daily": lambda w: explore.december_days(w.daily),
     "december_years": lambda w: explore.december_years(w.daily),

@@ -651,6 +651,26 @@ FROM train""",
         "latest_10k",
         "SELECT * REPLACE (CAST(unit_sales AS DOUBLE) AS unit_sales) FROM latest_10k",
     ),
+    "describe_sales": _describe("train", "unit_sales"),
+    "fill_per_series": _query(
+        "known",
+        """, per_day AS (
+    SELECT item_family, date, sum(unit_sales) AS units FROM known GROUP BY item_family, date
+), days AS (
+    SELECT item_family, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date
+    FROM (SELECT item_family, min(date) AS first, max(date) AS last FROM per_day GROUP BY item_family)
+), grouped AS (
+    SELECT days.*, units, count(units) OVER (PARTITION BY days.item_family ORDER BY days.date) AS g
+    FROM days LEFT JOIN per_day ON days.date = per_day.date
+        AND days.item_family IS NOT DISTINCT FROM per_day.item_family
+), filled AS (
+    SELECT *, max(units) OVER (PARTITION BY item_family, g) AS filled FROM grouped
+)
+SELECT item_family, date, CAST(units AS DOUBLE) AS units, CAST(filled AS DOUBLE) AS filled,
+    CASE WHEN count(*) OVER last_7 = 7 THEN CAST(sum(filled) OVER last_7 AS DOUBLE) / 7 END AS ma_7
+FROM filled
+WINDOW last_7 AS (PARTITION BY item_family ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+    ),
     "describe_latest": _describe("latest", "unit_sales"),
     "daily_sales": _query("daily", "SELECT * FROM daily"),
     "describe_daily": _describe("daily", "total_sales num_transactions avg_sales"),
