@@ -3,8 +3,8 @@
 The tokenizers used here never merge across ASCII white space (the word tokenizer) or
 across a space before a word (the byte tokenizer, where that space belongs to the word).
 So a text's ids are those of its words put together, and ids of words seen before come
-from a table. A text with other white space is given to the library whole. The result is
-that of ``encode(text, add_special_tokens=False)`` with special strings as plain text.
+from a table. A text with other white space, or with one of the tokenizer's special strings,
+is given to the library whole. The result is that of ``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder().values()
+        # In lower case: a tokenizer may look for them after its own changes to the text.
+        self._special = sorted({token.content.lower().encode() for token in added if token.content})
         self.spaced = spaced
         self.mask = _U64(slots - 1)
         self.kept_ids = kept_ids
@@ -154,14 +156,26 @@ class Encoder:
             ids = self._gap(raw[after[t] : offsets[t + 1]], False, True)
             gaps.append((int(first_word[t + 1]), t, 1, ids))
 
+    def _with_special(self, raw: bytes, offsets: np.ndarray) -> set[int]:
+        """Texts that hold a special string, in any case."""
+        lower, found = raw.lower(), set()
+        for string in self._special:
+            place = lower.find(string)
+            while place >= 0:
+                text = int(np.searchsorted(offsets, place, side="right")) - 1
+                found.add(text)
+                place = lower.find(string, max(int(offsets[text + 1]), place + 1))
+        return found
+
     def _mend(self, raw, data, offsets, ids, id_offsets, end_id):
-        """Texts with white space outside ASCII, encoded whole."""
+        """Texts with white space outside ASCII or special strings, encoded whole."""
         found = np.flatnonzero(_SUSPECT[data])
-        suspects = np.unique(np.searchsorted(offsets, found, side="right") - 1)
+        suspects = set(np.unique(np.searchsorted(offsets, found, side="right") - 1).tolist())
+        special = self._with_special(raw, offsets)
         whole = {}
-        for t in suspects.tolist():
+        for t in sorted(suspects | special):
             text = raw[offsets[t] : offsets[t + 1]].decode("utf-8", "replace")
-            if _OTHER_WHITE.search(text):
+            if t in special or _OTHER_WHITE.search(text):
                 whole[t] = np.append(self._whole(text), np.uint32(end_id))
         if not whole:
             return ids, id_offsets

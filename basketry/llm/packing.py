@@ -141,7 +141,9 @@ def pack(pieces: DataFrame, capacity: int, shard_pieces: int = SHARD_PIECES) ->
         rows = rows.append_column("sequence_id", pa.array(sequence))
         return rows.append_column("offset", pa.array(offset))
 
-    shard = F.pmod(F.xxhash64(*columns), F.lit(shards))
+    # By the row's place in the stored table too, so that equal rows spread over shards.
+    place = F.xxhash64(*columns, F.monotonically_increasing_id())
+    shard = F.pmod(place, F.lit(shards))
     return pieces.withColumn("__shard", shard).groupBy("__shard").applyInArrow(one, schema)
 
 

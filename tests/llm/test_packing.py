@@ -63,3 +63,11 @@ def test_shards_and_empty_table(docs, word_tokenizer):
     pieces = packing.cut(docs(), word_tokenizer, 64, 1).drop("ids").cache()
     assert packing.pack(pieces, 64, shard_pieces=50).count() == pieces.count()
     assert packing.packed(docs([]), word_tokenizer).collect() == []
+
+
+def test_equal_pieces_spread_over_shards(spark):
+    pieces = spark.range(2000).selectExpr("7L AS doc_id", "0 AS piece", "0L AS start", "16L AS length")
+    found = packing.pack(pieces, 64, shard_pieces=100).collect()
+    shards = [row.sequence_id >> 32 for row in found]
+    assert len(found) == 2000
+    assert max(shards.count(shard) for shard in set(shards)) < 300

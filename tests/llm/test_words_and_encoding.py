@@ -1,5 +1,6 @@
 """Words and token ids against plain Python."""
 
+import random
 import re
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from basketry.llm import words
 from basketry.llm.encoding import Encoder
@@ -65,10 +67,18 @@ def test_encoding_equals_the_library(spaced, byte_tokenizer, word_tokenizer):
     check()
 
 
-def test_special_strings_are_plain_text(byte_tokenizer):
-    encoder = Encoder(byte_tokenizer, True)
-    ids, _ = encoder.encode(*packed(["<|endoftext|>"]), end_id=0)
-    assert 50256 not in ids and len(ids) > 2
+@pytest.mark.parametrize("name", ["byte_tokenizer", "word_tokenizer"])
+def test_special_strings_have_their_ids(request, name):
+    path = request.getfixturevalue(name)
+    encoder = Encoder(path, name == "byte_tokenizer")
+    library = Tokenizer.from_file(path)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "plain", "ends", "?"]
+    rng = random.Random(4)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "", "x" * 50 + "<|endoftext|>" * 3]
+    texts += ["".join(rng.choice(marks) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randint(0, 8))) for _ in range(300)]
+    ids, places = encoder.encode(*packed(texts), end_id=3)
+    for text, a, b in zip(texts, places, places[1:], strict=False):
+        assert ids[a:b].tolist() == [*library.encode(text, add_special_tokens=False).ids, 3], text
 
 
 def test_kept_ids_start_anew(byte_tokenizer):
