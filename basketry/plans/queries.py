@@ -12,12 +12,24 @@ from basketry import schemas
 from basketry.functions.aggregates import as_doubles
 from basketry.functions.calendar import add_calendar, add_day_names
 from basketry.functions.labels import title
-from basketry.operators import clean, dashboard, enrich, explore, ordered, quality, reports, topk
+from basketry.operators import (
+    clean,
+    dashboard,
+    enrich,
+    explore,
+    ordered,
+    quality,
+    reports,
+    sketches,
+    topk,
+)
+from basketry.operators.distinct import counts_by_key
 from basketry.operators.quantiles import describe_all
 from basketry.plans.build import run, store_views
 from basketry.plans.refresh import VIEWS, SmallTables, read_view, refresh
 from basketry.plans.warehouse import Warehouse, open_warehouse
 from basketry.session import fresh_path
+from basketry.sinks.clustered import write_clustered
 from basketry.sinks.observed import load_figures, write_observed
 from basketry.sinks.stored import append_table, rows_per_year, write_by_year, write_csv
 from basketry.sources import checked, stored
@@ -352,6 +364,40 @@ def _fill_per_series(w: Warehouse) -> DataFrame:
     return ordered.moving_mean(filled, ["item_family"], "filled", 7, "ma_7")
 
 
+def _approx_items_by_span(w: Warehouse) -> DataFrame:
+    """Distinct stores and items per year, exact, and whether the merged daily sketches of
+    that year are within their stated error."""
+    columns = ("store_nbr", "item_nbr")
+    path = fresh_path(w.spark, "sketches")
+    sketches.daily_sketches(w.train, columns).write.parquet(path)
+    year = F.year("date").alias("year")
+    about = sketches.merged_estimates(w.spark.read.parquet(path), [year], columns)
+    sales = w.train.select("*", year)
+    exact = counts_by_key(
+        sales, ["year"], {"stores": "store_nbr", "items": "item_nbr"}, {"rows": F.count("*")}
+    )
+    error = sketches.relative_error()
+    close = [
+        (F.abs(F.col(f"about_{column}") - F.col(name)) <= F.ceil(F.col(name) * error)).alias(f"{name}_close")
+        for name, column in (("stores", "store_nbr"), ("items", "item_nbr"))
+    ]
+    return exact.join(about, "year").select("year", "rows", "stores", "items", *close)
+
+
+def _clustered_series(w: Warehouse) -> DataFrame:
+    """A store's and an item's sales per day, read from a layout by day, store and item."""
+    path = fresh_path(w.spark, "clustered")
+    write_clustered(w.train, path)
+    stored_sales = w.spark.read.schema(w.train.schema).parquet(path)
+    chosen = (F.col("store_nbr") == 6) | (F.col("item_nbr") == 20)
+    return (
+        stored_sales.where(chosen)
+        .groupBy("date")
+        .agg(F.count("*").alias("rows"), F.sum("unit_sales").alias("total_sales"))
+        .orderBy("date")
+    )
+
+
 # --- quality -------------------------------------------------------------------------
 
 
@@ -452,6 +498,8 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         explore.holiday_comparison(w.daily, w.holidays_events)
     ),
     "fill_per_series": _fill_per_series,
+    "approx_items_by_span": _approx_items_by_span,
+    "clustered_series": _clustered_series,
     "december_stats": lambda w: explore.december_stats(w.daily),
     "december_daily": lambda w: explore.december_days(w.daily),
     "december_years": lambda w: explore.december_years(w.daily),

@@ -651,6 +651,17 @@ FROM train""",
         "latest_10k",
         "SELECT * REPLACE (CAST(unit_sales AS DOUBLE) AS unit_sales) FROM latest_10k",
     ),
+    "approx_items_by_span": _query(
+        "train",
+        """SELECT CAST(extract(year FROM date) AS INT) AS year, count(*) AS rows,
+    count(DISTINCT store_nbr) AS stores, count(DISTINCT item_nbr) AS items,
+    TRUE AS stores_close, TRUE AS items_close FROM train GROUP BY ALL""",
+    ),
+    "clustered_series": _query(
+        "train",
+        f"""SELECT date, count(*) AS rows, {_total()} AS total_sales FROM train
+WHERE store_nbr = 6 OR item_nbr = 20 GROUP BY date""",
+    ),
     "describe_sales": _describe("train", "unit_sales"),
     "fill_per_series": _query(
         "known",
