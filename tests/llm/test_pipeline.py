@@ -26,4 +26,4 @@ def test_run_packs_what_the_stages_keep(spark, sf):
 def test_registered_queries():
     names = entry_points.queries().keys()
     assert "pipeline" in names and set(llm.queries()) <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 14))
