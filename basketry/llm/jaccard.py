@@ -1,7 +1,8 @@
 """Near duplicates: documents whose sets of word shingles have a Jaccard similarity >= t.
 
 Shingles are 64-bit hashes of ``width`` consecutive words. Documents with equal sets are one
-class from the start. Between classes the candidates come from prefixes:
+class from the start; a class is named by a 64-bit hash of its set, so all that follows is
+by text and never by doc_id. Between classes the candidates come from prefixes:
 
 * Shingles that stand in more than ``FREQUENT`` places are frequent, but at most
   ``FREQUENT_SHARE`` of them, the most frequent of each range of hashes; so their list can be
@@ -16,19 +17,25 @@ class from the start. Between classes the candidates come from prefixes:
   that thousands of documents share so brings together only those that consist of little
   else. m grows with the set's size in steps (``_level``), and a set uses its own step and
   the one below, as any partner has the same step as it or the next to it.
+* A set with pairs as keys has all its r rare shingles as keys too. Two such sets without a
+  common rare shingle differ by at least the rare ones of both, and similar sets by at most
+  (1 - t) / (1 + t) of their sizes together. So a pair as key joins only sets whose excesses,
+  (1 + t) r - (1 - t) n, add up to 0 or less: texts with a template in common and too much of
+  their own meet under no pair at all, however many there are.
 
 Classes that share a key are compared first by bitmaps of about a bit per shingle, whose
 distance never exceeds that of the sets, so only pairs that are too far apart are dropped,
-and then exactly, on their whole sets. To avoid all pairs of a large group, first each class
-is compared with the smallest of its key. Within keys that still hold several components
-after that, blocks of classes are compared in arrays of bitmaps, and only pairs that pass go
-on. Components of the confirmed
-links come from repeated joins to the smallest id.
+and then exactly, on their whole sets. First each class is compared with one class of its
+key, that of the least excess (of a rare key, the smallest). Within keys that still hold
+several components after that, of keys with the same classes one is taken, blocks of its
+classes are compared in arrays of bitmaps, and only pairs that pass go on. Components of the
+confirmed links come from repeated joins to the smallest id.
 
 Cases: a null text, or one without words, is empty, links with nothing and is its own
 component; with fewer than ``width`` words the whole sequence is the one shingle; repeated
-rows and exact copies are one class; a null doc_id is kept with a null component and links
-nothing; an empty table gives an empty result; further columns are ignored.
+rows and exact copies are one class; different texts with one doc_id are compared each on its
+own; a null doc_id is kept with a null component and links nothing; an empty table gives an
+empty result; further columns, of whatever names, are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import words
-from basketry.llm.scratch import stored
+from basketry.llm.scratch import discard, stored
 from basketry.operators.lookup import lookup_join
 
 #: Places a shingle may stand in and still be a key of its own.
@@ -55,6 +62,9 @@ FREQUENT = 8
 KEY_BLOCK = 1024
 #: Most frequent shingles there can be.
 FREQUENT_SHARE = 1_000_000
+#: Shingles that are sorted at once before they are sent, and those counted in one group.
+SENT_AT_ONCE = 4 << 20
+COUNTED_AT_ONCE = 8 << 20
 
 #: Shingles are counted by their first bits. That two share them makes a shingle look more
 #: frequent than it is, for all sets alike.
@@ -100,8 +110,9 @@ def _binary(values: np.ndarray, places: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, buffers).cast(pa.binary())
 
 
-def _set_key(raw: memoryview | bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16).digest()
+def _class_id(raw: memoryview | bytes) -> int:
+    """The name of a set: the same for equal sets."""
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
 def _bitmap(value: np.ndarray) -> bytes:
@@ -121,57 +132,65 @@ def _distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key and a bitmap of the set of every document."""
+def sets(texts: DataFrame, width: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id (null if empty) and a bitmap of every text."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches):
             value, places = shingles(data, offsets, width)
-            raw, ends = memoryview(value.tobytes()), (places * 8).tolist()
-            keys = [
-                _set_key(raw[a:b]) if b > a else None for a, b in zip(ends, ends[1:], strict=False)
-            ]
-            bitmaps = [
-                _bitmap(value[a // 8 : b // 8]) if b > a else None
-                for a, b in zip(ends, ends[1:], strict=False)
-            ]
+            raw, ends = memoryview(value.tobytes()), places.tolist()
+            names: list[int | None] = []
+            bitmaps: list[bytes | None] = []
+            for a, b in zip(ends, ends[1:], strict=False):
+                names.append(_class_id(raw[8 * a : 8 * b]) if b > a else None)
+                bitmaps.append(_bitmap(value[a:b]) if b > a else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(np.diff(places), pa.int64()),
-                    pa.array(keys, pa.binary()),
+                    pa.array(names, pa.int64()),
                     pa.array(bitmaps, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bitmap"],
+                ["doc_id", "text_hash", "n_shingles", "class_id", "bitmap"],
             )
 
-    return docs.mapInArrow(
-        digest, "doc_id long, n_shingles long, set_key binary, bitmap binary"
+    return texts.select("doc_id", "text_hash", "text").mapInArrow(
+        digest, "doc_id long, text_hash long, n_shingles long, class_id long, bitmap binary"
     )
 
 
 def frequent_shingles(docs: DataFrame, width: int, ranges: int) -> np.ndarray:
     """Frequent shingles (their first 32 bits), ascending.
 
-    Every block of text sends its shingles sorted, as differences, one row per range of
-    hashes; a range is counted in one task. The list is bounded by ``FREQUENT_SHARE``: of a
-    range with more, those in the most places are frequent.
+    Shingles are sent sorted, as differences, a row for each range of hashes that occurs among
+    ``SENT_AT_ONCE`` of them, so never more rows than shingles; a range is counted in one task.
+    The list is bounded by ``FREQUENT_SHARE``: of a range with more, those in the most places
+    are frequent.
     """
     most = max(1, FREQUENT_SHARE // ranges)
     shift = _U64(64 - _COUNT_BITS)
 
+    def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        value = np.sort(np.concatenate(parts))
+        bounds = (np.arange(1, ranges) * (1 << _COUNT_BITS) // ranges).astype(np.uint32)
+        places = np.concatenate([[0], np.searchsorted(value, bounds), [len(value)]])
+        filled = np.flatnonzero(np.diff(places))
+        rows = [_differences(value[places[k] : places[k + 1]]) for k in filled.tolist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(filled.astype(np.int32)), pa.array(rows, pa.binary())], ["range", "shingles"]
+        )
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for _, data, offsets in words.blocks(batches):
             value, _ = shingles(data, offsets, width)
-            value = np.sort((value >> shift).astype(np.uint32))
-            bounds = (np.arange(1, ranges) * (1 << _COUNT_BITS) // ranges).astype(np.uint32)
-            places = np.concatenate([[0], np.searchsorted(value, bounds), [len(value)]])
-            rows = [value[a:b] for a, b in zip(places, places[1:], strict=False)]
-            packed = [_differences(x) for x in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(ranges), pa.int32()), pa.array(packed, pa.binary())],
-                ["range", "shingles"],
-            )
+            held.append((value >> shift).astype(np.uint32))
+            if sum(map(len, held)) >= SENT_AT_ONCE:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
 
     def count(_: tuple, table: pa.Table) -> pa.Table:
         value = np.concatenate([_sums(x.as_py()) for x in table["shingles"]])
@@ -246,82 +265,101 @@ def keys_of(
     return base, np.unique(np.concatenate(out))
 
 
-def postings(docs: DataFrame, width: int, t: Fraction, frequent: np.ndarray) -> DataFrame:
-    """key, doc_id and whether the key is a pair (``often``) for every key of every document;
-    of documents of one block with equal sets the smallest id speaks for all."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _excess(n: int, rare: int, t: Fraction) -> int:
+    """Of two sets with no rare shingle in common, the sum is above 0 only if they differ by
+    too much."""
+    up, down = t.numerator, t.denominator
+    return (down + up) * rare - (down - up) * n
+
+
+def postings(texts: DataFrame, width: int, t: Fraction, frequent: np.ndarray) -> DataFrame:
+    """key, class_id, whether the key is a pair (``often``), and the excess of the class (0
+    for rare keys), for every key of every text; equal sets of one block come once."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
     shift = _U64(64 - _COUNT_BITS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.append(shared.value, np.uint32(0))  # never empty; its last place is no match
-        for batch, data, offsets in words.blocks(batches):
+        for _, data, offsets in words.blocks(batches):
             value, places = shingles(data, offsets, width)
             cut = (value >> shift).astype(np.uint32)
             at = np.searchsorted(often[:-1], cut)
             flags = (often[at] == cut) & (at < len(often) - 1)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             raw, ends = memoryview(value.tobytes()), places.tolist()
-            first: dict[bytes, int] = {}
-            for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+            distinct: dict[int, tuple[int, int]] = {}
+            for a, b in zip(ends, ends[1:], strict=False):
                 if b > a:
-                    key = _set_key(raw[8 * a : 8 * b])
-                    if key not in first or ids[i] < ids[first[key]]:
-                        first[key] = i
-            rows = list(first.values())
-            found = [keys_of(value[ends[i] : ends[i + 1]], flags[ends[i] : ends[i + 1]], t) for i in rows]
-            doc = ids[np.array(rows, dtype=np.int64)].astype(np.int64)
+                    distinct[_class_id(raw[8 * a : 8 * b])] = (a, b)
+            names = np.array(list(distinct), dtype=np.int64)
+            found = [keys_of(value[a:b], flags[a:b], t) for a, b in distinct.values()]
+            excess = [_excess(b - a, b - a - int(flags[a:b].sum()), t) for a, b in distinct.values()]
             for often_too in (False, True):
                 keys = [x[often_too] for x in found]
                 flat = np.concatenate(keys) if keys else value[:0]
+                sizes = [len(x) for x in keys]
+                own = np.repeat(np.array(excess, dtype=np.int64), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(flat.view(np.int64)),
-                        pa.array(np.repeat(doc, [len(x) for x in keys])),
+                        pa.array(np.repeat(names, sizes)),
                         pa.array(np.full(len(flat), often_too)),
+                        pa.array(own if often_too else np.zeros_like(own)),
                     ],
-                    ["key", "doc_id", "often"],
+                    ["key", "class_id", "often", "excess"],
                 )
 
-    return docs.mapInArrow(send, "key long, doc_id long, often boolean")
+    return texts.select("text").mapInArrow(
+        send, "key long, class_id long, often boolean, excess long"
+    )
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
-    """key, doc_id and hub (the key's smallest doc_id) for keys of several documents.
+    """key, often, class_id, excess and hub (one class of the key) for keys of several classes.
 
-    A rare shingle has few documents, so its rows are sorted into one task and streamed. A
-    pair can have any number: its hub is found by a partial aggregate and joined back.
+    A rare shingle has few documents, so its rows are sorted into one task and streamed; its
+    hub is the smallest class. A pair can have any number: its hub, the class of the least
+    excess, is found by a partial aggregate and joined back, and classes whose excess is too
+    large even for the hub go.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, doc = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        key, own = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-        def several(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-            new = np.append(True, key[1:] != key[:-1])[: len(key)]
-            first = np.flatnonzero(new)
+        def several(key: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+            new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]))[: len(key)]
+            key, own = key[new], own[new]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
             size = np.diff(np.append(first, len(key)))
             kept = np.repeat(size > 1, size)
-            hub = np.repeat(doc[first], size)
-            columns = [pa.array(x[kept]) for x in (key, doc, hub)]
-            return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "hub"])
+            hub = np.repeat(own[first], size)
+            columns = [pa.array(x[kept]) for x in (key, own, hub)]
+            return pa.RecordBatch.from_arrays(columns, ["key", "class_id", "hub"])
 
         for batch in batches:
             key = np.concatenate([key, batch.column(0).to_numpy()])
-            doc = np.concatenate([doc, batch.column(1).to_numpy()])
+            own = np.concatenate([own, batch.column(1).to_numpy()])
             if not len(key):
                 continue
             done = int(np.searchsorted(key, key[-1]))  # the last key may go on
             if done:
-                yield several(key[:done], doc[:done])
-                key, doc = key[done:], doc[done:]
-        yield several(key, doc)
-
-    rare = keyed.where(~F.col("often")).select("key", "doc_id")
-    rare = rare.repartition("key").sortWithinPartitions("key", "doc_id")
-    rare = rare.mapInArrow(runs, "key long, doc_id long, hub long")
-    often = keyed.where("often").select("key", "doc_id")
-    hubs = often.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("high"))
-    hubs = hubs.where(F.col("hub") < F.col("high")).drop("high")
-    return rare.unionByName(often.join(hubs, "key").select("key", "doc_id", "hub"))
+                yield several(key[:done], own[:done])
+                key, own = key[done:], own[done:]
+        yield several(key, own)
+
+    rare = keyed.where(~F.col("often")).select("key", "class_id")
+    rare = rare.repartition("key").sortWithinPartitions("key", "class_id")
+    rare = rare.mapInArrow(runs, "key long, class_id long, hub long")
+    rare = rare.select("key", F.lit(False).alias("often"), "class_id", F.lit(0).cast("long").alias("excess"), "hub")
+    often = keyed.where("often").select("key", "often", "class_id", "excess")
+    hubs = often.groupBy("key").agg(
+        F.min_by("class_id", "excess").alias("hub"), F.min("excess").alias("least"),
+        F.min("class_id").alias("low"), F.max("class_id").alias("high"),
+    )
+    # Stored, as a tie between classes may be decided otherwise when it is computed again.
+    hubs = hubs.where((F.col("low") < F.col("high")) & (F.col("least") <= 0))
+    hubs = stored(hubs.select("key", "hub", "least"), "hubs")
+    often = often.join(hubs, "key").where(F.col("excess") + F.col("least") <= 0)
+    return rare.unionByName(often.drop("least").distinct())
 
 
 def close_enough(pairs: DataFrame, bitmaps: DataFrame, t: Fraction) -> DataFrame:
@@ -329,7 +367,7 @@ def close_enough(pairs: DataFrame, bitmaps: DataFrame, t: Fraction) -> DataFrame
     up, down = t.numerator, t.denominator
     sides = [
         bitmaps.select(
-            F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("bitmap").alias(f"of_{x}")
+            F.col("class_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("bitmap").alias(f"of_{x}")
         )
         for x in ("a", "b")
     ]
@@ -369,10 +407,10 @@ def _distances(flat: np.ndarray, places: np.ndarray, i: np.ndarray, j: np.ndarra
 
 
 def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs (a, b) of classes with a common key and different components whose sizes and
-    bitmaps allow a similarity of ``t``.
+    """Pairs (a, b) of classes with a common key and different components whose excesses,
+    sizes and bitmaps allow a similarity of ``t``.
 
-    ``placed`` has key, its number of rows, class_id, component, n_shingles and bitmap. A key
+    ``placed`` has key, its number of rows, class_id, component, excess, n_shingles and bitmap. A key
     with many rows is dealt in blocks, every two of which meet in one task; rows of a key are
     compared there as arrays, and only the pairs that pass leave the task.
     """
@@ -382,13 +420,12 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
     dealt = placed.withColumn("blocks", blocks).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    columns = ["key", "low", "high", "own", "class_id", "component", "n_shingles", "bitmap"]
-    dealt = dealt.select("key", low, high, "own", "class_id", "component", "n_shingles", "bitmap")
-    dealt = dealt.select(*columns).repartition("key", "low", "high")
+    columns = ["key", "low", "high", "own", "class_id", "component", "n_shingles", "excess", "bitmap"]
+    dealt = dealt.select("key", low, high, *columns[3:]).repartition("key", "low", "high")
     dealt = dealt.sortWithinPartitions("key", "low", "high", "class_id")
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, low, high, own, ids, component, n = (rows[c].to_numpy() for c in columns[:7])
+        key, low, high, own, ids, component, n, excess = (rows[c].to_numpy() for c in columns[:8])
         data, offsets = words.text_bytes(rows["bitmap"].combine_chunks())
         flat, places = np.ascontiguousarray(data).view(_U64), offsets // 8
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -401,14 +438,14 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
             j = i + step
             fits = (component[i] != component[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
             fits &= down * np.minimum(n[i], n[j]) >= up * np.maximum(n[i], n[j])
+            fits &= excess[i] + excess[j] <= 0
             i, j = i[fits], j[fits]
             most = (down - up) * (n[i] + n[j]) // (down + up)
             near = _distances(flat, places, i, j) <= most
             found.append((ids[i[near]], ids[j[near]]))
         a, b = (np.concatenate([f[k] for f in found]) if found else ids[:0] for k in (0, 1))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-        )
+        once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in once], ["a", "b"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -431,26 +468,31 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
     return dealt.mapInArrow(runs, "a long, b long")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, t: Fraction) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose sets have a similarity of at least ``t``.
+def confirmed(
+    texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, t: Fraction
+) -> DataFrame:
+    """The pairs (a, b) of classes whose sets have a similarity of at least ``t``.
 
-    Only texts of documents in some pair are read; each set meets its pairs in two joins.
+    Of each class in some pair one text is read; each set meets its pairs in two joins.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = lookup_join(docs, stored(wanted, "wanted"), ["doc_id"], "inner")
+    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    wanted = classes.join(wanted, "class_id").select("class_id", "first.doc_id", "first.text_hash")
+    wanted = stored(wanted, "wanted")
+    found = lookup_join(texts, wanted, ["doc_id", "text_hash"], "inner")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches):
             value, places = shingles(data, offsets, width)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), _binary(value, places)],
-                ["doc_id", "shingles"],
+                [batch.column(0), _binary(value, places)], ["class_id", "shingles"]
             )
 
-    own = texts.select("doc_id", "text").mapInArrow(whole, "doc_id long, shingles binary")
+    own = found.select("class_id", "text").mapInArrow(whole, "class_id long, shingles binary")
     own = stored(own, "sets")
-    left = own.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = own.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    if own.count() > wanted.count():  # rows that are there more than once
+        own = stored(own.dropDuplicates(["class_id"]), "sets")
+    left = own.select(F.col("class_id").alias("a"), F.col("shingles").alias("of_a"))
+    right = own.select(F.col("class_id").alias("b"), F.col("shingles").alias("of_b"))
     up, down = t.numerator, t.denominator
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,108 +508,128 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, t: Fraction) -> Dat
                 [c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"]
             )
 
-    # The smaller id is often a hub of many pairs: its set comes last and moves no further.
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
     return both.mapInArrow(similar, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """doc_id and component (its smallest doc_id) of every document in a link.
+    """class_id and component (its smallest class) of every class in a link.
 
-    Every round gives each document the smallest label of its neighbours and then that
+    Every round gives each class the smallest label of its neighbours and then that
     label's own label; it ends when a round changes nothing.
     """
     both = links.select("a", "b").union(links.select("b", "a")).distinct()
     both = stored(both, "links")
     labels = both.groupBy("a").agg(F.min("b").alias("least"))
-    labels = stored(labels.select(F.col("a").alias("doc_id"), F.least("a", "least").alias("component")), "labels")
+    labels = stored(labels.select(F.col("a").alias("class_id"), F.least("a", "least").alias("component")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy("a")
-        near = near.agg(F.min("component").alias("near")).withColumnRenamed("a", "doc_id")
-        lower = labels.join(near, "doc_id").select(
-            "doc_id", F.col("component").alias("old"), F.least("component", "near").alias("component")
+        near = both.join(labels.withColumnRenamed("class_id", "b"), "b").groupBy("a")
+        near = near.agg(F.min("component").alias("near")).withColumnRenamed("a", "class_id")
+        lower = labels.join(near, "class_id").select(
+            "class_id", F.col("component").alias("old"), F.least("component", "near").alias("component")
         )
-        jump = labels.select(F.col("doc_id").alias("component"), F.col("component").alias("further"))
+        jump = labels.select(F.col("class_id").alias("component"), F.col("component").alias("further"))
         lower = lower.join(jump, "component", "left").select(
-            "doc_id", "old", F.least("component", "further").alias("component")
+            "class_id", "old", F.least("component", "further").alias("component")
         )
         lower = stored(lower, "labels")
         if lower.where(F.col("old") != F.col("component")).isEmpty():
-            return lower.select("doc_id", "component")
-        labels = lower.select("doc_id", "component")
+            return lower.select("class_id", "component")
+        labels = lower.select("class_id", "component")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    t = Fraction(threshold)
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")
+    )
+
+
+def _components_of_rows(docs: DataFrame, width: int, t: Fraction) -> DataFrame:
+    """doc_id, text_hash, n_shingles and component_id of every row."""
+    texts = _texts(docs)
     all_sets = stored(sets(texts, width), "sets")
-    classes = all_sets.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = classes.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
+    known = all_sets.where(F.col("class_id").isNotNull() & F.col("doc_id").isNotNull())
+    classes = known.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     classes = stored(classes, "classes")
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    frequent = frequent_shingles(texts, width, ranges)
-    known = texts.where(F.col("doc_id").isNotNull())
-    shared = shared_keys(stored(postings(known, width, t, frequent), "postings"))
-    # Documents with equal sets have equal keys, so a key's smallest document is a class id.
-    members = all_sets.select("doc_id", "set_key").join(classes, "set_key").drop("set_key")
-    shared = shared.join(members.distinct(), "doc_id").select("key", "hub", "class_id")
-    shared = stored(shared.distinct(), "shared-keys")
-    bitmaps = all_sets.select("doc_id", "n_shingles", "bitmap").dropna().dropDuplicates(["doc_id"])
+    bitmaps = known.select("class_id", "n_shingles", "bitmap").dropDuplicates(["class_id"])
+    bitmaps = stored(bitmaps, "bitmaps")
+    total = all_sets.agg(F.sum("n_shingles")).first()[0] or 0
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequent = frequent_shingles(texts, width, max(1, partitions, total // COUNTED_AT_ONCE))
+    with_id = texts.where(F.col("doc_id").isNotNull())
+    keyed = stored(postings(with_id, width, t, frequent), "postings")
+    shared = stored(shared_keys(keyed), "shared-keys")
+    discard(keyed)
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        near = stored(close_enough(pairs, bitmaps, t), "near")
-        return stored(confirmed(texts, near, width, t), "confirmed")
+        return stored(confirmed(texts, classes, pairs, width, t), "confirmed")
 
-    first = shared.where(F.col("hub") < F.col("class_id"))
-    first = first.select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
-    first = stored(first, "pairs")
-    links = links_of(first)
+    others = shared.where(F.col("hub") != F.col("class_id"))
+    first = others.select(F.least("hub", "class_id").alias("a"), F.greatest("hub", "class_id").alias("b"))
+    first = stored(first.distinct(), "pairs")
+    links = links_of(stored(close_enough(first, bitmaps, t), "near"))
     found = components(links)
     # All pairs with a hub are decided. Of the others, those of keys whose classes are not all
     # connected by now remain.
-    placed = shared.where(F.col("hub") < F.col("class_id")).drop("hub")
-    placed = placed.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+    placed = others.drop("hub").join(found, "class_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class_id"))
-    split = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
+    split = placed.groupBy("key", "often").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("excess").alias("least"), F.count("*").alias("rows"),
+        F.min("class_id").alias("from"), F.max("class_id").alias("to"),
+        F.bit_xor(F.xxhash64("class_id")).alias("mark"),
     )
-    split = split.where(F.col("low") < F.col("high")).select("key", "rows")
-    placed = placed.join(split, "key").join(bitmaps.withColumnRenamed("doc_id", "class_id"), "class_id")
+    split = split.where((F.col("low") < F.col("high")) & (F.col("least") <= 0))
+    # Of keys with the same classes, which count, ends and hashes tell, one is enough.
+    split = split.groupBy("often", "rows", "from", "to", "mark", "least").agg(F.min("key").alias("key"))
+    placed = placed.join(split.select("key", "often", "rows", "least"), ["key", "often"])
+    placed = placed.where(F.col("excess") + F.col("least") <= 0).join(bitmaps, "class_id")
     second = stored(unconnected_pairs(placed, t).distinct(), "pairs")
-    second = second.join(first, ["a", "b"], "left_anti")
+    second = stored(second.join(first, ["a", "b"], "left_anti"), "near")
     if not second.isEmpty():
-        more = stored(confirmed(texts, stored(second, "near"), width, t), "confirmed")
-        links = links.unionByName(more)
-        found = components(links)
-    named = classes.join(found.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
-    named = named.select("set_key", F.coalesce("component", "class_id").alias("component_id"))
-    labelled = all_sets.join(named, "set_key", "left")
-    return labelled.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        found = components(links.unionByName(links_of(second)))
+    smallest = classes.select("class_id", F.col("first.doc_id").alias("own"))
+    linked = found.join(smallest, "class_id")
+    least = linked.groupBy("component").agg(F.min("own").alias("component_id"))
+    linked = linked.join(least, "component").select("class_id", "component_id")
+    named = smallest.join(linked, "class_id", "left")
+    named = named.select("class_id", F.coalesce("component_id", "own").alias("component_id"))
+    labelled = all_sets.join(named, "class_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return labelled.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    return _components_of_rows(docs, width, Fraction(threshold)).drop("text_hash")
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, threshold: str = "0.8") -> DataFrame:
     """The rows of ``docs`` that stand for their group, one for each; all columns as they were.
 
-    Of a group the smallest doc_id stays, and of rows with that id the one whose text has
-    the smallest hash. Rows without words or without an id have no group and stay.
+    Of a group the row with the smallest doc_id stays, and of unlike texts of one group with
+    that id the one with the smallest hash. An id may stand on texts of several groups, each of
+    which keeps its own. Rows without words or without an id have no group and stay, but rows
+    equal in id and text stay once.
     """
-    found = stored(near_duplicates(docs, width, threshold), "components")
-    others = found.where(F.col("component_id").isNotNull() & (F.col("component_id") != F.col("doc_id")))
-    others = others.select(F.col("doc_id").alias("__id")).distinct()
-    # Rows that share an id: only ids found more than once are ordered.
-    again = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
-    again = stored(again.select(F.col("doc_id").alias("__id")), "repeated-ids")
-    kept = docs.join(others, docs["doc_id"] == F.col("__id"), "left_anti")
-    if again.isEmpty():
-        return kept
-    kept = kept.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id"))
-    repeated = kept.join(again, "__id", "left_semi")
-    single = kept.join(again, "__id", "left_anti")
-    first = repeated.groupBy("__id").agg(
-        F.min_by("__row", F.xxhash64(F.col("__row.text"))).alias("__row")
+    found = stored(_components_of_rows(docs, width, Fraction(threshold)), "components")
+    found = found.where(F.col("doc_id").isNotNull())
+    worded = found.where(F.col("n_shingles") > 0)
+    first = worded.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    # Only the other rows of groups with several are listed.
+    others = worded.join(first, "component_id").where(F.struct("doc_id", "text_hash") != F.col("first"))
+    row_key = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    others = stored(others.select(*row_key).distinct(), "others")
+    again = found.groupBy("doc_id", "text_hash").count().where(F.col("count") > 1)
+    again = stored(again.select(*row_key), "repeated-rows")
+    boxed = docs.select(
+        F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__id"),
+        F.xxhash64("text").alias("__hash"),
     )
-    return single.select("__row.*").unionByName(first.select("__row.*"))
+    kept = boxed.join(others, ["__id", "__hash"], "left_anti")
+    if again.isEmpty():
+        return kept.select("__row.*")
+    single = kept.join(again, ["__id", "__hash"], "left_anti")
+    repeated = kept.join(again, ["__id", "__hash"], "left_semi").groupBy("__id", "__hash")
+    once = repeated.agg(F.min_by("__row", F.xxhash64(F.to_json("__row"))).alias("__row"))
+    return single.select("__row.*").unionByName(once.select("__row.*"))

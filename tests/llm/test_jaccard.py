@@ -101,3 +101,43 @@ def test_one_row_of_each_group_stays(docs):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 7, 8, 9]
     assert ids.count(None) == 2
+
+
+def test_texts_of_one_id_are_compared_each_on_its_own(docs):
+    """Neither is a link lost, nor an unlike text dropped."""
+    random = np.random.default_rng(4)
+    one, two, three = (" ".join(random.choice([f"v{k}" for k in range(900)], 120)) for _ in range(3))
+    rows = [(1, one), (7, two), (7, varied(random, one, 1)), (8, varied(random, two, 1)), (9, three), (9, three)]
+    frame = docs([(i, text, "en", "s", 0) for i, text in rows])
+    result = jaccard.near_duplicates(frame).collect()
+    assert sorted((r.doc_id, r.component_id) for r in result) == [(1, 1), (7, 1), (7, 7), (8, 7), (9, 9), (9, 9)]
+    kept = {(r.doc_id, r.text) for r in jaccard.distinct_documents(frame).collect()}
+    assert kept == {(1, one), (7, two), (9, three)}
+
+
+def test_a_common_template_makes_no_pairs(spark, docs, monkeypatch):
+    """Texts with four fifths in common and the rest their own are never similar, and none of
+    their pairs is looked at; near copies among them are still found."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    random = np.random.default_rng(5)
+    template = [f"t{k}" for k in range(160)]
+    rows = [(k + 1, " ".join([*template, *(f"o{k}x{j}" for j in range(35))]), "en", "s", 0) for k in range(40)]
+    rows += [(100 + k, rows[k][1] + " end", "en", "s", 0) for k in range(5)]
+    t, width = Fraction("0.8"), 5
+    texts = jaccard._texts(docs(rows))
+    frequent = jaccard.frequent_shingles(texts, width, 3)
+    shared = jaccard.shared_keys(jaccard.postings(texts, width, t, frequent))
+    assert shared.where("often").isEmpty()
+    result = found(docs(rows), width, "0.8")
+    assert {i: r.component_id for i, r in result.items()} == plain_components(rows, width, t)
+
+
+def test_further_columns_with_clashing_names(docs):
+    names = ["key", "component_id", "class_id", "n_shingles", "text_hash", "__row", "first"]
+    frame = docs()
+    wide = frame.selectExpr("*", *(f"doc_id AS {n}" for n in names))
+    plain_rows = sorted(map(str, jaccard.near_duplicates(frame).collect()))
+    assert sorted(map(str, jaccard.near_duplicates(wide).collect())) == plain_rows
+    kept = jaccard.distinct_documents(wide)
+    assert kept.columns == wide.columns
+    assert kept.count() == jaccard.distinct_documents(frame).count()
