@@ -27,9 +27,12 @@ Classes that share a key are compared first by bitmaps of about a bit per shingl
 distance never exceeds that of the sets, so only pairs that are too far apart are dropped,
 and then exactly, on their whole sets. First each class is compared with one class of its
 key, that of the least excess (of a rare key, the smallest). Within keys that still hold
-several components after that, of keys with the same classes one is taken, blocks of its
-classes are compared in arrays of bitmaps, and only pairs that pass go on. Components of the
-confirmed links come from repeated joins to the smallest id.
+several components after that, of keys with the same classes one is taken, and blocks of its
+classes are compared in arrays of finer bitmaps. Under a pair as key these hold the frequent
+shingles alone and the rare ones count in full, as none is common. A pair of classes is
+compared under the first of the keys they share (of the ``FIRST_KEYS`` first of each class;
+under several beyond that), and only those that pass go on. Components of the confirmed links
+come from repeated joins to the smallest id.
 
 Cases: a null text, or one without words, is empty, links with nothing and is its own
 component; with fewer than ``width`` words the whole sequence is the one shingle; repeated
@@ -60,6 +63,8 @@ from basketry.operators.lookup import lookup_join
 FREQUENT = 8
 #: Rows of a key that are compared with one another in one task.
 KEY_BLOCK = 1024
+#: Keys of a class by which a pair that was compared before is told.
+FIRST_KEYS = 64
 #: Most frequent shingles there can be.
 FREQUENT_SHARE = 1_000_000
 #: Shingles that are sorted at once before they are sent, and those counted in one group.
@@ -115,10 +120,10 @@ def _class_id(raw: memoryview | bytes) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
-def _bitmap(value: np.ndarray) -> bytes:
+def _bitmap(value: np.ndarray, size: int | None = None) -> bytes:
     """For each residue of the shingles by a power of two, whether it occurs an odd number of
-    times; at least as many bits as shingles."""
-    bits = max(64, 1 << (len(value) - 1).bit_length())
+    times; at least as many bits as shingles, or as ``size``."""
+    bits = max(64, 1 << ((len(value) if size is None else size) - 1).bit_length())
     odd = np.bincount((value & _U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -265,6 +270,13 @@ def keys_of(
     return base, np.unique(np.concatenate(out))
 
 
+def _are_frequent(value: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    cut = (value >> _U64(64 - _COUNT_BITS)).astype(np.uint32)
+    often = np.append(frequent, np.uint32(0))  # never empty; its last place is no match
+    at = np.searchsorted(frequent, cut)
+    return (often[at] == cut) & (at < len(frequent))
+
+
 def _excess(n: int, rare: int, t: Fraction) -> int:
     """Of two sets with no rare shingle in common, the sum is above 0 only if they differ by
     too much."""
@@ -276,15 +288,11 @@ def postings(texts: DataFrame, width: int, t: Fraction, frequent: np.ndarray) ->
     """key, class_id, whether the key is a pair (``often``), and the excess of the class (0
     for rare keys), for every key of every text; equal sets of one block come once."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
-    shift = _U64(64 - _COUNT_BITS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.append(shared.value, np.uint32(0))  # never empty; its last place is no match
         for _, data, offsets in words.blocks(batches):
             value, places = shingles(data, offsets, width)
-            cut = (value >> shift).astype(np.uint32)
-            at = np.searchsorted(often[:-1], cut)
-            flags = (often[at] == cut) & (at < len(often) - 1)
+            flags = _are_frequent(value, shared.value)
             raw, ends = memoryview(value.tobytes()), places.tolist()
             distinct: dict[int, tuple[int, int]] = {}
             for a, b in zip(ends, ends[1:], strict=False):
@@ -407,10 +415,11 @@ def _distances(flat: np.ndarray, places: np.ndarray, i: np.ndarray, j: np.ndarra
 
 
 def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs (a, b) of classes with a common key and different components whose excesses,
-    sizes and bitmaps allow a similarity of ``t``.
+    """Pairs (a, b) of classes with a common key and different components whose sizes and
+    bitmaps allow a similarity of ``t``.
 
-    ``placed`` has key, its number of rows, class_id, component, excess, n_shingles and bitmap. A key
+    ``placed`` has key, its number of rows, class_id, component, excess, the first keys of the
+    class, and what ``finer_bitmaps`` gives. A key
     with many rows is dealt in blocks, every two of which meet in one task; rows of a key are
     compared there as arrays, and only the pairs that pass leave the task.
     """
@@ -420,12 +429,17 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
     dealt = placed.withColumn("blocks", blocks).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    columns = ["key", "low", "high", "own", "class_id", "component", "n_shingles", "excess", "bitmap"]
+    columns = ["key", "low", "high", "own", "class_id", "component", "n_shingles", "excess", "apart", "before", "bitmap"]
+    before = F.filter("keys", lambda k: k < F.col("key")).alias("before")
+    dealt = dealt.withColumn("before", before)
     dealt = dealt.select("key", low, high, *columns[3:]).repartition("key", "low", "high")
     dealt = dealt.sortWithinPartitions("key", "low", "high", "class_id")
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, low, high, own, ids, component, n, excess = (rows[c].to_numpy() for c in columns[:8])
+        key, low, high, own, ids, component, n, excess, apart = (
+            rows[c].to_numpy() for c in columns[:9]
+        )
+        before = [frozenset(x) for x in rows["before"].to_pylist()]
         data, offsets = words.text_bytes(rows["bitmap"].combine_chunks())
         flat, places = np.ascontiguousarray(data).view(_U64), offsets // 8
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -441,7 +455,9 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
             fits &= excess[i] + excess[j] <= 0
             i, j = i[fits], j[fits]
             most = (down - up) * (n[i] + n[j]) // (down + up)
-            near = _distances(flat, places, i, j) <= most
+            near = _distances(flat, places, i, j) + apart[i] + apart[j] <= most
+            pairs = zip(i[near].tolist(), j[near].tolist(), strict=True)
+            near[near] = [before[x].isdisjoint(before[y]) for x, y in pairs]
             found.append((ids[i[near]], ids[j[near]]))
         a, b = (np.concatenate([f[k] for f in found]) if found else ids[:0] for k in (0, 1))
         once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -468,6 +484,54 @@ def unconnected_pairs(placed: DataFrame, t: Fraction) -> DataFrame:
     return dealt.mapInArrow(runs, "a long, b long")
 
 
+def _one_text_each(
+    texts: DataFrame, classes: DataFrame, wanted: DataFrame
+) -> tuple[DataFrame, bool]:
+    """class_id and text of the wanted classes, and whether a text may come several times."""
+    first = classes.join(wanted, "class_id").select("class_id", "first.doc_id", "first.text_hash")
+    first = stored(first, "wanted")
+    rows = lookup_join(texts.select("doc_id", "text_hash"), first, ["doc_id", "text_hash"], "inner")
+    several = rows.count() > first.count()
+    return lookup_join(texts, first, ["doc_id", "text_hash"], "inner").select("class_id", "text"), several
+
+
+def finer_bitmaps(
+    texts: DataFrame, classes: DataFrame, wanted: DataFrame, width: int, frequent: np.ndarray
+) -> DataFrame:
+    """class_id, often, n_shingles, apart and bitmap, with four bits a shingle, of the wanted
+    classes: of all shingles for rare keys, and of the frequent ones for pairs, with the
+    others counted in ``apart``."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    found, several = _one_text_each(texts, classes, wanted)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in words.blocks(batches):
+            value, places = shingles(data, offsets, width)
+            flags, ends = _are_frequent(value, shared.value), places.tolist()
+            for often in (False, True):
+                counted = flags if often else np.ones_like(flags)
+                bitmaps, apart = [], []
+                for a, b in zip(ends, ends[1:], strict=False):
+                    part = value[a:b][counted[a:b]]
+                    bitmaps.append(_bitmap(part, 4 * (b - a)))
+                    apart.append(b - a - len(part))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(np.full(len(bitmaps), often)),
+                        pa.array(np.diff(places), pa.int64()),
+                        pa.array(apart, pa.int64()),
+                        pa.array(bitmaps, pa.binary()),
+                    ],
+                    ["class_id", "often", "n_shingles", "apart", "bitmap"],
+                )
+
+    fine = found.mapInArrow(
+        digest, "class_id long, often boolean, n_shingles long, apart long, bitmap binary"
+    )
+    return fine.dropDuplicates(["class_id", "often"]) if several else fine
+
+
 def confirmed(
     texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, t: Fraction
 ) -> DataFrame:
@@ -476,9 +540,7 @@ def confirmed(
     Of each class in some pair one text is read; each set meets its pairs in two joins.
     """
     wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    wanted = classes.join(wanted, "class_id").select("class_id", "first.doc_id", "first.text_hash")
-    wanted = stored(wanted, "wanted")
-    found = lookup_join(texts, wanted, ["doc_id", "text_hash"], "inner")
+    found, several = _one_text_each(texts, classes, wanted)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches):
@@ -487,9 +549,9 @@ def confirmed(
                 [batch.column(0), _binary(value, places)], ["class_id", "shingles"]
             )
 
-    own = found.select("class_id", "text").mapInArrow(whole, "class_id long, shingles binary")
+    own = found.mapInArrow(whole, "class_id long, shingles binary")
     own = stored(own, "sets")
-    if own.count() > wanted.count():  # rows that are there more than once
+    if several:
         own = stored(own.dropDuplicates(["class_id"]), "sets")
     left = own.select(F.col("class_id").alias("a"), F.col("shingles").alias("of_a"))
     right = own.select(F.col("class_id").alias("b"), F.col("shingles").alias("of_b"))
@@ -583,7 +645,11 @@ def _components_of_rows(docs: DataFrame, width: int, t: Fraction) -> DataFrame:
     # Of keys with the same classes, which count, ends and hashes tell, one is enough.
     split = split.groupBy("often", "rows", "from", "to", "mark", "least").agg(F.min("key").alias("key"))
     placed = placed.join(split.select("key", "often", "rows", "least"), ["key", "often"])
-    placed = placed.where(F.col("excess") + F.col("least") <= 0).join(bitmaps, "class_id")
+    placed = stored(placed.where(F.col("excess") + F.col("least") <= 0), "placed")
+    first_keys = F.slice(F.sort_array(F.collect_list("key")), 1, FIRST_KEYS)
+    fine = finer_bitmaps(texts, classes, placed.select("class_id").distinct(), width, frequent)
+    fine = fine.join(placed.groupBy("class_id", "often").agg(first_keys.alias("keys")), ["class_id", "often"])
+    placed = placed.join(stored(fine, "finer-bitmaps"), ["class_id", "often"])
     second = stored(unconnected_pairs(placed, t).distinct(), "pairs")
     second = stored(second.join(first, ["a", "b"], "left_anti"), "near")
     if not second.isEmpty():
