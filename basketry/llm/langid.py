@@ -5,7 +5,8 @@ of non-letters as one space, weighted by (1 + log count) times inverse document
 scaled to length one. Document frequencies are counted over all labelled documents. The
 classifier is a sparse multinomial logistic regression, trained with follow-the-regularised-
 leader (FTRL-proximal) under an elastic-net penalty on at most ``per_language`` documents of
-each language, taken by a hash of their id; every fifth of them is kept apart to fit the
+each language, taken by a hash of their id (of rows with one id and label, the least text);
+every fifth of them is kept apart to fit the
 temperature that calibrates the probabilities. Features are bounded by ``FEATURES`` per
 document, so the sample that reaches the driver is bounded whatever the texts.
 
@@ -207,7 +208,9 @@ def _sample(labelled: DataFrame, per_language: int) -> pd.DataFrame:
     light = labelled.select("doc_id", "lang").distinct()
     chosen = stored(bounded_sample(light, "lang", per_language, "doc_id"), "sample")
     # At most ``per_language`` rows for each language.
-    texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("turn", "lang", "text")
+    texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
+    # An id may stand on any number of rows.
+    texts = texts.groupBy("turn", "lang").agg(F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in words.blocks(batches, limit=_TEXT_BYTES):

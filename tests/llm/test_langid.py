@@ -58,3 +58,11 @@ def test_odd_rows(docs):
     assert langid.predict(unlabelled, None, "doc_id").first().lang_pred == "und"
     kept = langid.recognised(docs(), 0.0)
     assert kept.columns == docs().columns and kept.count() < docs().count()
+
+
+def test_the_sample_is_bounded_by_documents_and_not_by_rows(docs):
+    rows = [(1, f"text number {i}", "en", "a", 0) for i in range(50)]
+    rows += [(i, f"noch ein text {i}", "de", "a", 0) for i in range(2, 9)]
+    sample = langid._sample(langid.labelled_rows(docs(rows), F.lit(True)), 5)
+    assert sample["lang"].value_counts().to_dict() == {"de": 5, "en": 1}
+    assert sample["turn"].max() == 5
