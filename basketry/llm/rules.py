@@ -5,9 +5,11 @@ each language and source the shares of marks, symbols, repeated lines and repeat
 the mean word length go into quantile sketches (KLL), which are built per task and merged.
 A threshold is the median plus ``SPREADS`` times the distance of a low quantile below it
 (or of a least distance, for measures that hardly vary), so it follows what is usual in the
-group and is not moved by a minority of junk; it rejects outliers and no fixed share. A group
-with fewer than ``MIN_DOCS`` documents takes the merged sketch of its language, and one of a
-small language that of all documents. The thresholds are joined back to the documents.
+group and is not moved by a minority of junk; it rejects outliers and no fixed share. The
+threshold of a group of n documents counts n / (n + ``HALF_AT``), the rest that of its language
+from merged sketches, which is weighed against that of all documents in the same way. So
+a small group leans on a larger one, and no number of documents changes a verdict at a stroke.
+The thresholds are joined back to the documents.
 
 Cases: a null or empty text has counts of 0 and fails for its length; null languages and
 sources are groups of their own; repeated rows are judged alike; an empty table gives an
@@ -31,7 +33,8 @@ WHITE = " \\x09-\\x0D"
 
 #: Size of a sketch; its quantiles are off by about 0.4 % of the ranks.
 SKETCH_SIZE = 800
-MIN_DOCS = 200
+#: Documents of a group at which its own quantiles count for half.
+HALF_AT = 20
 LOW_QUANTILE = 0.05
 SPREADS = 8
 
@@ -163,17 +166,19 @@ def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source")
     # One row per language, and one of all documents, meet one row per group.
     levels = sketches.join(languages, F.col("lang").eqNullSafe(F.col("lang_of"))).withColumn("one", F.lit(1))
     levels = levels.join(merged([], "_all").withColumn("one", F.lit(1)), "one")
-    chosen = {
-        n: F.when(F.col("n") >= MIN_DOCS, F.col(n))
-        .when(F.col("n_lang") >= MIN_DOCS, F.col(f"{n}_lang"))
-        .otherwise(F.col(f"{n}_all"))
-        for n in names
-    }
+
+    def limit(sketch: str, least: float) -> Column:
+        at = lambda q: F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(q))
+        return at(0.5) + SPREADS * F.greatest(at(0.5) - at(LOW_QUANTILE), F.lit(least))
+
+    def weighed(count: str, own: Column, other: Column) -> Column:
+        share = F.col(count) / (F.col(count) + HALF_AT)
+        return share * own + (1 - share) * other
 
     def highest(name: str) -> Column:
-        at = lambda q: F.kll_sketch_get_quantile_double(chosen[name], F.lit(q))
-        spread = F.greatest(at(0.5) - at(LOW_QUANTILE), F.lit(LEAST[name]))
-        return (at(0.5) + SPREADS * spread).alias(f"max_{name}")
+        of_lang, of_all = limit(f"{name}_lang", LEAST[name]), limit(f"{name}_all", LEAST[name])
+        larger = weighed("n_lang", of_lang, of_all)
+        return weighed("n", limit(name, LEAST[name]), larger).alias(f"max_{name}")
 
     return levels.select(_group(F.col("lang"), F.col("source")).alias("key"), *(highest(n) for n in names))
 

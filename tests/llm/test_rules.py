@@ -60,3 +60,20 @@ def test_the_plan_is_native(spark, sf):
     plan = rules.verdicts(spark.read.parquet(f"{sf}/documents.parquet"))
     text = plan._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_thresholds_follow_the_number_of_documents_evenly(docs):
+    """One document more changes a threshold little, and none of a small clean language goes."""
+    text = lambda i, width: " ".join(f"{'w' * width}{i}x{j}" for j in range(60))
+    rows = [(i, text(i, 1), "en", "a", 0) for i in range(400)]
+    found = {}
+    for number in (199, 200, 201):
+        # Numbers of one length: else words of one digit less are the low quantile up to 200.
+        long_words = [(1000 + i, text(1000 + i, 9), "xx", "b", 0) for i in range(number)]
+        limits = rules.thresholds(rules.measure(docs(rows + long_words)))
+        found[number] = {r.key: r.max_word_length for r in limits.collect()}
+    group = next(k for k in found[200] if "xx" in k)
+    assert abs(found[200][group] - found[199][group]) < 0.05
+    assert abs(found[201][group] - found[200][group]) < 0.05
+    few = [(2000 + i, text(i, 9), "yy", "c", 0) for i in range(20)]
+    assert all(r.kept for r in rules.verdicts(docs(rows + few)).collect())
