@@ -26,7 +26,8 @@ by text and never by doc_id. Between classes the candidates come from prefixes:
 Classes that share a key are compared first by bitmaps of about a bit per shingle, whose
 distance never exceeds that of the sets, so only pairs that are too far apart are dropped,
 and then exactly, on their whole sets. First each class is compared with one class of its
-key, that of the least excess (of a rare key, the smallest). Within keys that still hold
+key, that of the least excess (of a rare key, whose sets without another of fitting size are
+left out, the smallest). Within keys that still hold
 several components after that, of keys with the same classes one is taken, and blocks of its
 classes are compared in arrays of finer bitmaps. Under a pair as key these hold the frequent
 shingles alone and the rare ones count in full, as none is common. A pair of classes is
@@ -64,7 +65,7 @@ FREQUENT = 8
 #: Rows of a key that are compared with one another in one task.
 KEY_BLOCK = 1024
 #: Keys of a class by which a pair that was compared before is told.
-FIRST_KEYS = 64
+FIRST_KEYS = 8
 #: Most frequent shingles there can be.
 FREQUENT_SHARE = 1_000_000
 #: Shingles that are sorted at once before they are sent, and those counted in one group.
@@ -285,8 +286,9 @@ def _excess(n: int, rare: int, t: Fraction) -> int:
 
 
 def postings(texts: DataFrame, width: int, t: Fraction, frequent: np.ndarray) -> DataFrame:
-    """key, class_id, whether the key is a pair (``often``), and the excess of the class (0
-    for rare keys), for every key of every text; equal sets of one block come once."""
+    """key, class_id, step of the set's size, whether the key is a pair (``often``), and the
+    excess of the class (0 for rare keys), for every key of every text; equal sets of one
+    block come once."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,6 +303,7 @@ def postings(texts: DataFrame, width: int, t: Fraction, frequent: np.ndarray) ->
             names = np.array(list(distinct), dtype=np.int64)
             found = [keys_of(value[a:b], flags[a:b], t) for a, b in distinct.values()]
             excess = [_excess(b - a, b - a - int(flags[a:b].sum()), t) for a, b in distinct.values()]
+            steps = np.array([bisect_right(_steps(t), b - a) for a, b in distinct.values()], dtype=np.int32)
             for often_too in (False, True):
                 keys = [x[often_too] for x in found]
                 flat = np.concatenate(keys) if keys else value[:0]
@@ -310,51 +313,65 @@ def postings(texts: DataFrame, width: int, t: Fraction, frequent: np.ndarray) ->
                     [
                         pa.array(flat.view(np.int64)),
                         pa.array(np.repeat(names, sizes)),
+                        pa.array(np.repeat(steps, sizes)),
                         pa.array(np.full(len(flat), often_too)),
                         pa.array(own if often_too else np.zeros_like(own)),
                     ],
-                    ["key", "class_id", "often", "excess"],
+                    ["key", "class_id", "step", "often", "excess"],
                 )
 
     return texts.select("text").mapInArrow(
-        send, "key long, class_id long, often boolean, excess long"
+        send, "key long, class_id long, step int, often boolean, excess long"
     )
 
 
+def _with_partner(key: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Whether another row of the key has the same step of size or the next to it."""
+    order = np.lexsort((step, key))
+    key, step = key[order], step[order]
+    close = (key[1:] == key[:-1]) & (step[1:] - step[:-1] <= 1)
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] = close
+    out[order[:-1]] |= close
+    return out
+
+
 def shared_keys(keyed: DataFrame) -> DataFrame:
     """key, often, class_id, excess and hub (one class of the key) for keys of several classes.
 
-    A rare shingle has few documents, so its rows are sorted into one task and streamed; its
-    hub is the smallest class. A pair can have any number: its hub, the class of the least
+    A rare shingle has few documents, so its rows are sorted into one task and streamed; those
+    whose size fits no other one's go, and its hub is the smallest class. A pair can have any number: its hub, the class of the least
     excess, is found by a partial aggregate and joined back, and classes whose excess is too
     large even for the hub go.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        step = np.zeros(0, dtype=np.int32)
 
-        def several(key: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        def several(key: np.ndarray, own: np.ndarray, step: np.ndarray) -> pa.RecordBatch:
             new = np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]))[: len(key)]
-            key, own = key[new], own[new]
+            key, own, step = key[new], own[new], step[new]
+            kept = _with_partner(key, step)
+            key, own = key[kept], own[kept]
             first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-            size = np.diff(np.append(first, len(key)))
-            kept = np.repeat(size > 1, size)
-            hub = np.repeat(own[first], size)
-            columns = [pa.array(x[kept]) for x in (key, own, hub)]
+            hub = np.repeat(own[first], np.diff(np.append(first, len(key))))
+            columns = [pa.array(x) for x in (key, own, hub)]
             return pa.RecordBatch.from_arrays(columns, ["key", "class_id", "hub"])
 
         for batch in batches:
             key = np.concatenate([key, batch.column(0).to_numpy()])
             own = np.concatenate([own, batch.column(1).to_numpy()])
+            step = np.concatenate([step, batch.column(2).to_numpy()])
             if not len(key):
                 continue
             done = int(np.searchsorted(key, key[-1]))  # the last key may go on
             if done:
-                yield several(key[:done], own[:done])
-                key, own = key[done:], own[done:]
-        yield several(key, own)
+                yield several(key[:done], own[:done], step[:done])
+                key, own, step = key[done:], own[done:], step[done:]
+        yield several(key, own, step)
 
-    rare = keyed.where(~F.col("often")).select("key", "class_id")
+    rare = keyed.where(~F.col("often")).select("key", "class_id", "step")
     rare = rare.repartition("key").sortWithinPartitions("key", "class_id")
     rare = rare.mapInArrow(runs, "key long, class_id long, hub long")
     rare = rare.select("key", F.lit(False).alias("often"), "class_id", F.lit(0).cast("long").alias("excess"), "hub")

@@ -141,3 +141,16 @@ def test_further_columns_with_clashing_names(docs):
     kept = jaccard.distinct_documents(wide)
     assert kept.columns == wide.columns
     assert kept.count() == jaccard.distinct_documents(frame).count()
+
+
+def test_rows_of_a_rare_key_need_a_partner_of_fitting_size():
+    """Kept are rows with another of the key one step away at most, wherever they stand."""
+    random = np.random.default_rng(5)
+    key = np.sort(random.integers(0, 60, 300))
+    step = random.integers(0, 30, 300).astype(np.int32)
+    expected = [
+        any(i != j and key[i] == key[j] and abs(int(step[i]) - int(step[j])) <= 1 for j in range(300))
+        for i in range(300)
+    ]
+    assert jaccard._with_partner(key, step).tolist() == expected
+    assert jaccard._with_partner(key[:0], step[:0]).tolist() == []
