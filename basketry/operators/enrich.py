@@ -130,18 +130,29 @@ def master(
     items: Lookup | DataFrame,
     oil_clean: Lookup | DataFrame,
     holidays_clean: HolidayEvents | Lookup | DataFrame,
+    gather: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """All sales rows with their attributes, holidays and calendar features.
 
     With lookups small enough to broadcast this is one pass over the sales without
-    a shuffle.
+    a shuffle. Lookups too large for that are joined first, while rows are narrow.
+
+    ``gather`` may bring rows together by columns of ``sales``. It gets them before the
+    broadcast joins, so that wide rows are not shuffled.
     """
-    lookups = [
-        each if isinstance(each, Lookup) else Lookup.of(each)
-        for each in (stores, items, oil_clean)
+    joins = [
+        (join, each if isinstance(each, Lookup) else Lookup.of(each))
+        for join, each in ((join_stores, stores), (join_items, items), (join_oil, oil_clean))
     ]
-    placed = join_stores(sales, lookups[0])
-    wide = join_items(placed, lookups[1], keys_from=sales)
-    wide = join_oil(wide, lookups[2], keys_from=sales)
-    wide = join_holidays(wide, holidays_clean, keys_from=placed)
+    events = holidays_clean if isinstance(holidays_clean, dict) else holiday_events(holidays_clean)
+    early = all(each.small for each in events.values())
+    wide = sales
+    for join, lookup in joins:
+        wide = wide if lookup.small else join(wide, lookup, keys_from=sales)
+    wide = gather(wide) if early else wide
+    for join, lookup in joins:
+        wide = join(wide, lookup, keys_from=sales) if lookup.small else wide
+    placed = sales if early else join_stores(sales, joins[0][1])
+    wide = join_holidays(wide, events, keys_from=placed)
+    wide = wide if early else gather(wide)
     return add_calendar(wide).select(*schemas.MASTER.names)

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
-from basketry.operators.rollup import FINEST, Summaries
+from basketry.operators.rollup import FINEST, Summaries, keys_needed
 from basketry.session import fit_shuffles, fresh_path
-from basketry.sinks.stored import write_by_year
+from basketry.sinks.stored import gather_by_day, write_by_year
 from basketry.sources.stored import folder_state, path_exists, read_by_year
 from basketry.tables import RetailTables
 
@@ -46,10 +46,10 @@ class Warehouse:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _stored_by_year(
-        self, name: str, frame: DataFrame, path: str | None = None
+        self, name: str, frame: DataFrame, path: str | None = None, gathered: bool = False
     ) -> DataFrame:
         path = path or fresh_path(self.spark, name)
-        write_by_year(frame, path)
+        write_by_year(frame, path, gathered=gathered)
         return read_by_year(self.spark, path, frame.schema)
 
     @property
@@ -136,7 +136,12 @@ class Warehouse:
         return self._stored_by_year(name, frame) if finest else self._stored(name, frame)
 
     def sales_by(self, *columns: str) -> DataFrame:
-        """Sales with the given columns, from the smallest summary that covers them."""
+        """Sales with the given columns, from the smallest summary that covers them.
+
+        Columns that no summary can cover are read from the wide table: none is built for them.
+        """
+        if keys_needed(columns) is None:
+            return self.master
         return self.summaries.source(columns, self.master)
 
     def train_clean(self) -> DataFrame:
@@ -145,15 +150,17 @@ class Warehouse:
     def sales(self) -> DataFrame:
         return clean.sales_rows(self.train, self.raw.test)
 
-    def master_rows(self) -> DataFrame:
+    def master_rows(self, **layout: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """The wide sales table as a plan, not stored."""
         return enrich.master(
-            self.sales(), self.stores, self.items, self.oil_clean, self.holiday_events
+            self.sales(), self.stores, self.items, self.oil_clean, self.holiday_events, **layout
         )
 
     @cached_property
     def master(self) -> DataFrame:
-        return self._stored_by_year("master", self.master_rows(), self.master_path)
+        """Brought together by day before the sales are made wide."""
+        rows = self.master_rows(gather=gather_by_day)
+        return self._stored_by_year("master", rows, self.master_path, gathered=True)
 
 
 _open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}

@@ -26,27 +26,35 @@ def rebuild_view(
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def gather_by_day(frame: DataFrame) -> DataFrame:
+    """Rows with their ``year``, brought together by day.
+
+    The rebalancing shuffle merges small days and splits days larger than the advisory
+    size into several partitions, however the rows are spread over the days.
+    """
+    return frame.withColumn("year", F.year("date")).hint("rebalance", F.col("year"), F.col("date"))
+
+
 def write_by_year(
     frame: DataFrame,
     path: str,
     years: Sequence[int] | None = None,
     cluster_by: Sequence[str] = CLUSTER_BY,
+    gathered: bool = False,
 ) -> None:
     """Parquet in one folder per year, each file holding few days in order.
 
     Without ``years`` the whole stored table is replaced; with them only those years.
 
-    Rows are brought together by day, so that file statistics prune on the date. The
-    rebalancing shuffle merges small days and splits days larger than the advisory
-    size into several files, however the rows are spread over the days.
+    Rows are brought together by day, so that file statistics prune on the date, unless
+    they are ``gathered`` so already: rows made wide are better shuffled before that.
     """
-    dated = frame.withColumn("year", F.year("date"))
     order = [name for name in cluster_by if name in frame.columns]
     if years is not None:
-        dated = dated.where(F.col("year").isin(*years))
+        frame = frame.where(F.year("date").isin(*years))
+    dated = frame if gathered else gather_by_day(frame)
     (
-        dated.hint("rebalance", F.col("year"), F.col("date"))
-        .sortWithinPartitions("year", *order)
+        dated.sortWithinPartitions("year", *order)
         .write.mode("overwrite")
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "static" if years is None else "dynamic")

@@ -5,9 +5,11 @@ import itertools
 import pytest
 from plain import rows
 
-from basketry.operators import dashboard, rollup
+from basketry.operators import dashboard, lookup, rollup
 from basketry.plans.queries import warehouse
 from basketry.plans.warehouse import Warehouse
+from basketry.sinks.stored import gather_by_day
+from basketry.sources.adapter import adapt
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +72,28 @@ def test_unknown_sales_are_no_zero(spark, make):
     )
     made = rollup.summarise(sales, ["store_nbr"])
     assert rows(made, "store_nbr") == [(1, 2, 0, None), (2, 2, 1, 3)]
+
+
+def test_no_summary_is_built_for_a_column_none_covers(spark, w):
+    fresh = Warehouse(spark, adapt(spark, SF))
+    fresh.__dict__["master"] = w.master
+    assert fresh.sales_by("item_class") is w.master
+    assert "summaries" not in fresh.__dict__
+
+
+def test_sales_are_shuffled_before_they_are_made_wide(w):
+    plan = w.master_rows(gather=gather_by_day)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert above.count("Join LeftOuter") == 6
+    assert "item_family" not in below.split("Union")[0]
+
+
+@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 2_000])
+def test_files_of_the_wide_table_are_in_order(spark, w, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+    fresh = Warehouse(spark, adapt(spark, SF))
+    assert rows(fresh.master.groupBy("year").count()) == rows(w.master.groupBy("year").count())
+    assert not rows(fresh.master.exceptAll(w.master)) and fresh.master.count() == w.master.count()
+    for file in fresh.master.inputFiles():
+        found = [tuple(r) for r in spark.read.parquet(file).select("date", "store_nbr", "item_nbr").toLocalIterator()]
+        assert found == sorted(found)
