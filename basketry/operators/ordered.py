@@ -112,3 +112,25 @@ def moving_mean(
     full = F.count(column).over(last) == rows
     mean = F.when(full, F.sum(column).over(last).cast("double") / rows)
     return dealt.withColumn(name, mean).where(own == F.col("__block")).drop("__place", "__block")
+
+
+def out_of_order(frame: DataFrame, column: str = "date", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows of stored files that stand right after a greater value in their file, with both values.
+
+    ``frame`` is read from files. Blocks of a file overlap by one row, which is sent to both, so
+    that no task works on whole files; files go by number, as their paths are long.
+    """
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = frame.select(column, file.alias("__file"), place.alias("__place"))
+    files = placed.select("__file").distinct()
+    numbered = files.withColumn("__number", F.row_number().over(Window.orderBy("__file")))
+    own = F.floor(F.col("__place") / block_rows).cast("int")
+    both = F.when(F.pmod("__place", F.lit(block_rows)) == block_rows - 1, F.array(own, own + 1)).otherwise(F.array(own))
+    dealt = (
+        placed.join(F.broadcast(numbered), "__file")
+        .drop("__file")
+        .withColumn("__block", F.explode(both))
+    )
+    order = Window.partitionBy("__number", "__block").orderBy("__place")
+    before = dealt.withColumn("before", F.lag(column).over(order)).where(own == F.col("__block"))
+    return before.where(F.col("before") > F.col(column)).select(column, "before")

@@ -120,11 +120,7 @@ def _predictions_roundtrip(w: Warehouse) -> DataFrame:
 
 def _layout_check(w: Warehouse) -> DataFrame:
     """Rows of the yearly layout that stand before an earlier day of the same file."""
-    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    placed = w.train_by_year.select("date", file.alias("file"), place.alias("place"))
-    order = Window.partitionBy("file").orderBy("place")
-    before = placed.withColumn("before", F.lag("date").over(order))
-    return _count_rows(before.where(F.col("before") > F.col("date")))
+    return _count_rows(ordered.out_of_order(w.train_by_year))
 
 
 def _dimension_labels(w: Warehouse) -> DataFrame:

@@ -83,3 +83,19 @@ def test_quantiles_and_empty_columns(spark):
     frame = spark.createDataFrame([(Decimal(n),) for n in (1, 2, 3, 10)], "x decimal(12,5)")
     assert quantiles(frame, "x", (0, 0.25, 0.5, 1), 4) == [1, 1.75, 2.5, 10]
     assert rows(describe_all(frame.where("x < 0"), "x")) == [("x", 0, *[None] * 7)]
+
+
+@pytest.mark.parametrize("block", [1, 4, 4096])
+def test_rows_out_of_order(spark, tmp_path, block):
+    """Equal values, nulls and descents inside blocks and across their borders, in two files."""
+    path = str(tmp_path / "files")
+    for values in ([1, 2, 2, 3, 1, 5, 4, None, 3, 9, 8], [7, 6, 7, 8, 8]):
+        made = [(None if v is None else START + datetime.timedelta(v),) for v in values]
+        spark.createDataFrame(made, "date date").coalesce(1).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    found = ordered.out_of_order(stored, block_rows=block)
+    days = sorted(((r["date"] - START).days, (r["before"] - START).days) for r in found.collect())
+    assert days == [(1, 3), (4, 5), (6, 7), (8, 9)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [lag(" in line)
+    assert "__file" not in window and "__block" in window
