@@ -25,19 +25,29 @@ from basketry.streaming.incremental import (
     write_batch,
 )
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: A commit saves the keys that came, not the files of all keys; stored keys are not counted,
+#: which would look up each once more; a batch without rows, only to give up state, is left
+#: out, as the next one with rows does that.
+_ON_DISK = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
     """State in RocksDB rather than in the memory of executors, for queries started inside."""
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ON_DISK)
+    before = {name: spark.conf.get(name, None) for name in _ON_DISK}
+    for name, value in _ON_DISK.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _no_key(keys: Sequence[str]) -> Column:

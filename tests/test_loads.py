@@ -45,6 +45,15 @@ def test_a_file_under_two_names_counts_once(load, tmp_path):
     assert load() == [*expected, (3, "2012-05-05", 1)]
 
 
+def test_no_batch_without_rows_goes_over_the_state(spark, load, tmp_path):
+    settings = {name: spark.conf.get(name, None) for name in unique._ON_DISK}
+    for number, name in enumerate(("a.csv", "b.csv"), 1):
+        arrive(tmp_path / "in", name, f"{number},2013-01-01,1,10,1,")
+        assert len(load()) == number
+        assert unique.loaded_batches(spark, str(tmp_path / "loaded")) == list(range(number))
+    assert settings == {name: spark.conf.get(name, None) for name in unique._ON_DISK}
+
+
 def test_keys_the_state_has_given_up_are_found_in_what_is_stored(spark, load, tmp_path, monkeypatch):
     """With the state taken out of the way, repeats of earlier batches still stay out."""
     monkeypatch.setattr(unique, "unique_within", lambda stream, keys, horizon: stream)
