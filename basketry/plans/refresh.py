@@ -20,6 +20,8 @@ from basketry import schemas
 from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
 from basketry.operators.rollup import FINEST, summarise
+from basketry.session import finer_tasks
+from basketry.sinks.stored import WIDER
 from basketry.sources.stored import path_exists
 from basketry.streaming.incremental import loaded_batches, read_loaded
 
@@ -63,8 +65,9 @@ def _train_clean(train: DataFrame, small: SmallTables, test: DataFrame | None) -
 
 
 def _master(train: DataFrame, small: SmallTables, test: DataFrame | None) -> DataFrame:
+    """Brought together by month before the sales are made wide."""
     sales = clean.sales_rows(train, test)
-    return enrich.master(sales, small.stores, small.items, small.oil_clean, small.holidays_clean)
+    return enrich.master(sales, small.stores, small.items, small.oil_clean, small.holidays_clean, _gather)
 
 
 def _daily(train: DataFrame, small: SmallTables, test: DataFrame | None) -> DataFrame:
@@ -103,18 +106,25 @@ def _any(tests: Sequence[Column]) -> Column:
     return found
 
 
-def _replace(frame: DataFrame, path: str, everything: bool) -> None:
-    """Write the months in ``frame`` in place of those stored, or of all that is stored."""
+def _gather(frame: DataFrame) -> DataFrame:
+    return _dated(frame).hint("rebalance", F.col("year"), F.col("month"))
+
+
+def _replace(frame: DataFrame, path: str, everything: bool, gathered: bool = False) -> None:
+    """Write the months in ``frame`` in place of those stored, or of all that is stored.
+
+    Its rows may be ``gathered`` by month already.
+    """
     order = [name for name in ("date", "store_nbr", "item_nbr") if name in frame.columns]
-    (
-        _dated(frame)
-        .hint("rebalance", F.col("year"), F.col("month"))
-        .sortWithinPartitions("year", "month", *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if everything else "dynamic")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    with finer_tasks(frame.sparkSession, WIDER if gathered else 1):
+        (
+            (frame if gathered else _gather(frame))
+            .sortWithinPartitions("year", "month", *order)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if everything else "dynamic")
+            .partitionBy("year", "month")
+            .parquet(path)
+        )
 
 
 def read_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -149,7 +159,7 @@ def refresh(spark: SparkSession, loaded: str, folder: str, small: SmallTables) -
     rows = _of_months(train, months).select(*schemas.TRAIN.names)
     test = None if small.test is None else _of_months(small.test, months)
     for name, build in _FROM_SALES.items():
-        _replace(build(rows, small, test), f"{folder}/{name}", everything)
+        _replace(build(rows, small, test), f"{folder}/{name}", everything, gathered=build is _master)
     master = _of_months(read_view(spark, folder, "master"), months)
     _replace(summarise(master, FINEST), f"{folder}/summary", everything)
     noted = new if not everything else batches

@@ -7,6 +7,8 @@ import logging
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,22 @@ def fit_shuffles(spark: SparkSession, shuffled_bytes: int) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
 
 
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def finer_tasks(spark: SparkSession, times: int) -> Iterator[None]:
+    """Adaptive execution aims at shuffle partitions that many times smaller: for rows that
+    are made wide, and sorted, after the shuffle."""
+    before = spark.conf.get(_ADVISORY)
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(_ADVISORY, str(max(1, size // times)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADVISORY, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.session import finer_tasks
+
+#: Shuffled bytes of a wide row, as a multiple of those of the sale it is made of.
+WIDER = 4
 #: Order of rows inside the files of the fact and of the wide sales table.
 CLUSTER_BY = ("date", "store_nbr", "item_nbr")
 
@@ -53,14 +57,15 @@ def write_by_year(
     if years is not None:
         frame = frame.where(F.year("date").isin(*years))
     dated = frame if gathered else gather_by_day(frame)
-    (
-        dated.sortWithinPartitions("year", *order)
-        .write.mode("overwrite")
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", "static" if years is None else "dynamic")
-        .partitionBy("year")
-        .parquet(path)
-    )
+    with finer_tasks(frame.sparkSession, WIDER if gathered else 1):
+        (
+            dated.sortWithinPartitions("year", *order)
+            .write.mode("overwrite")
+            .option("compression", "snappy")
+            .option("partitionOverwriteMode", "static" if years is None else "dynamic")
+            .partitionBy("year")
+            .parquet(path)
+        )
 
 
 def rows_per_year(stored: DataFrame) -> DataFrame:

@@ -89,6 +89,13 @@ def test_only_changed_months_are_built(spark, tmp_path, small, make):
     assert {row[0] for row in rows(master.select("city").distinct())} == {"Harbour", None}
 
 
+def test_sales_are_gathered_before_they_are_made_wide(small, make):
+    train = make("train", (1, "2013-01-05", 1, 10, 2.5, True))
+    plan = r._master(train, small(), None)._jdf.queryExecution().analyzed().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert above.count("Join LeftOuter") == 6 and "item_family" not in below.splitlines()[1]
+
+
 def test_an_interrupted_refresh_is_done_again(spark, tmp_path, small, monkeypatch):
     source, loaded, views = tmp_path / "in", str(tmp_path / "loaded"), tmp_path / "views"
     arrive(source, "a.csv", "1,2013-01-05,1,10,2.5,True")
