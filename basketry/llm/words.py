@@ -19,9 +19,9 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Text handled at once; arrays of eight bytes per text byte stay small.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Text hashed at once.
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15

@@ -89,3 +89,23 @@ def test_kept_ids_start_anew(byte_tokenizer):
     last = encoder.library.encode(texts[-1], add_special_tokens=False).ids
     assert ids[places[-2] : -1].tolist() == last
     assert isinstance(ids, np.ndarray)
+
+
+def test_new_words_go_to_the_library_as_one_text(byte_tokenizer, monkeypatch):
+    """So that a word costs its ids, and not a string and an encoding of its own as well; words
+    with white space outside ASCII, or with special strings, still stand apart."""
+    from basketry.llm import encoding
+
+    monkeypatch.setattr(encoding, "_JOINED_BYTES", 256)
+    encoder, apart = Encoder(byte_tokenizer, True), []
+    whole = encoder._apart
+    encoder._apart = lambda texts: apart.extend(texts) or whole(texts)
+    texts = [f"new{i} 'word{i}'\nline{i}\t日{i}’s  é{i}…" for i in range(200)]
+    odd = ["a b c", "   x", "\n \nq", "two  three"]
+    special = ["s <|endoftext|>t"]
+    for group, expected in ((texts, 0), (odd, 4), (special, 2)):
+        apart.clear()
+        ids, places = encoder.encode(*packed(group), end_id=3)
+        for text, a, b in zip(group, places, places[1:], strict=False):
+            assert ids[a:b].tolist() == [*encoder.library.encode(text, add_special_tokens=False).ids, 3]
+        assert len(apart) == expected, apart
