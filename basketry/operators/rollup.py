@@ -30,6 +30,9 @@ COARSER = (
     ("store_nbr", "item_family", "onpromotion"),
 )
 
+#: All of them, those first that have few cells even with many stores.
+BY_SIZE = (COARSER[2], COARSER[0], COARSER[3], COARSER[1], FINEST)
+
 PARTS = ("rows", "known", "unit_sales")
 
 _CALENDAR = (

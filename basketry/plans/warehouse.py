@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import clean, enrich, explore
 from basketry.operators.lookup import Lookup
-from basketry.operators.rollup import FINEST, Summaries, keys_needed
+from basketry.operators.rollup import BY_SIZE, FINEST, Summaries, keys_needed, summarise
 from basketry.session import fit_shuffles, fresh_path
 from basketry.sinks.stored import gather_by_day, write_by_year
 from basketry.sources.stored import folder_state, path_exists, read_by_year
@@ -39,6 +39,7 @@ class Warehouse:
         self.raw = tables
         self.master_path = master_path
         self.train_path = train_path
+        self._first_summary: Summaries | None = None
 
     def _stored(self, name: str, frame: DataFrame) -> DataFrame:
         path = fresh_path(self.spark, name)
@@ -139,11 +140,28 @@ class Warehouse:
         """Sales with the given columns, from the smallest summary that covers them.
 
         Columns that no summary can cover are read from the wide table: none is built for them.
+        The first report makes the one summary it needs, the next one that needs another makes all.
         """
-        if keys_needed(columns) is None:
+        needed = keys_needed(columns)
+        if needed is None:
             return self.master
+        if "summaries" not in self.__dict__:
+            if self._first_summary is None:
+                self._first_summary = self._one_summary(needed)
+            if self._first_summary.choose(columns):
+                return self._first_summary.source(columns, self.raw.train)
         return self.summaries.source(columns, self.master)
 
+    def _one_summary(self, needed: frozenset[str]) -> Summaries:
+        """The summary that covers the keys, by one pass over the wide rows: the sales are
+        shuffled as its cells, and not as rows of a table that is not asked for."""
+        rows = self.__dict__.get("master", None)
+        keys = next(each for each in BY_SIZE if needed <= set(each))
+        cells = summarise(self.master_rows() if rows is None else rows, keys)
+        made = Summaries(self.stores)
+        made.add(keys, self._stored_summary(f"summary-{'-'.join(keys)}", cells))
+        return made
+
     def train_clean(self) -> DataFrame:
         return clean.train_clean(self.train, self.stores, self.items, self.raw.test)
 

@@ -97,3 +97,19 @@ def test_files_of_the_wide_table_are_in_order(spark, w, monkeypatch, limit):
     for file in fresh.master.inputFiles():
         found = [tuple(r) for r in spark.read.parquet(file).select("date", "store_nbr", "item_nbr").toLocalIterator()]
         assert found == sorted(found)
+
+
+def test_the_first_report_makes_one_summary_of_the_wide_rows(spark, w):
+    def sums(frame, *key):
+        return rows(rollup.coarsen(frame, key).orderBy(*key))
+
+    fresh = Warehouse(spark, adapt(spark, SF))
+    days = fresh.sales_by("date", "day_of_week")
+    assert "master" not in fresh.__dict__ and "summaries" not in fresh.__dict__
+    assert sums(days, "date", "day_of_week") == sums(w.summaries.source(["day_of_week"], w.master), "date", "day_of_week")
+    assert [each.keys for each in fresh._first_summary.known] == [("date", "onpromotion")]
+    fresh.sales_by("year", "month")  # that one covers these too
+    assert "summaries" not in fresh.__dict__
+    families = fresh.sales_by("date", "item_family")  # and not these: all are made
+    assert len(fresh.summaries.known) == 1 + len(rollup.COARSER)
+    assert sums(families, "date", "item_family") == sums(w.summaries.source(["date", "item_family"], w.master), "date", "item_family")
