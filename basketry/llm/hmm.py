@@ -14,7 +14,7 @@ share among them; so the model is a distribution over all V + 1 words.
    those of its words back. No task and no driver holds the emissions of all words; the
    driver has the start, the steps, the shared symbol and the sum per state.
 4. Scores are exact. A text is cut into segments whose transfer matrices are computed side by
-   side, rescaled at every step, and then multiplied in order; so a long text takes no more
+   side, rescaled every few steps, and then multiplied in order; so a long text takes no more
    steps than a short one. Training uses the same cut without approximation.
 
 Cases: a null or empty text is the end alone; rows without an id are scored but not learned
@@ -54,6 +54,9 @@ RANGE_BYTES = 16 << 20
 SEGMENT = 256
 _CLASS_BYTES = 2 << 20
 
+#: Steps inside a segment from one scaling to the next.
+_RESCALE = 4
+
 _U64 = np.uint64
 #: Stands for the end; hashes of words are mixed, so none is likely to be this.
 END = _U64(0x656E64)
@@ -375,26 +378,46 @@ class Segments:
         begin = places[:-1][text] + turn * SEGMENT
         return Segments(begin, np.minimum(SEGMENT, places[1:][text] - begin), first)
 
-    def steps(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each step inside segments, the segments that have it and its tokens."""
+    def by_step(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segments by falling size (those with a given step are then the first ones), tokens
+        step by step in that order, and the first place of each step among them."""
         order = np.argsort(-self.size, kind="stable")
-        falling = -self.size[order]
-        for step in range(int(self.size.max()) if len(self.size) else 0):
-            on = order[: int(np.searchsorted(falling, -step))]
-            yield on, self.begin[on] + step
+        begin, falling = self.begin[order], -self.size[order]
+        longest = int(-falling[0]) if len(falling) else 0
+        on = np.searchsorted(falling, -np.arange(longest))
+        tokens = [begin[:n] + step for step, n in enumerate(on)]
+        return order, np.concatenate([*tokens, np.zeros(0, np.int64)]), np.concatenate([[0], np.cumsum(on)])
+
+
+def _emissions(model: Model, symbols: np.ndarray) -> np.ndarray:
+    """States x tokens, each token's greatest one: what its states have in common is left out."""
+    shares = model.emit / model.emit.max(axis=1, keepdims=True)
+    return np.ascontiguousarray(shares.T)[:, symbols]
+
 
+def _slices(places: np.ndarray) -> Iterator[tuple[int, slice]]:
+    return ((step, slice(a, b)) for step, (a, b) in enumerate(zip(places[:-1].tolist(), places[1:].tolist(), strict=True)))
 
-def transfers(model: Model, classes: np.ndarray, cut: Segments) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled matrix from the state before each segment to the one at its end, and the log."""
+
+def transfers(model: Model, emitted: np.ndarray, places: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled matrix (from x to x segments) from the state before each segment, by falling size,
+    to the one at its end, and the log."""
     states = len(model.start)
-    matrix = np.repeat(np.eye(states)[None], len(cut.size), axis=0)
-    log = np.zeros(len(cut.size))
-    for on, at in cut.steps():
-        moved = matrix[on].reshape(-1, states) @ model.steps
-        moved = moved.reshape(-1, states, states) * model.emit[classes[at]][:, None, :]
-        scale = moved.sum(axis=(1, 2))
-        matrix[on] = moved / scale[:, None, None]
-        log[on] += np.log(scale)
+    matrix = np.repeat(np.eye(states)[:, :, None], segments, axis=2)
+    log = np.zeros(segments)
+    back = np.ascontiguousarray(model.steps.T)
+
+    def rescale(n: int) -> None:
+        scale = matrix[:, :, :n].sum(axis=(0, 1))
+        matrix[:, :, :n] /= scale
+        log[:n] += np.log(scale)
+
+    for step, at in _slices(places):
+        n = at.stop - at.start
+        np.multiply(back @ matrix[:, :, :n], emitted[:, at], out=matrix[:, :, :n])
+        if step % _RESCALE == 0:
+            rescale(n)
+    rescale(segments)
     return matrix, log
 
 
@@ -406,13 +429,24 @@ def _turns(first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield texts, first[:-1][texts] + turn
 
 
+def _by_text(matrix: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The matrices of segments by falling size as segments x from x to, in the order of the texts."""
+    out = np.empty((len(order), *matrix.shape[:2]))
+    out[order] = np.moveaxis(matrix, 2, 0)
+    return out
+
+
 def log_likelihood(model: Model, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each text's classes."""
     cut = Segments.of(places)
-    matrix, log = transfers(model, classes, cut)
+    order, tokens, at = cut.by_step()
+    falling, scales = transfers(model, _emissions(model, classes[tokens]), at, len(order))
+    matrix, log = _by_text(falling, order), np.empty(len(order))
+    log[order] = scales
     texts = len(places) - 1
     state = np.repeat(model.start[None], texts, axis=0)
-    total = np.zeros(texts)
+    of_text = np.repeat(np.arange(texts), np.diff(places))
+    total = np.bincount(of_text, weights=np.log(model.emit.max(axis=1))[classes], minlength=texts)
     for on, segment in _turns(cut.first):
         moved = np.einsum("ti,tij->tj", state[on], matrix[segment])
         scale = moved.sum(axis=1)
@@ -432,7 +466,10 @@ class Expected:
     def add(self, model: Model, classes: np.ndarray, places: np.ndarray) -> None:
         states = len(model.start)
         cut = Segments.of(places)
-        matrix, _ = transfers(model, classes, cut)
+        order, tokens, at = cut.by_step()
+        symbols = classes[tokens]
+        emitted = _emissions(model, symbols)
+        matrix = _by_text(transfers(model, emitted, at, len(order))[0], order)
         texts = len(places) - 1
         before = np.empty((len(cut.size), states))
         state = np.repeat(model.start[None], texts, axis=0)
@@ -449,34 +486,35 @@ class Expected:
             state[on] = moved / moved.sum(axis=1, keepdims=True)
         first = model.start * state
         self.start += (first / first.sum(axis=1, keepdims=True)).sum(axis=0)
-        # States given the tokens up to each one, and the chance of the tokens after it.
-        emitted = model.emit[classes]
-        forward = np.empty((len(classes), states))
-        previous = np.empty((len(classes), states))
-        steps = list(cut.steps())
-        state = before.copy()
-        for on, at in steps:
-            previous[at] = state[on]
-            moved = (state[on] @ model.steps) * emitted[at]
-            moved /= moved.sum(axis=1, keepdims=True)
-            forward[at] = state[on] = moved
-        # Behind a segment's last token stands what follows it; from there back to its first.
-        ahead = np.empty((len(classes), states))
-        state = behind.copy()
+        # Chances of the states and the tokens up to each one, scaled now and then.
+        forward = np.empty((states, len(symbols)))
+        at_start = np.ascontiguousarray(before[order].T)
+        last = np.empty_like(at_start)
         back = np.ascontiguousarray(model.steps.T)
-        last = cut.begin + cut.size - 1
-        for step, (on, _) in enumerate(steps):
-            at = last[on] - step
-            ahead[at] = state[on]
-            moved = (emitted[at] * state[on]) @ back
-            state[on] = moved / moved.sum(axis=1, keepdims=True)
-        come = emitted * ahead
-        chance = (previous * (come @ back)).sum(axis=1, keepdims=True)
-        self.steps += model.steps * (previous.T @ (come / chance))
-        own = forward * ahead
-        own /= own.sum(axis=1, keepdims=True)
+        slices, scales = list(_slices(at)), {}
+        for step, here in slices:
+            n = here.stop - here.start
+            state = forward[:, slices[step - 1][1]][:, :n] if step else at_start
+            if step and step % _RESCALE == 0:
+                scales[step - 1] = state.sum(axis=0)
+                state /= scales[step - 1]
+            last[:, :n] = np.multiply(back @ state, emitted[:, here], out=forward[:, here])
+        # Chances of the tokens after each one, scaled so that those of all states times ``forward``
+        # add up to one: then they do at the step before, too, if its scale is taken along.
+        state = np.ascontiguousarray(behind[order].T)
+        state /= (last * state).sum(axis=0)
+        moves = np.zeros((states, states))
+        for step, here in reversed(slices):
+            n = here.stop - here.start
+            come = emitted[:, here] * state[:, :n]
+            forward[:, here] *= state[:, :n]
+            if step in scales:
+                come[:, : len(scales[step])] /= scales[step]
+            moves += (forward[:, slices[step - 1][1]][:, :n] if step else at_start) @ come.T
+            np.matmul(model.steps, come, out=state[:, :n])
+        self.steps += model.steps * moves
         for k in range(states):
-            self.emit[k] += np.bincount(classes, weights=own[:, k], minlength=self.emit.shape[1])
+            self.emit[k] += np.bincount(symbols, weights=forward[k], minlength=self.emit.shape[1])
 
 
 def _runs(lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:

@@ -1,5 +1,6 @@
 import itertools
 import math
+import timeit
 import zlib
 from collections import Counter
 
@@ -72,6 +73,53 @@ def test_long_texts_do_not_underflow():
     assert math.isclose(found[0], total, rel_tol=1e-9)
 
 
+def test_expected_counts_of_long_texts_with_uneven_emissions():
+    model, random = random_model(7, symbols=40), np.random.default_rng(8)
+    emit = model.emit ** 30  # a symbol is all but impossible in most states
+    model = hmm.Model(model.start, model.steps, emit / emit.sum(axis=0))
+    lengths = (700, 1, 256, 257, 30)
+    texts = [random.integers(0, 40, n) for n in lengths]
+    expected = hmm.Expected(np.zeros(3), np.zeros((3, 3)), np.zeros((3, 40)))
+    for t in texts:
+        forward, ahead = [model.start], [np.ones(3)]
+        for x in t:
+            state = (forward[-1] @ model.steps) * model.emit[x]
+            forward.append(state / state.sum())
+        for x in t[::-1]:
+            state = model.steps @ (model.emit[x] * ahead[-1])
+            ahead.append(state / state.sum())
+        ahead.reverse()
+        expected.start += forward[0] * ahead[0] / (forward[0] @ ahead[0])
+        for k, x in enumerate(t):
+            step = forward[k][:, None] * model.steps * (model.emit[x] * ahead[k + 1])
+            expected.steps += step / step.sum()
+            expected.emit[:, x] += step.sum(axis=0) / step.sum()
+    found = hmm.Expected(np.zeros(3), np.zeros((3, 3)), np.zeros((3, 40)))
+    found.add(model, np.concatenate(texts), np.concatenate([[0], np.cumsum(lengths)]))
+    assert np.allclose(found.start, expected.start, rtol=1e-9)
+    assert np.allclose(found.steps, expected.steps, rtol=1e-9)
+    assert np.allclose(found.emit, expected.emit, rtol=1e-9, atol=1e-12)
+
+
+def test_a_pass_costs_no_more_than_two_plain_ones_over_the_matrices():
+    model = random_model(9, states=4, symbols=1000)
+    places = np.arange(0, 200_001, 200)
+    classes = np.random.default_rng(10).integers(0, 1000, 200_000)
+
+    def plain():
+        matrix = np.repeat(np.eye(4)[None], 1000, axis=0)
+        for step in range(200):
+            on = np.arange(1000)
+            moved = (matrix[on].reshape(-1, 4) @ model.steps).reshape(-1, 4, 4)
+            moved = moved * model.emit[classes[places[:-1] + step]][:, None, :]
+            matrix[on] = moved / moved.sum(axis=(1, 2))[:, None, None]
+
+    def whole():
+        hmm.Expected(np.zeros(4), np.zeros((4, 4)), np.zeros((4, 1000))).add(model, classes, places)
+
+    assert min(timeit.repeat(whole, number=1, repeat=5)) < 2 * min(timeit.repeat(plain, number=1, repeat=5))
+
+
 def check_base(frame, result):
     rows = frame.collect()
     crc = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows if r.doc_id is not None}
