@@ -35,18 +35,12 @@ def validate_oil(oil_clean: DataFrame) -> DataFrame:
     return counted.withColumn("imputed_pct", share)
 
 
-def _distinct(frame: DataFrame, column: str) -> Column:
-    """Distinct values of a column with few of them, by a pass over that column alone."""
-    counted = frame.select(column).distinct().agg(F.count(column))
-    return counted.scalar()
-
-
 def _flag_total(name: str, condition: Column | None = None) -> tuple[Column, Column]:
     return flag_count(F.col(name) if condition is None else condition), F.sum(name)
 
 
 def validate_train(train_clean: DataFrame, cutoff: str) -> DataFrame:
-    """Rows, flags, and distinct stores and items by merged bitmaps."""
+    """Rows, flags, and distinct stores and items by merged bitmaps, in one pass."""
     past = history(train_clean, cutoff)
     merged = {
         "total_rows": (F.count("*"), F.sum("total_rows")),
@@ -56,11 +50,12 @@ def validate_train(train_clean: DataFrame, cutoff: str) -> DataFrame:
         "orphan_stores": _flag_total("orphan_stores", F.col("is_orphan_store")),
         "orphan_items": _flag_total("orphan_items", F.col("is_orphan_item")),
     }
-    counted = counts_of_all(past, {"unique_stores": "store_nbr", "unique_items": "item_nbr"}, merged)
+    many = {"unique_stores": "store_nbr", "unique_items": "item_nbr"}
+    counted = counts_of_all(past, many, merged, {"unique_dates": "date"})
     return counted.select(
         F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
         "unique_stores", "unique_items", "min_date", "max_date", "integrity_issues", "orphan_stores", "orphan_items",
-        _distinct(past, "date").alias("unique_dates"),
+        "unique_dates",
     )
 
 
@@ -94,7 +89,9 @@ def validate_master(master: DataFrame, cutoff: str) -> DataFrame:
     for name in ("unit_sales", "oil_price"):
         merged[f"sum_{name}"] = (F.sum(name), F.sum(f"sum_{name}"))
         merged[f"known_{name}"] = (F.count(name), F.sum(f"known_{name}"))
-    counted = counts_of_all(past, {"unique_stores": "store_nbr", "unique_items": "item_nbr"}, merged)
+    many = {"unique_stores": "store_nbr", "unique_items": "item_nbr"}
+    few = {"unique_families": "item_family", "unique_store_types": "store_type", "unique_dates": "date"}
+    counted = counts_of_all(past, many, merged, few)
 
     def mean(name: str) -> Column:
         return F.round(F.try_divide(f"sum_{name}", f"known_{name}"), 2)
@@ -105,9 +102,7 @@ def validate_master(master: DataFrame, cutoff: str) -> DataFrame:
         mean("unit_sales").alias("avg_sales"),
         mean("oil_price").alias("avg_oil_price"),
         *flags,
-        _distinct(past, "item_family").alias("unique_families"),
-        _distinct(past, "store_type").alias("unique_store_types"),
-        _distinct(past, "date").alias("unique_dates"),
+        *few,
     )
 
 

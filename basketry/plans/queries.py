@@ -431,7 +431,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v_oil": lambda w: reports.validate_oil(w.oil_clean.frame),
     "v_train": lambda w: reports.validate_train(w.train_clean(), CUTOFF),
     "v_holidays": lambda w: reports.validate_holidays(w.holidays_clean.frame),
-    "v_master": lambda w: reports.validate_master(w.master, CUTOFF),
+    "v_master": lambda w: reports.validate_master(w.wide_rows(), CUTOFF),
     "holiday_distribution": lambda w: reports.holiday_distribution(w.master, CUTOFF),
     "payday_impact": lambda w: reports.payday_impact(w.master, CUTOFF),
     "top_families": lambda w: reports.top_families(w.master, CUTOFF),

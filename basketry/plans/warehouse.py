@@ -140,27 +140,29 @@ class Warehouse:
         """Sales with the given columns, from the smallest summary that covers them.
 
         Columns that no summary can cover are read from the wide table: none is built for them.
-        The first report makes the one summary it needs, the next one that needs another makes all.
+        A report that no summary made so far covers makes the one it needs.
         """
         needed = keys_needed(columns)
         if needed is None:
             return self.master
-        if "summaries" not in self.__dict__:
-            if self._first_summary is None:
-                self._first_summary = self._one_summary(needed)
-            if self._first_summary.choose(columns):
-                return self._first_summary.source(columns, self.raw.train)
-        return self.summaries.source(columns, self.master)
-
-    def _one_summary(self, needed: frozenset[str]) -> Summaries:
+        if "summaries" in self.__dict__:
+            return self.summaries.source(columns, self.master)
+        if self._first_summary is None:
+            self._first_summary = Summaries(self.stores)
+        if not self._first_summary.choose(columns):
+            self._add_summary(needed)
+        return self._first_summary.source(columns, self.raw.train)
+
+    def _add_summary(self, needed: frozenset[str]) -> None:
         """The summary that covers the keys, by one pass over the wide rows: the sales are
         shuffled as its cells, and not as rows of a table that is not asked for."""
-        rows = self.__dict__.get("master", None)
         keys = next(each for each in BY_SIZE if needed <= set(each))
-        cells = summarise(self.master_rows() if rows is None else rows, keys)
-        made = Summaries(self.stores)
-        made.add(keys, self._stored_summary(f"summary-{'-'.join(keys)}", cells))
-        return made
+        cells = summarise(self.wide_rows(), keys)
+        self._first_summary.add(keys, self._stored_summary(f"summary-{'-'.join(keys)}", cells))
+
+    def wide_rows(self) -> DataFrame:
+        """The wide sales table for one pass over it: as stored, or as a plan before it is."""
+        return self.master if "master" in self.__dict__ else self.master_rows()
 
     def train_clean(self) -> DataFrame:
         return clean.train_clean(self.train, self.stores, self.items, self.raw.test)

@@ -113,3 +113,18 @@ def test_the_first_report_makes_one_summary_of_the_wide_rows(spark, w):
     families = fresh.sales_by("date", "item_family")  # and not these: all are made
     assert len(fresh.summaries.known) == 1 + len(rollup.COARSER)
     assert sums(families, "date", "item_family") == sums(w.summaries.source(["date", "item_family"], w.master), "date", "item_family")
+
+
+def test_a_report_makes_no_summary_but_its_own(spark, w):
+    fresh = Warehouse(spark, adapt(spark, SF))
+    fresh.sales_by("date", "day_of_week")
+    families = fresh.sales_by("date", "item_family")
+    assert "master" not in fresh.__dict__ and "summaries" not in fresh.__dict__
+    assert [each.keys for each in fresh._first_summary.known] == [
+        ("date", "onpromotion"), ("date", "item_family", "onpromotion"),
+    ]
+    key = ["date", "item_family"]
+    expected = rollup.coarsen(w.summaries.source(key, w.master), key).orderBy(*key)
+    assert rows(rollup.coarsen(families, key).orderBy(*key)) == rows(expected)
+    fresh.sales_by("item_family")  # the second covers these too
+    assert len(fresh._first_summary.known) == 2
