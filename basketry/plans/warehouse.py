@@ -39,7 +39,7 @@ class Warehouse:
         self.raw = tables
         self.master_path = master_path
         self.train_path = train_path
-        self._first_summary: Summaries | None = None
+        self._first_summary: Summaries | None = None  # and those made after it, a report each
 
     def _stored(self, name: str, frame: DataFrame) -> DataFrame:
         path = fresh_path(self.spark, name)
